@@ -51,39 +51,54 @@ class DailyRun:
     def order_totals(self) -> DataFrame:
         return report_ops.order_option_totals(self.order_base)
 
+    @cached_property
+    def report_rows(self) -> DataFrame:
+        """Report base plus the run channel; materialized when the run is."""
+        out = report_ops.report_base(self.src, self.scope, keep_run_columns=True)
+        return self._keep(out)
+
     @cached_property
     def report_base(self) -> DataFrame:
-        return report_ops.report_base(self.src, self.scope)
+        return self.report_rows.select(*report_ops.REPORT_BASE_COLUMNS)
 
     @cached_property
     def options(self) -> DataFrame:
+        if self.materialize:
+            # Already written once: take the options from the report rows.
+            return self.report_rows.select("pgm_id", "prd_cd", "attr_prd_cd", "broad_dt", "is_live",
+                                           F.col("suply_apnt_qty").alias("supply"))
         return report_ops.report_options(self.src, self.scope)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Cut the lineage of a stage several consumers read: written once to the shared
+        checkpoint folder (survives executor loss; later plans start from the files)."""
+        return df.checkpoint(eager=True) if self.materialize else df
+
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
     def minutes(self) -> DataFrame:
-        return order_ops.minute_orders(self.src, self.scope)
+        return self._keep(order_ops.minute_orders(self.src, self.scope))
+
+    @cached_property
+    def option_frame(self) -> DataFrame:
+        return grid_ops.option_frame(self.minutes, self.options)
 
     @cached_property
     def grid(self) -> DataFrame:
-        return grid_ops.order_grid(self.minutes, self.options)
+        return grid_ops.order_grid(self.minutes, self.option_frame)
 
     @cached_property
     def censored(self) -> DataFrame:
-        out = soldout_ops.censor(self.grid)
-        if self.materialize:
-            out = out.checkpoint(eager=True)
-        return out
+        return self._keep(soldout_ops.censor(self.grid))
 
     @cached_property
     def gate(self) -> DataFrame:
-        return grid_ops.group_gate(self.minutes, self.options)
+        return grid_ops.group_gate(self.option_frame)
 
     @cached_property
     def passing_censored(self) -> DataFrame:
         """Censored grid of the groups whose options match the report's rows."""
-        passing = self.gate.where(F.col("passes")).select(*GROUP)
-        return self.censored.join(passing, GROUP, "left_semi")
+        return self.censored.where(F.col("passes"))
 
     @cached_property
     def soldout_time(self) -> DataFrame:
@@ -110,9 +125,9 @@ class DailyRun:
     def report(self, with_estimate: bool = True, display_names: bool = True) -> DataFrame:
         """The written report: report rows of groups with on-air orders that pass the gate,
         with sold-out minute and flag, first-event value, estimate and presentation columns."""
-        passing = self.gate.where(F.col("passes")).select(*GROUP)
+        passing = self.passing_censored.select(*GROUP).distinct()
         rows = self.report_base.join(passing, GROUP, "left_semi")
-        soldout = self.soldout_time.select(*OPTION, "sold_out_dtm", "sold_out_flag")
+        soldout = soldout_ops.soldout_time(self.passing_censored).select(*OPTION, "sold_out_dtm", "sold_out_flag")
         value = snapshot_ops.first_soldout_value(self.snapshot)
         out = rows.join(soldout, OPTION, "left").join(value, OPTION, "left")
         if with_estimate:

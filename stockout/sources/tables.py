@@ -37,8 +37,24 @@ def _conform(df: DataFrame, name: str) -> DataFrame:
 
 def read_parquet_root(spark: SparkSession, root: str) -> Sources:
     """Nine tables stored as ``{root}/{table}`` parquet folders (Hive-style partitions allowed,
-    e.g. ``order_fact/ord_dt=20160808``: the day window then prunes partitions)."""
-    return Sources(**{t: _conform(spark.read.parquet(f"{root}/{t}"), t) for t in TABLES})
+    e.g. ``order_fact/ord_dt=20160808``: the day window then prunes partitions). The declared
+    schema is given to the reader, so partition columns keep their declared (string) type."""
+    return Sources(**{t: _conform(spark.read.schema(schemas.SOURCE_SCHEMAS[t]).parquet(f"{root}/{t}"), t)
+                      for t in TABLES})
+
+
+# Day partitioning of the written fact table; the others are small dimension tables.
+PARTITION_COLUMNS = {"order_fact": ("ord_dt",)}
+
+
+def write_parquet_root(src: Sources, root: str) -> str:
+    """Write the nine tables as ``{root}/{table}``, the fact table partitioned by order day."""
+    for t in TABLES:
+        writer = getattr(src, t).write.mode("overwrite")
+        if t in PARTITION_COLUMNS:
+            writer = writer.partitionBy(*PARTITION_COLUMNS[t])
+        writer.parquet(f"{root}/{t}")
+    return root
 
 
 def read_jdbc(spark: SparkSession, url: str, dbtables: dict[str, str],

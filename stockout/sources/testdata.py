@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockout.sources.tables import Sources, _conform
+from stockout.session import ensure_checkpoint_dir
+from stockout.sources.tables import Sources, _conform, read_parquet_root, write_parquet_root
+
+# (application id, test-data folder) -> root of the tables written for it in this application.
+_WRITTEN: dict[tuple[str, str], Sources] = {}
 
 _TYPE_INDEX = ("CASE p_type WHEN 'SMALL' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LARGE' THEN 3 "
                "WHEN 'ECONOMY' THEN 4 WHEN 'PROMO' THEN 5 ELSE 6 END")
@@ -33,7 +37,27 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("m", F.expr("CASE WHEN l_returnflag = 'N' THEN 1300 - 22 * w ELSE 1300 + w END")))
 
 
-def from_testdata(spark: SparkSession, sf_dir: str) -> Sources:
+def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True) -> Sources:
+    """The nine tables for the test data in ``sf_dir``.
+
+    With ``materialize`` (default) they are derived once per application and written as
+    parquet under the shared checkpoint folder, like warehouse tables, and read back from
+    there: later queries then scan real tables (filter pushdown, column pruning, day-partition
+    pruning) instead of re-deriving every table from ``lineitem`` inside each plan.
+    """
+    if not materialize:
+        return derive_testdata(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _WRITTEN:
+        tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
+        root = write_parquet_root(derive_testdata(spark, sf_dir),
+                                  f"{ensure_checkpoint_dir(spark).rstrip('/')}/sources/{tag}")
+        _WRITTEN[key] = read_parquet_root(spark, root)
+    return _WRITTEN[key]
+
+
+def derive_testdata(spark: SparkSession, sf_dir: str) -> Sources:
+    """The nine tables as lazy DataFrames over the test tables (FIXTURES.md mapping)."""
     base = _base(spark, sf_dir)
     tables: dict[str, DataFrame] = {}
 

@@ -21,12 +21,14 @@ SESSION_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
-                  app_name: str = "stockout") -> SparkSession:
+                  app_name: str = "stockout", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests, the bench and local runs. On a cluster, pass the cluster's
     master and leave ``spark.checkpoint.dir`` to the cluster configuration."""
     builder = SparkSession.builder.master(master).appName(app_name)
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
+    if warehouse_dir is not None:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("STOCKOUT_DRIVER_MEMORY", "8g"))

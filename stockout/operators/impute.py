@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockout.operators.grid import GROUP, OPTION
+from stockout.stage import write_stage
 
 # Fixed values of the imputation: seed, fold count, minimum observed cells, number of rank
 # candidates per group.
@@ -40,10 +41,15 @@ N_COPIES = N_FOLDS + 1
 
 @dataclass(frozen=True)
 class ImputeSettings:
+    """``num_blocks``: ALS user/item blocks; by default one per ``ratings_per_block`` training
+    ratings, at most the cluster's default parallelism. ``parallelism``: fits submitted at
+    once (each fit is a chain of small jobs; running them side by side keeps the cluster busy)."""
+
     reg_params: tuple[float, ...] = (0.1, 0.01)
     max_iter: int = 10
-    parallelism: int = 4
+    parallelism: int = 16
     num_blocks: int | None = None
+    ratings_per_block: int = 1_000_000
 
 
 def _rank_pool(n: F.Column) -> F.Column:
@@ -85,10 +91,10 @@ def train_set_profile(censored: DataFrame) -> DataFrame:
 def dense_index(keys: DataFrame, name: str) -> DataFrame:
     """Give each row of ``keys`` a dense int id 0..n-1, without sending rows through the
     driver: per-partition counts (one row per partition) become offsets added to the
-    within-partition position. The table is checkpointed so every later read sees the
-    same ids."""
-    tagged = keys.select("*", F.spark_partition_id().alias("_pid"),
-                         F.monotonically_increasing_id().alias("_mono")).checkpoint(eager=True)
+    within-partition position. The tagged table is written once, so every later read sees
+    the same ids."""
+    tagged = write_stage(keys.select("*", F.spark_partition_id().alias("_pid"),
+                                     F.monotonically_increasing_id().alias("_mono")), "tagged")
     counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mono").alias("_first"))
     offsets = counts.withColumn(
         "_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
@@ -114,8 +120,8 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
              .join(profile.where("trainable"), GROUP, "left_semi"))
 
     # Stable dense ids for users (group, option) and items (group, minute).
-    users = dense_index(cells.select(*OPTION).distinct(), "user_base")
-    items = dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base")
+    users = write_stage(dense_index(cells.select(*OPTION).distinct(), "user_base"), "users")
+    items = write_stage(dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base"), "items")
 
     fold_order = F.xxhash64(F.lit(SEED), F.col("attr_prd_cd"), F.col("ord_ts"))
     observed = (cells.where(~F.col("is_censored"))
@@ -134,18 +140,22 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
               .select(*OPTION, "ord_ts", "qty", "copy", "role",
                       (F.col("user_base") * N_COPIES + F.col("copy")).cast("int").alias("user"),
                       (F.col("item_base") * N_COPIES + F.col("copy")).cast("int").alias("item"),
-                      F.col("qty").cast("float").alias("rating"))
-              .checkpoint(eager=True))
+                      F.col("qty").cast("float").alias("rating")))
+    copies = write_stage(copies, "copies")
 
     # Fallback for an unseen user or item: mean of the copy's training ratings in the group.
     means = (copies.where(F.col("role") == "train").groupBy(*GROUP, "copy")
              .agg(F.avg("qty").alias("train_mean")))
     pools = (profile.where("trainable")
              .select(*GROUP, F.explode(_rank_pool(F.col("n_train_options"))).alias("rank"))
-             .withColumn("rank", F.greatest(F.col("rank"), F.lit(1))).distinct()
-             .checkpoint(eager=True))
+             .withColumn("rank", F.greatest(F.col("rank"), F.lit(1))).distinct())
+    pools = write_stage(pools, "pools")
     ranks = sorted(r["rank"] for r in pools.select("rank").distinct().collect())  # a handful of ints
     grid_settings = [(r, reg_i) for r in ranks for reg_i in range(len(settings.reg_params))]
+    blocks = settings.num_blocks
+    if not blocks:
+        n_train = copies.where(F.col("role") == "train").count()
+        blocks = max(1, min(spark.sparkContext.defaultParallelism, -(-n_train // settings.ratings_per_block)))
 
     def fit(setting: tuple[int, int]) -> DataFrame:
         rank, reg_i = setting
@@ -154,15 +164,14 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
         als = ALS(rank=rank, regParam=settings.reg_params[reg_i], maxIter=settings.max_iter,
                   nonnegative=False, implicitPrefs=False, coldStartStrategy="nan", seed=SEED,
                   userCol="user", itemCol="item", ratingCol="rating")
-        if settings.num_blocks:
-            als = als.setNumUserBlocks(settings.num_blocks).setNumItemBlocks(settings.num_blocks)
+        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
         model = als.fit(data.where(F.col("role") == "train"))
         scored = model.transform(data.where(F.col("role") != "train"))
         return scored.select(*OPTION, "ord_ts", "qty", "copy", "role",
                              F.col("prediction").cast("double").alias("prediction"),
                              F.lit(rank).alias("rank"), F.lit(reg_i).alias("reg_i"))
 
-    with ThreadPoolExecutor(max_workers=max(1, settings.parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(settings.parallelism, len(grid_settings) or 1))) as pool:
         scored_parts = list(pool.map(fit, grid_settings))
     if not scored_parts:
         return _assemble(grid, profile, None)

@@ -168,15 +168,21 @@ REPORT_BASE_COLUMNS = (
     "fst_broad_dt", "fst_prd_sale_prc")
 
 
-def report_base(src: Sources, scope: Scope = ALL, *, keep_run_columns: bool = False) -> DataFrame:
+def report_base(src: Sources, scope: Scope = ALL, *, keep_run_columns: bool = False,
+                pgm: DataFrame | None = None, prd: DataFrame | None = None,
+                totals: DataFrame | None = None) -> DataFrame:
     """One row per broadcast x option of the run with sales, supply and exposure figures.
 
-    All right-hand sides are aggregates far smaller than the order lines; AQE turns their
-    joins into broadcast joins when their measured size allows it.
+    ``pgm`` / ``prd`` / ``totals``: the run's ``broadcast_sequence`` / ``product_attributes`` /
+    ``order_option_totals`` if already built (a run writes them once; the blocks below read
+    them; otherwise revenue and quantities would each re-scan the order lines, pruned to
+    different columns). All right-hand sides are
+    aggregates far smaller than the order lines; AQE turns their joins into broadcast joins
+    when their measured size allows it.
     """
-    pgm = broadcast_sequence(src, scope)
-    prd = product_attributes(src, pgm)
-    totals = order_option_totals(order_base(src, pgm, scope))
+    pgm = broadcast_sequence(src, scope) if pgm is None else pgm
+    prd = product_attributes(src, pgm) if prd is None else prd
+    totals = order_option_totals(order_base(src, pgm, scope)) if totals is None else totals
     qty = option_quantities(totals)
     weiht = F.col("weiht_mi")
     out = (prd.join(pgm, "prd_cd")
@@ -204,11 +210,12 @@ def report_base(src: Sources, scope: Scope = ALL, *, keep_run_columns: bool = Fa
     return out.select(*cols)
 
 
-def report_options(src: Sources, scope: Scope = ALL) -> DataFrame:
+def report_options(src: Sources, scope: Scope = ALL, *, pgm: DataFrame | None = None,
+                   prd: DataFrame | None = None) -> DataFrame:
     """The report's options with their supply and run channel, without any order figure:
     what the sold-out rule needs from the report (supply is 0 where no plan exists)."""
-    pgm = broadcast_sequence(src, scope)
-    prd = product_attributes(src, pgm)
+    pgm = broadcast_sequence(src, scope) if pgm is None else pgm
+    prd = product_attributes(src, pgm) if prd is None else prd
     return (prd.join(pgm, "prd_cd")
             .join(supply_by_attr(src, pgm), ["pgm_id", "prd_cd", "attr_prd_rep_cd"], "left")
             .select("pgm_id", "prd_cd", "attr_prd_cd", "broad_dt", "is_live",

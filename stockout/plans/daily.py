@@ -3,8 +3,8 @@
 The reference loops over days, channels and groups; here all of them are columns of one
 plan. ``DailyRun`` builds each stage lazily once and hands the same DataFrame to every
 consumer, so Spark can reuse exchanges; the censored grid, which the report, the snapshot
-and the imputation all read, is cut from its lineage once (``checkpoint`` into the shared
-checkpoint folder) when ``materialize=True``.
+and the imputation all read, is written once as a table in the shared
+checkpoint folder when ``materialize=True``.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from stockout.operators import soldout as soldout_ops
 from stockout.operators.grid import GROUP, OPTION
 from stockout.operators.scope import ALL, Scope
 from stockout.sources import Sources
+from stockout.stage import write_stage
 
 
 class DailyRun:
@@ -37,11 +38,14 @@ class DailyRun:
     # -- report SQL blocks -------------------------------------------------------------
     @cached_property
     def pgm(self) -> DataFrame:
-        return report_ops.broadcast_sequence(self.src, self.scope)
+        """Broadcast x product of the run: read by seven blocks, so written once (it is
+        bounded by the run's broadcasts, tiny next to the order lines)."""
+        return write_stage(report_ops.broadcast_sequence(self.src, self.scope), "pgm")
 
     @cached_property
     def products(self) -> DataFrame:
-        return report_ops.product_attributes(self.src, self.pgm)
+        """Options of the run's products (bounded by the catalogue): written once."""
+        return write_stage(report_ops.product_attributes(self.src, self.pgm), "products")
 
     @cached_property
     def order_base(self) -> DataFrame:
@@ -49,13 +53,16 @@ class DailyRun:
 
     @cached_property
     def order_totals(self) -> DataFrame:
-        return report_ops.order_option_totals(self.order_base)
+        """Order lines rolled up to (broadcast, product, option), written once: revenue and
+        option quantities both read it (bounded by the run's options)."""
+        return write_stage(report_ops.order_option_totals(self.order_base), "order_totals")
 
     @cached_property
     def report_rows(self) -> DataFrame:
         """Report base plus the run channel; materialized when the run is."""
-        out = report_ops.report_base(self.src, self.scope, keep_run_columns=True)
-        return self._keep(out)
+        out = report_ops.report_base(self.src, self.scope, keep_run_columns=True, pgm=self.pgm, prd=self.products,
+                                     totals=self.order_totals)
+        return self._keep(out, "report_rows")
 
     @cached_property
     def report_base(self) -> DataFrame:
@@ -67,17 +74,17 @@ class DailyRun:
             # Already written once: take the options from the report rows.
             return self.report_rows.select("pgm_id", "prd_cd", "attr_prd_cd", "broad_dt", "is_live",
                                            F.col("suply_apnt_qty").alias("supply"))
-        return report_ops.report_options(self.src, self.scope)
+        return report_ops.report_options(self.src, self.scope, pgm=self.pgm, prd=self.products)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
         """Cut the lineage of a stage several consumers read: written once to the shared
         checkpoint folder (survives executor loss; later plans start from the files)."""
-        return df.checkpoint(eager=True) if self.materialize else df
+        return write_stage(df, name) if self.materialize else df
 
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
     def minutes(self) -> DataFrame:
-        return self._keep(order_ops.minute_orders(self.src, self.scope))
+        return self._keep(order_ops.minute_orders(self.src, self.scope), "minutes")
 
     @cached_property
     def option_frame(self) -> DataFrame:
@@ -89,7 +96,7 @@ class DailyRun:
 
     @cached_property
     def censored(self) -> DataFrame:
-        return self._keep(soldout_ops.censor(self.grid))
+        return self._keep(soldout_ops.censor(self.grid), "censored")
 
     @cached_property
     def gate(self) -> DataFrame:

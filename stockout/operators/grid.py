@@ -18,6 +18,11 @@ GRID_COLUMNS = ("pgm_id", "prd_cd", "attr_prd_cd", "ord_ts", "qty", "supply", "i
 
 
 def _orders(minutes: DataFrame) -> DataFrame:
+    """Minute orders with their minute as a timestamp.
+
+    Pass ``minutes`` hash-partitioned (or bucketed) by the group, as ``DailyRun`` does: every
+    later distinct, join, union and window here is keyed by the group plus more columns, so
+    Spark keeps that partitioning through the grid, the sold-out rule and the snapshots."""
     return minutes.select(*GROUP, "attr_prd_cd",
                           parse_minute(F.col("ord_dt"), F.col("ord_time")).alias("ord_ts"),
                           F.col("tot_ord_qty").alias("qty"), "is_live", "broad_dt")
@@ -34,7 +39,7 @@ def option_frame(minutes: DataFrame, options: DataFrame) -> DataFrame:
     """
     orders = _orders(minutes)
     groups = orders.groupBy(*GROUP).agg(F.max("is_live").alias("is_live"), F.max("broad_dt").alias("broad_dt"))
-    listed = (options.join(groups.select(*GROUP), GROUP, "left_semi")
+    listed = (options.repartition(*GROUP).join(groups.select(*GROUP), GROUP, "left_semi")
               .groupBy(*OPTION).agg(F.count("*").alias("n_listed"), F.max("supply").alias("supply")))
     by_group = Window.partitionBy(*GROUP)
     return (orders.select(*OPTION).unionByName(listed.select(*OPTION)).distinct()

@@ -70,10 +70,8 @@ class DailyRun:
 
     @cached_property
     def options(self) -> DataFrame:
-        if self.materialize:
-            # Already written once: take the options from the report rows.
-            return self.report_rows.select("pgm_id", "prd_cd", "attr_prd_cd", "broad_dt", "is_live",
-                                           F.col("suply_apnt_qty").alias("supply"))
+        """Report options with supply: the report's rows without its order figures, built
+        from the written broadcast and product blocks (no pass over the order lines)."""
         return report_ops.report_options(self.src, self.scope, pgm=self.pgm, prd=self.products)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -84,7 +82,10 @@ class DailyRun:
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
     def minutes(self) -> DataFrame:
-        return self._keep(order_ops.minute_orders(self.src, self.scope), "minutes")
+        """The only pass over the order lines the grid needs: always written once (the grid,
+        the option frame and the gate all read it; rescanning the fact table for each would
+        cost far more than writing this per-minute aggregate)."""
+        return write_stage(order_ops.minute_orders(self.src, self.scope), "minutes", bucket_by=GROUP)
 
     @cached_property
     def option_frame(self) -> DataFrame:

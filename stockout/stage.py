@@ -5,6 +5,10 @@ A stage several consumers read is written as parquet under the shared checkpoint
 the plan once to count and again to save, the write runs it once; the read-back plan starts
 from files (lineage cut, survives executor loss) and carries file sizes, so the planner can
 decide broadcasts from measured sizes.
+
+``bucket_by`` writes the stage as a bucketed table (one file per bucket, registered in the
+session catalog over that folder): reading it back gives a hash partitioning on those
+columns, so joins, aggregates and windows keyed by them need no further shuffle.
 """
 
 from __future__ import annotations
@@ -16,8 +20,15 @@ from pyspark.sql import DataFrame
 from stockout.session import ensure_checkpoint_dir
 
 
-def write_stage(df: DataFrame, name: str) -> DataFrame:
+def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    tag = uuid.uuid4().hex
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{tag}/{name}"
+    if not bucket_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"stockout_{name}_{tag}"
+    (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *bucket_by).saveAsTable(table))
+    return spark.table(table)

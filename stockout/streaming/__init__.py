@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The job being rebuilt has no stream input, watermark, window or state: it is a daily batch,
+and "late data" means rerunning a day. A rerun is handled by the day-partition overwrite in
+``stockout.sinks`` and the backfill in ``stockout.plans.jobs``, so nothing is built here.
+"""

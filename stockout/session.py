@@ -38,16 +38,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """Return the shared folder for checkpoints and written stages.
 
-    Only when the setting is absent (local tests) do we pick a scratch folder ourselves.
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared folder), else from a
+    checkpoint folder already set on the context. Only when neither exists (local tests) is
+    a scratch folder created and set on the context.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="stockout-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    app = sc.applicationId
+    if app not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="stockout-ckpt-")
+        sc.setCheckpointDir(_LOCAL_FALLBACK[app])
+    return sc.getCheckpointDir() or _LOCAL_FALLBACK[app]

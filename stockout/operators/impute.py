@@ -50,6 +50,10 @@ class ImputeSettings:
     parallelism: int = 16
     num_blocks: int | None = None
     ratings_per_block: int = 1_000_000
+    # ALS checkpoints factors when iteration % interval == 0, iteration 0 included. A
+    # 10-iteration lineage is cheap to recompute after an executor loss, so by default fits
+    # of up to 20 iterations skip it; longer fits checkpoint every 10.
+    checkpoint_interval: int | None = None
 
 
 def _rank_pool(n: F.Column) -> F.Column:
@@ -120,8 +124,8 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
              .join(profile.where("trainable"), GROUP, "left_semi"))
 
     # Stable dense ids for users (group, option) and items (group, minute).
-    users = write_stage(dense_index(cells.select(*OPTION).distinct(), "user_base"), "users")
-    items = write_stage(dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base"), "items")
+    users = dense_index(cells.select(*OPTION).distinct(), "user_base")
+    items = dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base")
 
     fold_order = F.xxhash64(F.lit(SEED), F.col("attr_prd_cd"), F.col("ord_ts"))
     observed = (cells.where(~F.col("is_censored"))
@@ -165,6 +169,10 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
                   nonnegative=False, implicitPrefs=False, coldStartStrategy="nan", seed=SEED,
                   userCol="user", itemCol="item", ratingCol="rating")
         als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+        interval = settings.checkpoint_interval
+        if interval is None:
+            interval = -1 if settings.max_iter <= 20 else 10
+        als = als.setCheckpointInterval(interval)
         model = als.fit(data.where(F.col("role") == "train"))
         scored = model.transform(data.where(F.col("role") != "train"))
         return scored.select(*OPTION, "ord_ts", "qty", "copy", "role",

@@ -15,9 +15,10 @@ LOW_ORDER_THRESHOLD = 5
 
 
 def broadcast_products(src: Sources, scope: Scope = ALL) -> DataFrame:
-    """Broadcast x product of the run with the broadcast's channel and day."""
+    """Broadcast x product of the run with the broadcast's channel and day. A product listed
+    twice for a broadcast counts once (a repeated listing must not multiply the units)."""
     run = scope.broadcasts(src.broadcast).select("pgm_id", "chanl_cd", "broad_dt")
-    return (run.join(src.broadcast_product.select("pgm_id", "prd_cd"), "pgm_id")
+    return (run.join(src.broadcast_product.select("pgm_id", "prd_cd").distinct(), "pgm_id")
             .join(src.product.select("prd_cd"), "prd_cd", "left_semi"))
 
 

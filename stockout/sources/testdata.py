@@ -9,6 +9,7 @@ it needs.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +51,20 @@ def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _WRITTEN:
         tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
-        root = write_parquet_root(derive_testdata(spark, sf_dir),
-                                  f"{ensure_checkpoint_dir(spark).rstrip('/')}/sources/{tag}")
+        # Eight tables derive from the same lineitem x part join: keep it while they are written.
+        base = _base(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            root = write_parquet_root(derive_testdata(spark, sf_dir, base=base),
+                                      f"{ensure_checkpoint_dir(spark).rstrip('/')}/sources/{tag}")
+        finally:
+            base.unpersist()
         _WRITTEN[key] = read_parquet_root(spark, root)
     return _WRITTEN[key]
 
 
-def derive_testdata(spark: SparkSession, sf_dir: str) -> Sources:
+def derive_testdata(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Sources:
     """The nine tables as lazy DataFrames over the test tables (FIXTURES.md mapping)."""
-    base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir) if base is None else base
     tables: dict[str, DataFrame] = {}
 
     tables["broadcast"] = base.selectExpr(

@@ -6,6 +6,7 @@ in ``sf_dir`` and runs over all broadcast days and both channels (no sampling, n
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from stockout.operators import snapshot as snapshot_ops
 from stockout.operators import soldout as soldout_ops
 from stockout.operators.grid import GRID_COLUMNS
 from stockout.plans.daily import DailyRun
-from stockout.sinks import load_snapshot, write_snapshot
+from stockout.sinks import load_snapshot, output_root, write_snapshot
 from stockout.sources import from_testdata
 
 _DECIMAL_COLUMNS = ("net_ord_amt", "sup_shr_net_ord_dc_amt", "net_ord_naccm_sale_amt", "tot_ord_amt",
@@ -154,8 +155,9 @@ def daily_load_roundtrip(spark, sf_dir):
     """Write every day's snapshot, rewrite the same days again (idempotent reload), read back."""
     run = _run(spark, sf_dir, materialize=True)
     snap = run.snapshot.drop("prd_cd")
-    path = write_snapshot(snap, table="soldout_snapshot_roundtrip")
-    write_snapshot(snap, table="soldout_snapshot_roundtrip")
+    path = f"{output_root(spark)}/roundtrip-{uuid.uuid4().hex}/soldout_snapshot"
+    write_snapshot(snap, path)
+    write_snapshot(snap, path)
     return load_snapshot(spark, path)
 
 

@@ -38,7 +38,8 @@ def option_frame(minutes: DataFrame, options: DataFrame) -> DataFrame:
     whole group is left out of the report, as the reference does.
     """
     orders = _orders(minutes)
-    groups = orders.groupBy(*GROUP).agg(F.max("is_live").alias("is_live"), F.max("broad_dt").alias("broad_dt"))
+    # channel and day are fixed per broadcast: grouping keys (keeps a hash aggregation)
+    groups = orders.select(*GROUP, "is_live", "broad_dt").distinct()
     listed = (options.repartition(*GROUP).join(groups.select(*GROUP), GROUP, "left_semi")
               .groupBy(*OPTION).agg(F.count("*").alias("n_listed"), F.max("supply").alias("supply")))
     by_group = Window.partitionBy(*GROUP)

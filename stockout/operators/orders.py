@@ -39,10 +39,11 @@ def minute_orders(src: Sources, scope: Scope = ALL) -> DataFrame:
         "last_ord_dt", day_after(F.col("broad_dt"), scope.numeric_day_window))
     return (orders.join(window, ["pgm_id", "prd_cd"])
             .where((F.col("ord_dt") >= F.col("broad_dt")) & (F.col("ord_dt") <= F.col("last_ord_dt")))
-            .groupBy("pgm_id", "chanl_cd", "attr_prd_cd", "ord_dt", "ord_time")
+            # broad_dt is fixed per broadcast: a grouping key, not a max(string), so the
+            # aggregation stays a hash aggregation (a string buffer forces a sort-based one).
+            .groupBy("pgm_id", "chanl_cd", "attr_prd_cd", "ord_dt", "ord_time", "broad_dt")
             .agg(F.max("prd_cd").alias("prd_cd"),
-                 F.sum("tot_ord_qty").alias("tot_ord_qty"),
-                 F.max("broad_dt").alias("broad_dt"))
+                 F.sum("tot_ord_qty").alias("tot_ord_qty"))
             .withColumn("is_live", F.col("chanl_cd") == LIVE_CHANNEL))
 
 

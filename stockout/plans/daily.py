@@ -1,10 +1,13 @@
 """A run over a set of broadcast days and channels: every table the reference produces.
 
 The reference loops over days, channels and groups; here all of them are columns of one
-plan. ``DailyRun`` builds each stage lazily once and hands the same DataFrame to every
-consumer, so Spark can reuse exchanges; the censored grid, which the report, the snapshot
-and the imputation all read, is written once as a table in the shared
-checkpoint folder when ``materialize=True``.
+plan. ``DailyRun`` builds each stage once and hands the same DataFrame to every consumer.
+
+Stages read by several consumers are written once as tables in the shared checkpoint
+folder (``stockout.stage``): always the small dimension blocks (broadcast x product,
+product options, option totals) and the per-minute order aggregate (bucketed by group, the
+only pass over the order lines the grid needs); with ``materialize=True`` also the report
+rows and the censored grid, which the report, the snapshots and the imputation all read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from stockout.stage import write_stage
 
 
 class DailyRun:
+    """Every stage of one run over ``scope`` (default: all days, both channels)."""
+
     def __init__(self, src: Sources, scope: Scope = ALL, *, materialize: bool = False,
                  impute_settings: impute_ops.ImputeSettings | None = None):
         self.src = src

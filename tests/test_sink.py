@@ -32,3 +32,25 @@ def test_key_check(spark):
     dup = spark.createDataFrame([(1, 1, 11, 4, "20160808"), (1, 1, 11, 5, "20160808")], SNAP)
     with pytest.raises(KeyViolation):
         check_keys(dup, ("pgm_id", "attr_prd_cd", "soldout_seq", "broad_dt"))
+
+
+def test_trial_table_replace_and_drop(spark):
+    from stockout.sinks import drop_table, replace_table
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "pgm_id long, v string")
+    replace_table(df, "stockout_trial_report")
+    replace_table(df.limit(1), "stockout_trial_report")  # replaced as a whole
+    assert spark.table("stockout_trial_report").count() == 1
+    drop_table(spark, "stockout_trial_report")
+    assert not spark.catalog.tableExists("stockout_trial_report")
+
+
+def test_display_names_round_trip(spark):
+    from stockout import schemas
+    from stockout.operators.present import from_display_names, to_display_names
+
+    cols = list(schemas.REPORT_COLUMN_NAMES)
+    df = spark.createDataFrame([tuple(range(len(cols)))], ", ".join(f"{c} int" for c in cols))
+    shown = to_display_names(df)
+    assert len(set(shown.columns)) == 39 and "방송코드" in shown.columns
+    assert from_display_names(shown).columns == cols

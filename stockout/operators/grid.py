@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockout.functions import parse_minute
+from stockout.stage import bucket_count
 
 GROUP = ["pgm_id", "prd_cd"]
 OPTION = GROUP + ["attr_prd_cd"]
@@ -40,7 +41,9 @@ def option_frame(minutes: DataFrame, options: DataFrame) -> DataFrame:
     orders = _orders(minutes)
     # channel and day are fixed per broadcast: grouping keys (keeps a hash aggregation)
     groups = orders.select(*GROUP, "is_live", "broad_dt").distinct()
-    listed = (options.repartition(*GROUP).join(groups.select(*GROUP), GROUP, "left_semi")
+    # same hash partitioning as the bucketed minute stage, so the two sides stay co-partitioned
+    listed = (options.repartition(bucket_count(options.sparkSession), *GROUP)
+              .join(groups.select(*GROUP), GROUP, "left_semi")
               .groupBy(*OPTION).agg(F.count("*").alias("n_listed"), F.max("supply").alias("supply")))
     by_group = Window.partitionBy(*GROUP)
     return (orders.select(*OPTION).unionByName(listed.select(*OPTION)).distinct()

@@ -20,6 +20,17 @@ from pyspark.sql import DataFrame
 from stockout.session import ensure_checkpoint_dir
 
 
+def bucket_count(spark) -> int:
+    """Buckets of a bucketed stage: ``stockout.stage.buckets`` if set, else one per core of
+    the cluster (``defaultParallelism``), at most ``spark.sql.shuffle.partitions``. Bucketed
+    scans are not coalesced by AQE, so the count must fit the cluster, not a default of 200."""
+    configured = spark.conf.get("stockout.stage.buckets", None)
+    if configured:
+        return max(1, int(configured))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+
+
 def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     tag = uuid.uuid4().hex
@@ -27,7 +38,7 @@ def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str]
     if not bucket_by:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(spark)
     table = f"stockout_{name}_{tag}"
     (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
      .bucketBy(buckets, *bucket_by).saveAsTable(table))

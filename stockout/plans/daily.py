@@ -27,7 +27,7 @@ from stockout.operators import soldout as soldout_ops
 from stockout.operators.grid import GROUP, OPTION
 from stockout.operators.scope import ALL, Scope
 from stockout.sources import Sources
-from stockout.stage import write_stage
+from stockout.stage import new_run_tag, write_stage
 
 
 class DailyRun:
@@ -39,18 +39,22 @@ class DailyRun:
         self.scope = scope
         self.materialize = materialize
         self.impute_settings = impute_settings or impute_ops.ImputeSettings()
+        self.run_tag = new_run_tag()
+
+    def _write(self, df: DataFrame, name: str, **kwargs) -> DataFrame:
+        return write_stage(df, name, run_tag=self.run_tag, **kwargs)
 
     # -- report SQL blocks -------------------------------------------------------------
     @cached_property
     def pgm(self) -> DataFrame:
         """Broadcast x product of the run: read by seven blocks, so written once (it is
         bounded by the run's broadcasts, tiny next to the order lines)."""
-        return write_stage(report_ops.broadcast_sequence(self.src, self.scope), "pgm")
+        return self._write(report_ops.broadcast_sequence(self.src, self.scope), "pgm")
 
     @cached_property
     def products(self) -> DataFrame:
         """Options of the run's products (bounded by the catalogue): written once."""
-        return write_stage(report_ops.product_attributes(self.src, self.pgm), "products")
+        return self._write(report_ops.product_attributes(self.src, self.pgm), "products")
 
     @cached_property
     def order_base(self) -> DataFrame:
@@ -60,7 +64,7 @@ class DailyRun:
     def order_totals(self) -> DataFrame:
         """Order lines rolled up to (broadcast, product, option), written once: revenue and
         option quantities both read it (bounded by the run's options)."""
-        return write_stage(report_ops.order_option_totals(self.order_base), "order_totals")
+        return self._write(report_ops.order_option_totals(self.order_base), "order_totals")
 
     @cached_property
     def report_rows(self) -> DataFrame:
@@ -82,7 +86,7 @@ class DailyRun:
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         """Cut the lineage of a stage several consumers read: written once to the shared
         checkpoint folder (survives executor loss; later plans start from the files)."""
-        return write_stage(df, name) if self.materialize else df
+        return self._write(df, name) if self.materialize else df
 
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
@@ -90,7 +94,7 @@ class DailyRun:
         """The only pass over the order lines the grid needs: always written once (the grid,
         the option frame and the gate all read it; rescanning the fact table for each would
         cost far more than writing this per-minute aggregate)."""
-        return write_stage(order_ops.minute_orders(self.src, self.scope), "minutes", bucket_by=GROUP)
+        return self._write(order_ops.minute_orders(self.src, self.scope), "minutes", bucket_by=GROUP)
 
     @cached_property
     def option_frame(self) -> DataFrame:

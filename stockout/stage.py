@@ -31,10 +31,18 @@ def bucket_count(spark) -> int:
     return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
 
 
-def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str] | None = None) -> DataFrame:
+def new_run_tag() -> str:
+    return uuid.uuid4().hex
+
+
+def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str] | None = None,
+                run_tag: str | None = None) -> DataFrame:
+    """Write ``df`` to ``<checkpoint dir>/stages/<run_tag>/<name>-<id>`` and read it back. A
+    run passes one tag for all its stages, so a run's intermediates sit in one folder (left
+    to the shared folder's retention policy)."""
     spark = df.sparkSession
     tag = uuid.uuid4().hex
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{tag}/{name}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{run_tag or tag}/{name}-{tag}"
     if not bucket_by:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)

@@ -92,13 +92,13 @@ def train_set_profile(censored: DataFrame) -> DataFrame:
             .withColumn("rank_pool", F.when(trainable, F.array_join(_rank_pool(F.col("n_train_options")), ","))))
 
 
-def dense_index(keys: DataFrame, name: str) -> DataFrame:
+def dense_index(keys: DataFrame, name: str, run_tag: str | None = None) -> DataFrame:
     """Give each row of ``keys`` a dense int id 0..n-1, without sending rows through the
     driver: per-partition counts (one row per partition) become offsets added to the
     within-partition position. The tagged table is written once, so every later read sees
     the same ids."""
     tagged = write_stage(keys.select("*", F.spark_partition_id().alias("_pid"),
-                                     F.monotonically_increasing_id().alias("_mono")), "tagged")
+                                     F.monotonically_increasing_id().alias("_mono")), "tagged", run_tag=run_tag)
     counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mono").alias("_first"))
     offsets = counts.withColumn(
         "_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
@@ -109,7 +109,8 @@ def dense_index(keys: DataFrame, name: str) -> DataFrame:
             .drop("_pid", "_mono", "_first", "_offset"))
 
 
-def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -> DataFrame:
+def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None,
+                  run_tag: str | None = None) -> DataFrame:
     """The grid with ``qty_imputed``: observed units, predictions in censored cells of
     trainable groups, null in censored cells of untrainable groups, 0 for all-zero options.
 
@@ -124,8 +125,8 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
              .join(profile.where("trainable"), GROUP, "left_semi"))
 
     # Stable dense ids for users (group, option) and items (group, minute).
-    users = dense_index(cells.select(*OPTION).distinct(), "user_base")
-    items = dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base")
+    users = dense_index(cells.select(*OPTION).distinct(), "user_base", run_tag)
+    items = dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base", run_tag)
 
     fold_order = F.xxhash64(F.lit(SEED), F.col("attr_prd_cd"), F.col("ord_ts"))
     observed = (cells.where(~F.col("is_censored"))
@@ -145,7 +146,7 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
                       (F.col("user_base") * N_COPIES + F.col("copy")).cast("int").alias("user"),
                       (F.col("item_base") * N_COPIES + F.col("copy")).cast("int").alias("item"),
                       F.col("qty").cast("float").alias("rating")))
-    copies = write_stage(copies, "copies")
+    copies = write_stage(copies, "copies", run_tag=run_tag)
 
     # Fallback for an unseen user or item: mean of the copy's training ratings in the group.
     means = (copies.where(F.col("role") == "train").groupBy(*GROUP, "copy")
@@ -153,7 +154,7 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
     pools = (profile.where("trainable")
              .select(*GROUP, F.explode(_rank_pool(F.col("n_train_options"))).alias("rank"))
              .withColumn("rank", F.greatest(F.col("rank"), F.lit(1))).distinct())
-    pools = write_stage(pools, "pools")
+    pools = write_stage(pools, "pools", run_tag=run_tag)
     ranks = sorted(r["rank"] for r in pools.select("rank").distinct().collect())  # a handful of ints
     grid_settings = [(r, reg_i) for r in ranks for reg_i in range(len(settings.reg_params))]
     blocks = settings.num_blocks

@@ -132,7 +132,7 @@ class DailyRun:
 
     @cached_property
     def imputed(self) -> DataFrame:
-        return impute_ops.impute_demand(self.censored, self.impute_settings)
+        return impute_ops.impute_demand(self.censored, self.impute_settings, run_tag=self.run_tag)
 
     @cached_property
     def estimated(self) -> DataFrame:

@@ -12,6 +12,7 @@ rows and the censored grid, which the report, the snapshots and the imputation a
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -41,6 +42,20 @@ class DailyRun:
         self.impute_settings = impute_settings or impute_ops.ImputeSettings()
         self.run_tag = new_run_tag()
 
+    def prepare(self, grid: bool = True, report: bool = False) -> "DailyRun":
+        """Write the run's independent base stages side by side (Spark runs jobs submitted
+        from several threads concurrently): the per-minute order aggregate next to the
+        broadcast x product block, then what depends on the latter."""
+        first = [lambda: self.pgm] + ([lambda: self.minutes] if grid else [])
+        with ThreadPoolExecutor(max_workers=len(first)) as pool:
+            for fut in [pool.submit(f) for f in first]:
+                fut.result()
+        second = [lambda: self.products] + ([lambda: self.order_totals] if report else [])
+        with ThreadPoolExecutor(max_workers=len(second)) as pool:
+            for fut in [pool.submit(f) for f in second]:
+                fut.result()
+        return self
+
     def _write(self, df: DataFrame, name: str, **kwargs) -> DataFrame:
         return write_stage(df, name, run_tag=self.run_tag, **kwargs)
 

@@ -125,8 +125,11 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None,
              .join(profile.where("trainable"), GROUP, "left_semi"))
 
     # Stable dense ids for users (group, option) and items (group, minute).
-    users = dense_index(cells.select(*OPTION).distinct(), "user_base", run_tag)
-    items = dense_index(cells.select(*GROUP, "ord_ts").distinct(), "item_base", run_tag)
+    # The two id tables are independent small jobs: submit them side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        users_f = pool.submit(dense_index, cells.select(*OPTION).distinct(), "user_base", run_tag)
+        items_f = pool.submit(dense_index, cells.select(*GROUP, "ord_ts").distinct(), "item_base", run_tag)
+        users, items = users_f.result(), items_f.result()
 
     fold_order = F.xxhash64(F.lit(SEED), F.col("attr_prd_cd"), F.col("ord_ts"))
     observed = (cells.where(~F.col("is_censored"))

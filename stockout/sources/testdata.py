@@ -53,6 +53,7 @@ def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True)
         tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
         # Eight tables derive from the same lineitem x part join: keep it while they are written.
         base = _base(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        base.count()  # fill the cache once before the table writes read it side by side
         try:
             root = write_parquet_root(derive_testdata(spark, sf_dir, base=base),
                                       f"{ensure_checkpoint_dir(spark).rstrip('/')}/sources/{tag}")

@@ -26,11 +26,11 @@ def output_root(spark: SparkSession) -> str:
     return root or ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
 
 
-def check_keys(df: DataFrame, key: tuple[str, ...]) -> None:
-    """Primary-key check before a write: no null key column, no duplicate key (one small job;
-    the result is a count, nothing is collected)."""
+def check_keys(df: DataFrame, key: tuple[str, ...], required: tuple[str, ...] = ()) -> None:
+    """Pre-write check: no null in the key or ``required`` columns, no duplicate key (one
+    small job; the result is two counts, nothing else is collected)."""
     nulls = F.lit(False)
-    for k in key:
+    for k in tuple(key) + tuple(required):
         nulls = nulls | F.col(k).isNull()
     stats = (df.groupBy(*key).agg(F.count("*").alias("_n"), F.max(nulls).alias("_null"))
              .agg(F.count(F.when(F.col("_n") > 1, 1)).alias("dups"),
@@ -52,7 +52,7 @@ def write_snapshot(snapshot: DataFrame, path: str | None = None, table: str = "s
     spark = snapshot.sparkSession
     path = path or f"{output_root(spark)}/{table}"
     out = snapshot.select([F.col(f.name).cast(f.dataType) for f in schemas.SNAPSHOT_SCHEMA.fields])
-    check_keys(out, schemas.SNAPSHOT_KEY)
+    check_keys(out, schemas.SNAPSHOT_KEY, required=("value",))
     return _write_days(out, path)
 
 

@@ -54,3 +54,9 @@ def test_display_names_round_trip(spark):
     shown = to_display_names(df)
     assert len(set(shown.columns)) == 39 and "방송코드" in shown.columns
     assert from_display_names(shown).columns == cols
+
+
+def test_snapshot_value_must_not_be_null(spark):
+    bad = spark.createDataFrame([(1, 1, 11, None, "20160808")], SNAP)
+    with pytest.raises(KeyViolation):
+        write_snapshot(bad, tempfile.mkdtemp(prefix="stockout-sink-") + "/snap")

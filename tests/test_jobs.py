@@ -44,3 +44,15 @@ def test_day_scope_matches_all_days_slice(spark):
 def test_month_day_list():
     days = month_day_list(2016, 2)
     assert days[0] == "20160201" and days[-1] == "20160229" and len(days) == 29
+
+
+def test_channel_scope_matches_all_channels_slice(spark):
+    """A live-channel run equals the live broadcasts' slice of the both-channel run."""
+    from stockout.operators.scope import Scope
+    from stockout.plans.daily import DailyRun
+
+    src = from_testdata(spark, SMOKE_DIR)
+    live = DailyRun(src, Scope(channels=("C",))).soldout_time
+    both = DailyRun(src).soldout_time.where(F.col("pgm_id") % 2 == 0)  # even years are live
+    got = sorted(live.collect())
+    assert got and got == sorted(both.collect())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_FALLBACK_LOCK = threading.Lock()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -58,7 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     app = sc.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="stockout-ckpt-")
-        sc.setCheckpointDir(_LOCAL_FALLBACK[app])
+    with _FALLBACK_LOCK:
+        if app not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="stockout-ckpt-")
+            sc.setCheckpointDir(_LOCAL_FALLBACK[app])
     return sc.getCheckpointDir() or _LOCAL_FALLBACK[app]

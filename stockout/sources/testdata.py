@@ -9,6 +9,8 @@ it needs.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from stockout.sources.tables import Sources, _conform, read_parquet_root, write_
 
 # (application id, test-data folder) -> root of the tables written for it in this application.
 _WRITTEN: dict[tuple[str, str], Sources] = {}
+_WRITING = threading.Lock()  # queries of one application may be built from several threads
 
 _TYPE_INDEX = ("CASE p_type WHEN 'SMALL' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LARGE' THEN 3 "
                "WHEN 'ECONOMY' THEN 4 WHEN 'PROMO' THEN 5 ELSE 6 END")
@@ -49,6 +52,11 @@ def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True)
     if not materialize:
         return derive_testdata(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _WRITING:
+        return _materialized(spark, sf_dir, key)
+
+
+def _materialized(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> Sources:
     if key not in _WRITTEN:
         tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
         # Eight tables derive from the same lineitem x part join: keep it while they are written.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application, so that
+    functions running there can be imported whatever the workers' own path is."""
+    app = spark.sparkContext.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="stockout-py-"), "stockout_package.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in sorted(os.walk(package)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)
+
+
 _LOCAL_FALLBACK: dict[str, str] = {}
 _FALLBACK_LOCK = threading.Lock()
 

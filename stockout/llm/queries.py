@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
+from stockout.llm.urls import urls_query
 
 QUERIES = {
     "op1_quality": quality_query,
     "op6_secrets": secrets_query,
+    "op8_urls": urls_query,
 }
 
 #: None of the operators registered so far can be stated in SQL; they are held against

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stockout.llm.chunks import chunks_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
 from stockout.llm.urls import urls_query
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_quality": quality_query,
     "op6_secrets": secrets_query,
     "op8_urls": urls_query,
+    "op10_chunks": chunks_query,
 }
 
 #: None of the operators registered so far can be stated in SQL; they are held against

@@ -6,12 +6,14 @@ from stockout.llm.chunks import chunks_query
 from stockout.llm.decontaminate import decontaminate_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
+from stockout.llm.token_files import token_files_query
 from stockout.llm.urls import urls_query
 
 QUERIES = {
     "op1_quality": quality_query,
     "op2_decontaminate": decontaminate_query,
     "op6_secrets": secrets_query,
+    "op7_token_files": token_files_query,
     "op8_urls": urls_query,
     "op10_chunks": chunks_query,
 }

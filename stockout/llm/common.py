@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,3 +22,36 @@ def fold(row_id: str | Column, n: int) -> Column:
 def content(column: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
+
+
+class WordHashes:
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __init__(self, bound: int = 500_000):
+        self.known: dict[str, int] = {}
+        self.bound = bound
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > self.bound:
+            known.clear()
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Karp-Rabin hashes of all runs of ``k`` words: sum of hash * base ** (k - 1 - j), modulo
+    2 ** 64, as signed numbers; runs of different lengths never share a hash but by chance."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    out = np.full(n, np.uint64(k))
+    for j in range(k):
+        out = out * _BASE + hashes[j:j + n]
+    out ^= out >> np.uint64(31)
+    return out.view(np.int64)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockout.llm.chunks import chunks_query
 from stockout.llm.decontaminate import decontaminate_query
 from stockout.llm.embeddings import embeddings_query
+from stockout.llm.minhash import minhash_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
 from stockout.llm.token_files import token_files_query
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_quality": quality_query,
     "op2_decontaminate": decontaminate_query,
     "op3_embeddings": embeddings_query,
+    "op4_minhash": minhash_query,
     "op6_secrets": secrets_query,
     "op7_token_files": token_files_query,
     "op8_urls": urls_query,

@@ -8,6 +8,7 @@ from stockout.llm.embeddings import embeddings_query
 from stockout.llm.minhash import minhash_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
+from stockout.llm.sentencepiece import sentencepiece_query
 from stockout.llm.token_files import token_files_query
 from stockout.llm.urls import urls_query
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_decontaminate": decontaminate_query,
     "op3_embeddings": embeddings_query,
     "op4_minhash": minhash_query,
+    "op5_sentencepiece": sentencepiece_query,
     "op6_secrets": secrets_query,
     "op7_token_files": token_files_query,
     "op8_urls": urls_query,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +58,19 @@ def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
         out = out * _BASE + hashes[j:j + n]
     out ^= out >> np.uint64(31)
     return out.view(np.int64)
+
+
+def by_group(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of batches that come sorted by ``keys``; a group may span batches."""
+    rest = None
+    for batch in batches:
+        frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if not len(frame):
+            continue
+        values = frame[keys].to_numpy()
+        starts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()]
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield frame.iloc[a:b]
+        rest = frame.iloc[starts[-1]:]
+    if rest is not None and len(rest):
+        yield rest

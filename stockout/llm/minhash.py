@@ -13,8 +13,13 @@ No group is ever expanded to all its pairs, and no link between groups is lost:
 * documents with the same words in the same order form a class, whose smallest id stands for it;
 * in every bucket of a band, members are verified against the smallest member only; verified links
   are merged to components;
-* only buckets whose members are still in different components are looked at again, and only at
-  pairs across components whose registers leave a similarity of ``threshold`` possible.
+* buckets whose members are still in different components are looked at again: in each of
+  ``rounds`` rounds, members are verified against one member of another component, drawn anew
+  per bucket by a hash, so that a large group falls together in a few rounds;
+* what is then still apart is compared block against block: a task compares the registers of two
+  blocks of a bucket, verifies pairs across components whose registers leave a similarity of
+  ``threshold`` possible, each pair in the first band it shares, and returns only links that
+  join components. No table of pairs is made, however many members are similar but not enough.
 
 Defined results: rows with a null id are never compared and stay; a null text counts as empty;
 texts without words form one class; a text of fewer than five words is one run; rows of one id
@@ -34,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockout.llm.common import WordHashes, content, read_table, rolling
+from stockout.llm.common import WordHashes, by_group, content, read_table, rolling
 from stockout.llm.components import connected_components
 from stockout.stage import write_stage
 
@@ -51,6 +56,8 @@ class MinHashSettings:
     bands: int = 20
     rows: int = 5
     slack: float = 0.16
+    rounds: int = 2
+    block: int = 256
     seed: int = 90_173
 
     @property
@@ -222,38 +229,39 @@ def near_duplicates(documents: DataFrame, settings: MinHashSettings | None = Non
     hubs = (places.groupBy("band", "key").agg(F.min("rep").alias("hub"), F.count("*").alias("n"))
             .where("n > 1").drop("n"))
     members = write_stage(places.join(hubs, ["band", "key"]), "minhash_members")
-    stars = members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    tried = write_stage(members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(),
+                        "minhash_pairs")
     # An id whose rows differ stands for several classes, which are linked by it.
     own = (known.join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).where("doc_id != rep")
            .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     doubled = known.groupBy("doc_id").agg(F.min("c1").alias("x"), F.max("c1").alias("y")).where("x != y").select(
         F.col("doc_id").alias("a"))
     same_id = own.join(doubled, "a", "left_semi")
-    links = write_stage(verified(stars, documents, s).unionByName(same_id), "minhash_links")
+    links = write_stage(verified(tried, documents, s).unionByName(same_id), "minhash_links")
     components = connected_components(links)
-
-    # Buckets that hold several components: pairs across them whose registers allow a link.
-    placed = (members.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")))
-    mixed = (placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x != y").select("band", "key"))
-    open_ = (placed.where("rep != hub").join(mixed, ["band", "key"], "left_semi")
-             .join(classes.select("rep", _numbers("registers", s.registers, 2).alias("registers")), "rep")
-             .select("band", "key", "rep", "component", "registers"))
-    open_ = write_stage(open_, "minhash_open")
-    other = open_.select("band", "key", F.col("rep").alias("b"), F.col("component").alias("component_b"),
-                         F.col("registers").alias("registers_b"))
-    agree = F.size(F.filter(F.zip_with("registers", "registers_b", lambda x, y: x == y), lambda e: e))
-    across = (open_.withColumnRenamed("rep", "a")
-              .join(other, (open_["band"] == other["band"]) & (open_["key"] == other["key"])
-                    & (F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b"))
-                    & (agree >= (s.threshold - s.slack) * s.registers))
-              .select("a", "b").distinct())
-    across = write_stage(across, "minhash_across")
-    if not across.isEmpty():
-        more = write_stage(verified(across, documents, s), "minhash_links")
-        if not more.isEmpty():
-            components = connected_components(links.unionByName(more))
+    bucket = ["band", "key"]
+    for turn in range(s.rounds + 1):
+        placed = (members.select(*bucket, "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
+                  .withColumn("component", F.coalesce("component", "rep")))
+        draw = F.xxhash64("rep", *bucket, F.lit(turn))
+        mixed = (placed.groupBy(*bucket)
+                 .agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                      F.min_by(F.struct("rep", "component"), draw).alias("drawn")).where("x != y"))
+        open_ = write_stage(placed.join(mixed.select(*bucket, "drawn"), bucket), "minhash_open")
+        if open_.isEmpty():
+            break
+        if turn < s.rounds:
+            pairs = open_.where(F.col("component") != F.col("drawn.component")).select(
+                F.least("rep", "drawn.rep").alias("a"), F.greatest("rep", "drawn.rep").alias("b"))
+            pairs = write_stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "minhash_pairs")
+            tried = tried.unionByName(pairs)
+            new = verified(pairs, documents, s)
+        else:
+            new = _links_across(open_, classes, documents, s)
+        new = write_stage(new, "minhash_links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            components = connected_components(links)
 
     resolved = (classes.select("c1", "c2", F.col("rep").alias("class_id"))
                 .join(components, F.col("class_id") == F.col("node"), "left")
@@ -265,6 +273,63 @@ def near_duplicates(documents: DataFrame, settings: MinHashSettings | None = Non
                       (~identified | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
+def _compare_blocks(s: MinHashSettings):
+    """For rows of one block pair: links that join two of its components."""
+    def links(frame: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        reps, component = frame["rep"].tolist(), frame["component"].tolist()
+        own, band = frame["own"].to_numpy(), int(frame["band"].iloc[0])
+        lo, hi = int(frame["lo"].iloc[0]), int(frame["hi"].iloc[0])
+        registers = np.stack([np.frombuffer(r, dtype="<u2") for r in frame["registers"]])
+        keys = np.stack([np.frombuffer(r, dtype="<i8") for r in frame["bands"]])
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        reader, hash_words, opened = zstandard.ZstdDecompressor(), WordHashes(), {}
+
+        def runs(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in opened:
+                text = reader.decompress(frame["packed"].iloc[k]).decode("utf-8", "surrogatepass")
+                opened[k] = shingles(words_of(text), s.words, hash_words)
+            return opened[k]
+
+        second = np.flatnonzero(own == hi)
+        for i in np.flatnonzero(own == lo).tolist():
+            others = second[second > i] if lo == hi else second
+            agree = (registers[others] == registers[i]).sum(axis=1)
+            earlier = (keys[others, :band] == keys[i, :band]).any(axis=1)
+            for j in others[(agree >= (s.threshold - s.slack) * s.registers) & ~earlier].tolist():
+                x, y = find(component[i]), find(component[j])
+                if x != y and probability_jaccard(runs(i), runs(j)) >= s.threshold:
+                    parent[max(x, y)] = min(x, y)
+                    yield reps[i], reps[j]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in by_group(batches, ["band", "key", "lo", "hi"]):
+            yield pd.DataFrame(list(links(group)), columns=["a", "b"], dtype=np.int64)
+
+    return compare
+
+
+def _links_across(open_: DataFrame, classes: DataFrame, documents: DataFrame, s: MinHashSettings) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different components."""
+    bucket = ["band", "key"]
+    n_blocks = open_.groupBy(*bucket).agg(F.ceil(F.count("*") / s.block).alias("n"))
+    texts = write_stage(documents.select(F.col("doc_id").cast("long").alias("rep"), _packed().alias("packed"))
+                        .join(open_.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "minhash_texts")
+    own, other = F.col("own"), F.col("other")
+    rows = (open_.join(n_blocks, bucket).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+            .select("rep", "component", *bucket, "own", F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi"))
+            .join(classes.select("rep", "bands", "registers"), "rep").join(texts, "rep"))
+    place = [*bucket, "lo", "hi"]
+    return (rows.repartition(*place).sortWithinPartitions(*place, "rep")
+            .mapInPandas(_compare_blocks(s), "a long, b long"))
+
+
 def deduplicate(documents: DataFrame, settings: MinHashSettings | None = None) -> DataFrame:
     """``documents`` with one row of each group: that of the smallest id and, of several rows of
     one id, that of the smallest text hash. Rows with a null id all stay."""

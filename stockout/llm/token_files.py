@@ -73,6 +73,36 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _encode_pieces(encoder, pieces: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each piece. Pieces go to the library many at a time, put together by one of its
+    special tokens: it cuts a text there before anything else, so each piece is encoded as if
+    alone, and the token's id tells where one ends."""
+    special = [(i, t.content) for i, t in sorted(encoder.get_added_tokens_decoder().items())
+               if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+    tokens = [t for _, t in special]
+    if not special:
+        for e in encoder.encode_batch_fast(pieces, add_special_tokens=False):
+            yield np.array(e.ids, dtype="<u4")
+        return
+    cut, joint = special[0]
+    for start in range(0, len(pieces), 500):
+        some = pieces[start:start + 500]
+        # A piece that holds a special token itself, or could form one with its neighbours, goes alone.
+        alone = [any(t in p for t in tokens) or any(p.startswith(t[-k:]) or p.endswith(t[:k])
+                                                    for t in tokens for k in range(1, len(t))) for p in some]
+        together = [p for p, a in zip(some, alone, strict=True) if not a]
+        ids = np.array(encoder.encode(joint.join(together), add_special_tokens=False).ids, dtype="<u4")
+        parts = iter(np.split(ids, np.flatnonzero(ids == cut)))
+        first = True
+        for p, a in zip(some, alone, strict=True):
+            if a:
+                yield np.array(encoder.encode(p, add_special_tokens=False).ids, dtype="<u4")
+            else:
+                part = next(parts)
+                yield part if first else part[1:]
+                first = False
+
+
 _TOKENIZERS: dict[str, object] = {}
 _PIECES: dict[str, dict[str, bytes]] = {}
 
@@ -95,8 +125,8 @@ def encode_texts(texts: list[str], tokenizer: str, cache_pieces: int) -> Iterato
             known.clear()
             known[""] = b""
         new = list({p for pieces in split for p in pieces if p not in known})
-        for p, e in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        for p, ids in zip(new, _encode_pieces(encoder, new), strict=True):
+            known[p] = ids.tobytes()
         for pieces in split:
             yield b"".join(map(known.__getitem__, pieces))
 

@@ -25,9 +25,9 @@ CHUNK_BYTES = 32 << 20
 HELD_WORDS = 500_000
 
 
-def deal(documents: DataFrame, columns: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows (chunk, ``columns``, packed), partitioned by chunk. The number of chunks follows the
-    bytes of all texts."""
+def deal(documents: DataFrame, columns: list[str], chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+    """Rows (chunk, ``columns``, packed), partitioned by chunk, and the number of chunks, which
+    follows the bytes of all texts."""
     total = documents.select(F.sum(F.octet_length("text")).alias("n")).collect()[0]["n"] or 0
     n = max(1, -(-total // chunk_bytes))
 
@@ -36,8 +36,8 @@ def deal(documents: DataFrame, columns: list[str], chunk_bytes: int = CHUNK_BYTE
         return pd.Series([packer.compress(t.encode("utf-8", "surrogatepass")) for t in texts])
 
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-    return (documents.select(chunk.alias("chunk"), *columns, F.pandas_udf(pack, "binary")(content()).alias("packed"))
-            .repartition("chunk"))
+    packed = F.pandas_udf(pack, "binary")(content()).alias("packed")
+    return documents.select(chunk.alias("chunk"), *columns, packed).repartition("chunk"), n
 
 
 def unpack(packed: bytes, reader: zstandard.ZstdDecompressor) -> str:

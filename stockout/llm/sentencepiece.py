@@ -39,6 +39,7 @@ from stockout.llm.chunked import chunk_words, deal, unpack
 from stockout.llm.common import read_table
 
 MARK = "▁"  # stands for a blank
+PARTS_PER_CHUNK = 8
 MAX_FOLD = 61  # bits 0 to 61 of a signed 64-bit number
 
 
@@ -103,35 +104,40 @@ def _bit(n: Column) -> Column:
 
 
 def lattice(words: DataFrame, table: PieceTable, bits: bool = False) -> DataFrame:
-    """Rows (word, edges): for every substring of a word that is a piece, an edge (rank, start,
-    len, ids); rank is the negative score, so that the best sorts first. Characters without a
-    piece have an edge of their bytes' ids, with a null rank. ``bits`` adds to each edge the bits
-    of its ends and of the places inside it, for words of at most ``MAX_FOLD`` characters."""
+    """``words`` (word, any other columns) with edges: for every substring of a word that is a
+    piece, an edge (rank, start, len, ids); rank is the negative score, so that the best sorts
+    first. Characters without a piece have an edge of their bytes' ids, with a null rank.
+
+    With ``bits``, each edge also has the bits of its ends and of the places inside it, edges of
+    more than one character are in a second column, joins, and words of more than ``MAX_FOLD``
+    characters have no edges."""
     spark = words.sparkSession
+    others = [c for c in words.columns if c != "word"]
     # The vocabulary is a fixed file of some ten thousand rows, whatever the corpus.
     pieces = F.broadcast(table.frame(spark))
     n = F.length("word")
-    parts = (words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
-             .select("word", "start", F.explode(F.sequence(
-                 F.lit(1), F.least(F.lit(table.longest), n - F.col("start")))).alias("len"))
+    fits = n <= MAX_FOLD if bits else F.lit(True)
+    nothing = F.array(F.lit(0))
+    starts = F.when(fits, F.sequence(F.lit(0), n - 1)).otherwise(nothing)
+    lengths = F.when(fits, F.sequence(F.lit(1), F.least(F.lit(table.longest), n - F.col("start")))).otherwise(nothing)
+    parts = (words.select("*", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("len"))
              .withColumn("piece", F.substring(F.col("word"), F.col("start") + 1, F.col("len"))))
-    met = parts.join(pieces, "piece", "left").where((F.col("len") == 1) | F.col("id").isNotNull())
+    met = parts.join(pieces, "piece", "left").where((F.col("len") <= 1) | F.col("id").isNotNull())
     byte_ids = F.array(*[F.lit(i) for i in table.byte_ids])
     hexed = F.hex(F.encode("piece", "UTF-8"))
     as_bytes = F.transform(F.sequence(F.lit(0), F.octet_length(F.encode("piece", "UTF-8")) - 1),
                            lambda i: F.element_at(byte_ids, F.conv(
                                F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1))
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes)
+    ids = F.when(F.col("id").isNotNull(), F.array("id")).when(F.col("len") > 0, as_bytes)
     edge = [(-F.col("score")).alias("rank"), F.col("start"), F.col("len"), ids.alias("ids")]
-    if bits:
-        end = F.col("start") + F.col("len")
-        edge += [(_bit(F.col("start")) + _bit(end)).alias("ends"), (_bit(end) - _bit(F.col("start") + 1)).alias("inner")]
-    edge = F.struct(*edge)
-    grouped = met.groupBy("word")
+    grouped, kept = met.groupBy("word"), [F.first(c).alias(c) for c in others]
     if not bits:
-        return grouped.agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+        return grouped.agg(*kept, F.array_sort(F.collect_list(F.struct(*edge))).alias("edges"))
+    end = F.col("start") + F.col("len")
+    edge = F.struct(*edge, (_bit(F.col("start")) + _bit(end)).alias("ends"),
+                    (_bit(end) - _bit(F.col("start") + 1)).alias("inner"))
     # The merges look again and again, and only at the longer edges.
-    return grouped.agg(F.collect_list(edge).alias("edges"),
+    return grouped.agg(*kept, F.collect_list(F.when(F.col("len") > 0, edge)).alias("edges"),
                        F.array_sort(F.collect_list(F.when(F.col("len") > 1, edge))).alias("joins"))
 
 
@@ -213,20 +219,22 @@ def merge_long(word: str, ranks: dict[str, tuple[float, int]], byte_ids: tuple[i
 
 
 def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> DataFrame:
-    """Rows (word, ids) for distinct ``words``."""
+    """Distinct ``words`` (word, any other columns) with their ids."""
+    others = [c for c in words.columns if c != "word"]
     n = F.length("word")
     if fold == "viterbi":
-        return lattice(words, table).select("word", fold_viterbi(F.col("edges"), n).alias("ids"))
+        return lattice(words, table).select("word", *others, fold_viterbi(F.col("edges"), n).alias("ids"))
     ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p}
     byte_ids, longest = table.byte_ids, table.longest
 
     def long_ids(texts: pd.Series) -> pd.Series:
-        return pd.Series([merge_long(w, ranks, byte_ids, longest) for w in texts], dtype=object)
+        return pd.Series([merge_long(w, ranks, byte_ids, longest) if w is not None else None for w in texts], dtype=object)
 
-    short = lattice(words.where(n <= MAX_FOLD), table, bits=True).select(
-        "word", fold_merges(F.col("edges"), F.col("joins"), n).alias("ids"))
-    long = words.where(n > MAX_FOLD).select("word", F.pandas_udf(long_ids, "array<int>")("word").alias("ids"))
-    return short.unionByName(long)
+    folded = F.when(n <= MAX_FOLD, fold_merges(F.col("edges"), F.col("joins"), n))
+    return (lattice(words, table, bits=True)
+            .select("word", *others, folded.alias("folded"))
+            .withColumn("merged", F.pandas_udf(long_ids, "array<int>")(F.when(n > MAX_FOLD, F.col("word"))))
+            .select("word", *others, F.coalesce("folded", "merged").alias("ids")))
 
 
 # --- documents -------------------------------------------------------------------------
@@ -264,11 +272,12 @@ def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merge
 
     # Ids travel as text: a null among numbers would turn them to floats.
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    dealt = deal(rows, ["doc_id"])
+    dealt, n_chunks = deal(rows, ["doc_id"])
     counted = chunk_words(dealt, lambda row, text: dict.fromkeys(segments(text, pattern), 1))
-    chunks = counted.groupBy("word").agg(F.collect_set("chunk").alias("chunks"))
-    encoded = encode_words(chunks.select("word"), table, fold)
-    values = (chunks.join(encoded, "word").select(F.explode("chunks").alias("chunk"), "word", "ids"))
+    # The edges of a partition's words are grouped in memory: several partitions per chunk.
+    words = (counted.repartition(PARTS_PER_CHUNK * n_chunks, "word").groupBy("word")
+             .agg(F.collect_set("chunk").alias("chunks")))
+    values = encode_words(words, table, fold).select(F.explode("chunks").alias("chunk"), "word", "ids")
     out = (dealt.groupBy("chunk").cogroup(values.groupBy("chunk"))
            .applyInPandas(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
     return out.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from stockout.llm.chunks import chunks_query
 from stockout.llm.decontaminate import decontaminate_query
 from stockout.llm.embeddings import embeddings_query
+from stockout.llm.lm import lm_query
 from stockout.llm.minhash import minhash_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
@@ -21,9 +22,10 @@ QUERIES = {
     "op6_secrets": secrets_query,
     "op7_token_files": token_files_query,
     "op8_urls": urls_query,
+    "op9_lm": lm_query,
     "op10_chunks": chunks_query,
 }
 
-#: None of the operators registered so far can be stated in SQL; they are held against
-#: brute-force versions and held-out figures in tests/llm.
+#: SQL can state none of these; tests/llm holds them against brute-force versions, libraries, exact
+#: round trips and held-out figures.
 ORACLE_SQL: dict[str, str] = {}

@@ -8,26 +8,23 @@ cross-validated mean absolute error over a grid, the model is refitted on all ob
 cells, and censored cells get the prediction clipped to [0, the group's largest observed
 value] and rounded half to even.
 
-Spark ML ALS does the factorization for all groups at once. The rating matrix of a run is
-block diagonal (a group's users only rate that group's items), and ALS's normal equations
-for a user or item only involve its own block, so one fit over all groups solves every
-group separately. The five folds and the final refit are six more disjoint copies of each
-block (ids offset by copy), so one ALS fit per (rank, regularization) setting scores every
-fold and produces every final prediction; fits = ranks x regs, independent of the number
-of groups, and they run concurrently.
+A group is bounded (its options x at most 2,880 minutes), so each group is solved whole by a
+vectorised function after one shuffle by group. The model is mean + option bias + minute bias +
+factors, fitted by alternating ridge regressions. Its start and its folds are drawn from the
+group's own key over its sorted cells, so a group's result depends on its data alone: not on
+partitions, the order of rows, the size of the cluster or what else is in the run.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockout.operators.grid import GROUP, OPTION
-from stockout.stage import write_stage
 
 # Fixed values of the imputation: seed, fold count, minimum observed cells, number of rank
 # candidates per group.
@@ -35,25 +32,14 @@ SEED = 23094
 N_FOLDS = 5
 MIN_OBSERVED = 5
 N_RANK_CANDIDATES = 5
-FINAL_COPY = N_FOLDS  # copy index of the refit on all observed cells
-N_COPIES = N_FOLDS + 1
 
 
 @dataclass(frozen=True)
 class ImputeSettings:
-    """``num_blocks``: ALS user/item blocks; by default one per ``ratings_per_block`` training
-    ratings, at most the cluster's default parallelism. ``parallelism``: fits submitted at
-    once (each fit is a chain of small jobs; running them side by side keeps the cluster busy)."""
+    """``reg_params``: ridge weights tried; ``max_iter``: alternations of one fit."""
 
     reg_params: tuple[float, ...] = (0.1, 0.01)
     max_iter: int = 10
-    parallelism: int = 16
-    num_blocks: int | None = None
-    ratings_per_block: int = 1_000_000
-    # ALS checkpoints factors when iteration % interval == 0, iteration 0 included. A
-    # 10-iteration lineage is cheap to recompute after an executor loss, so by default fits
-    # of up to 20 iterations skip it; longer fits checkpoint every 10.
-    checkpoint_interval: int | None = None
 
 
 def _rank_pool(n: F.Column) -> F.Column:
@@ -66,159 +52,122 @@ def _rank_pool(n: F.Column) -> F.Column:
     return F.array_sort(F.array_distinct(points))
 
 
-def _with_zero_flags(censored: DataFrame) -> DataFrame:
-    """Mark options whose every cell is an uncensored 0 (they never enter training)."""
-    by_option = Window.partitionBy(*OPTION)
-    nonzero = F.max(F.when(F.col("is_censored") | (F.col("qty") != 0), 1).otherwise(0)).over(by_option)
-    return censored.withColumn("all_zero", nonzero == 0)
-
-
 def train_set_profile(censored: DataFrame) -> DataFrame:
-    """Per group: sizes of the training set and the gates and rank candidates derived from it."""
-    cells = _with_zero_flags(censored).where(~F.col("all_zero"))
+    """Per group: sizes of the training set and the gates and rank candidates derived from it;
+    aggregated to options first, then to groups."""
     observed = ~F.col("is_censored")
-    prof = (cells.groupBy(*GROUP)
-            .agg(F.count_distinct(F.when(observed, F.col("attr_prd_cd"))).alias("n_train_options"),
-                 F.count(F.when(observed, 1)).alias("n_observed"),
-                 F.count(F.when(F.col("is_censored"), 1)).alias("n_censored"),
-                 F.max(F.when(observed, F.col("qty"))).alias("max_observed")))
-    zero = (_with_zero_flags(censored).groupBy(*GROUP)
-            .agg(F.count_distinct("attr_prd_cd").alias("n_options"),
-                 F.count_distinct(F.when(F.col("all_zero"), F.col("attr_prd_cd"))).alias("n_zero_options")))
+    options = (censored.groupBy(*OPTION)
+               .agg(F.count(F.when(observed, 1)).alias("observed"), F.count(F.when(~observed, 1)).alias("censored"),
+                    F.max(F.when(observed, F.col("qty"))).alias("largest"),
+                    (F.max(F.when(~observed | (F.col("qty") != 0), 1).otherwise(0)) == 0).alias("zero")))
+    used = ~F.col("zero")
     trainable = (F.col("n_censored") >= 1) & (F.col("n_observed") >= MIN_OBSERVED)
-    return (zero.join(prof, GROUP, "left")
-            .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_train_options", "n_observed", "n_censored")})
+    return (options.groupBy(*GROUP)
+            .agg(F.count("*").alias("n_options"), F.count(F.when(F.col("zero"), 1)).alias("n_zero_options"),
+                 F.count(F.when(used & (F.col("observed") > 0), 1)).alias("n_train_options"),
+                 F.coalesce(F.sum(F.when(used, F.col("observed"))), F.lit(0)).alias("n_observed"),
+                 F.coalesce(F.sum(F.when(used, F.col("censored"))), F.lit(0)).alias("n_censored"),
+                 F.max(F.when(used, F.col("largest"))).alias("max_observed"))
             .withColumn("trainable", trainable)
             .withColumn("rank_pool", F.when(trainable, F.array_join(_rank_pool(F.col("n_train_options")), ","))))
 
 
-def dense_index(keys: DataFrame, name: str, run_tag: str | None = None) -> DataFrame:
-    """Give each row of ``keys`` a dense int id 0..n-1, without sending rows through the
-    driver: per-partition counts (one row per partition) become offsets added to the
-    within-partition position. The tagged table is written once, so every later read sees
-    the same ids."""
-    tagged = write_stage(keys.select("*", F.spark_partition_id().alias("_pid"),
-                                     F.monotonically_increasing_id().alias("_mono")), "tagged", run_tag=run_tag)
-    counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mono").alias("_first"))
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)))
-    # One row per partition: a bounded table, safe to broadcast.
-    return (tagged.join(F.broadcast(offsets.select("_pid", "_first", "_offset")), "_pid")
-            .withColumn(name, (F.col("_offset") + F.col("_mono") - F.col("_first")).cast("int"))
-            .drop("_pid", "_mono", "_first", "_offset"))
-
-
-def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None,
-                  run_tag: str | None = None) -> DataFrame:
+def rank_candidates(n: int) -> list[int]:
+    """The same candidates as :func:`_rank_pool`, each at least 1."""
+    start, stop = n // N_RANK_CANDIDATES + 1, n - 1
+    points = (start + i * (stop - start) / (N_RANK_CANDIDATES - 1) for i in range(N_RANK_CANDIDATES))
+    return sorted({max(1, int(np.floor(x))) for x in points})
+
+
+def _ridge_rows(ratings: np.ndarray, mask: np.ndarray, factors: np.ndarray, reg: float) -> np.ndarray:
+    """Each row's factors given the columns' (ridge weight times its number of ratings)."""
+    count = mask.sum(axis=1)
+    gram = np.einsum("uc,ck,cl->ukl", mask, factors, factors)
+    gram += (reg * np.maximum(count, 1))[:, None, None] * np.eye(factors.shape[1])
+    return np.linalg.solve(gram, ((ratings * mask) @ factors)[:, :, None])[:, :, 0]
+
+
+def factorize(ratings: np.ndarray, mask: np.ndarray, rank: int, reg: float, iterations: int,
+              start: np.ndarray) -> np.ndarray:
+    """Predictions for every cell of an option x minute matrix from its cells in ``mask``;
+    ``start``: first minute factors. Options or minutes without a rating get no bias or factors."""
+    mean = (ratings * mask).sum() / max(mask.sum(), 1)
+    by_row, by_column = np.zeros(len(ratings)), np.zeros(ratings.shape[1])
+    rows, columns = mask.sum(axis=1), mask.sum(axis=0)
+    for _ in range(iterations):
+        rest = (ratings - mean - by_column[None]) * mask
+        by_row = rest.sum(axis=1) / np.maximum(rows * (1 + reg), 1)
+        rest = (ratings - mean - by_row[:, None]) * mask
+        by_column = rest.sum(axis=0) / np.maximum(columns * (1 + reg), 1)
+    base = mean + by_row[:, None] + by_column[None]
+    rest = (ratings - base) * mask
+    q = start[:, :rank]
+    p = np.zeros((len(ratings), rank))
+    for _ in range(iterations):
+        p = _ridge_rows(rest, mask, q, reg)
+        q = _ridge_rows(rest.T, mask.T, p, reg)
+    p[rows == 0] = 0
+    q[columns == 0] = 0
+    return base + p @ q.T
+
+
+def impute_group(frame: pd.DataFrame, settings: ImputeSettings) -> np.ndarray:
+    """Imputed units of one group's cells, in the frame's order; nan where a cell stays empty."""
+    qty = frame["qty"].to_numpy(dtype=float)
+    censored = frame["is_censored"].to_numpy(dtype=bool)
+    out = np.where(censored, np.nan, qty)
+    options, row = np.unique(frame["attr_prd_cd"].to_numpy(), return_inverse=True)
+    _, column = np.unique(frame["ord_ts"].to_numpy(), return_inverse=True)
+    busy = np.zeros(len(options), dtype=bool)
+    np.logical_or.at(busy, row, censored | (qty != 0))
+    out[~busy[row]] = 0.0
+    train = np.flatnonzero(~censored & busy[row])
+    if not (censored & busy[row]).any() or len(train) < MIN_OBSERVED:
+        return out
+    train = train[np.lexsort((column[train], row[train]))]
+    key = [SEED, *(int(frame[c].iloc[0]) % 2**32 for c in GROUP)]
+    rng = np.random.default_rng(key)
+    fold = np.empty(len(train), dtype=int)
+    fold[rng.permutation(len(train))] = np.arange(len(train)) % N_FOLDS
+    ranks = rank_candidates(len(np.unique(row[train])))
+    shape = (len(options), int(column.max()) + 1)
+    start = rng.normal(scale=0.1, size=(shape[1], max(ranks)))
+    ratings = np.zeros(shape)
+    ratings[row[train], column[train]] = qty[train]
+    top = qty[train].max()
+
+    def predict(cells: np.ndarray, rank: int, reg: float) -> np.ndarray:
+        mask = np.zeros(shape)
+        mask[row[cells], column[cells]] = 1
+        return np.clip(factorize(ratings, mask, rank, reg, settings.max_iter, start), 0, top)
+
+    errors = []
+    for rank in ranks:
+        for k, reg in enumerate(settings.reg_params):
+            mae = []
+            for f in range(N_FOLDS):
+                held = train[fold == f]
+                got = predict(train[fold != f], rank, reg)
+                mae.append(np.abs(got[row[held], column[held]] - qty[held]).mean())
+            errors.append((float(np.mean(mae)), k, rank))
+    _, k, rank = min(errors)
+    fill = np.flatnonzero(censored & busy[row])
+    out[fill] = np.rint(predict(train, rank, settings.reg_params[k])[row[fill], column[fill]])
+    return out
+
+
+def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -> DataFrame:
     """The grid with ``qty_imputed``: observed units, predictions in censored cells of
-    trainable groups, null in censored cells of untrainable groups, 0 for all-zero options.
-
-    Runs the ALS fits eagerly (model fitting is an action); the returned DataFrame is lazy
-    over the fitted factors.
-    """
+    trainable groups, null in censored cells of untrainable groups, 0 for all-zero options."""
     settings = settings or ImputeSettings()
-    spark = censored.sparkSession
-    grid = _with_zero_flags(censored)
-    profile = train_set_profile(censored).select(*GROUP, "trainable", "n_train_options", "max_observed")
-    cells = (grid.where(~F.col("all_zero"))
-             .join(profile.where("trainable"), GROUP, "left_semi"))
-
-    # Stable dense ids for users (group, option) and items (group, minute).
-    # The two id tables are independent small jobs: submit them side by side.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        users_f = pool.submit(dense_index, cells.select(*OPTION).distinct(), "user_base", run_tag)
-        items_f = pool.submit(dense_index, cells.select(*GROUP, "ord_ts").distinct(), "item_base", run_tag)
-        users, items = users_f.result(), items_f.result()
-
-    fold_order = F.xxhash64(F.lit(SEED), F.col("attr_prd_cd"), F.col("ord_ts"))
-    observed = (cells.where(~F.col("is_censored"))
-                .withColumn("fold", ((F.row_number().over(Window.partitionBy(*GROUP).orderBy(fold_order)) - 1)
-                                     % N_FOLDS).cast("int")))
-    censored_cells = cells.where(F.col("is_censored")).withColumn("fold", F.lit(-1))
-    copies = (observed.unionByName(censored_cells)
-              .join(users, OPTION).join(items, GROUP + ["ord_ts"])
-              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(N_COPIES - 1))))
-              .withColumn("role", F.when(F.col("fold") < 0,
-                                         F.when(F.col("copy") == FINAL_COPY, F.lit("predict")))
-                          .when(F.col("copy") == FINAL_COPY, F.lit("train"))
-                          .when(F.col("fold") == F.col("copy"), F.lit("holdout"))
-                          .otherwise(F.lit("train")))
-              .where(F.col("role").isNotNull())
-              .select(*OPTION, "ord_ts", "qty", "copy", "role",
-                      (F.col("user_base") * N_COPIES + F.col("copy")).cast("int").alias("user"),
-                      (F.col("item_base") * N_COPIES + F.col("copy")).cast("int").alias("item"),
-                      F.col("qty").cast("float").alias("rating")))
-    copies = write_stage(copies, "copies", run_tag=run_tag)
-
-    # Fallback for an unseen user or item: mean of the copy's training ratings in the group.
-    means = (copies.where(F.col("role") == "train").groupBy(*GROUP, "copy")
-             .agg(F.avg("qty").alias("train_mean")))
-    pools = (profile.where("trainable")
-             .select(*GROUP, F.explode(_rank_pool(F.col("n_train_options"))).alias("rank"))
-             .withColumn("rank", F.greatest(F.col("rank"), F.lit(1))).distinct())
-    pools = write_stage(pools, "pools", run_tag=run_tag)
-    ranks = sorted(r["rank"] for r in pools.select("rank").distinct().collect())  # a handful of ints
-    grid_settings = [(r, reg_i) for r in ranks for reg_i in range(len(settings.reg_params))]
-    blocks = settings.num_blocks
-    if not blocks:
-        n_train = copies.where(F.col("role") == "train").count()
-        blocks = max(1, min(spark.sparkContext.defaultParallelism, -(-n_train // settings.ratings_per_block)))
-
-    def fit(setting: tuple[int, int]) -> DataFrame:
-        rank, reg_i = setting
-        members = pools.where(F.col("rank") == rank).select(*GROUP)
-        data = copies.join(members, GROUP, "left_semi")
-        als = ALS(rank=rank, regParam=settings.reg_params[reg_i], maxIter=settings.max_iter,
-                  nonnegative=False, implicitPrefs=False, coldStartStrategy="nan", seed=SEED,
-                  userCol="user", itemCol="item", ratingCol="rating")
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-        interval = settings.checkpoint_interval
-        if interval is None:
-            interval = -1 if settings.max_iter <= 20 else 10
-        als = als.setCheckpointInterval(interval)
-        model = als.fit(data.where(F.col("role") == "train"))
-        scored = model.transform(data.where(F.col("role") != "train"))
-        return scored.select(*OPTION, "ord_ts", "qty", "copy", "role",
-                             F.col("prediction").cast("double").alias("prediction"),
-                             F.lit(rank).alias("rank"), F.lit(reg_i).alias("reg_i"))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(settings.parallelism, len(grid_settings) or 1))) as pool:
-        scored_parts = list(pool.map(fit, grid_settings))
-    if not scored_parts:
-        return _assemble(grid, profile, None)
-    scored = scored_parts[0]
-    for part in scored_parts[1:]:
-        scored = scored.unionByName(part)
-
-    clipped = (scored.join(means, GROUP + ["copy"], "left").join(profile.select(*GROUP, "max_observed"), GROUP)
-               .withColumn("est", F.when(F.isnan("prediction") | F.col("prediction").isNull(), F.col("train_mean"))
-                           .otherwise(F.col("prediction")))
-               .withColumn("est", F.least(F.greatest(F.col("est"), F.lit(0.0)), F.col("max_observed").cast("double"))))
-    fold_mae = (clipped.where(F.col("role") == "holdout")
-                .groupBy(*GROUP, "rank", "reg_i", "copy")
-                .agg(F.avg(F.abs(F.col("est") - F.col("qty"))).alias("mae")))
-    choice = (fold_mae.groupBy(*GROUP, "rank", "reg_i").agg(F.avg("mae").alias("mae"))
-              .groupBy(*GROUP)
-              .agg(F.min_by(F.struct("rank", "reg_i"), F.struct("mae", "reg_i", "rank")).alias("best"))
-              .select(*GROUP, F.col("best.rank").alias("rank"), F.col("best.reg_i").alias("reg_i")))
-    predictions = (clipped.where(F.col("role") == "predict")
-                   .join(choice, GROUP + ["rank", "reg_i"], "left_semi")
-                   .select(*OPTION, "ord_ts", F.bround(F.col("est"), 0).alias("predicted")))
-    return _assemble(grid, profile, predictions)
-
-
-def _assemble(grid: DataFrame, profile: DataFrame, predictions: DataFrame | None) -> DataFrame:
-    out = grid
-    if predictions is not None:
-        out = out.join(predictions, OPTION + ["ord_ts"], "left")
-    else:
-        out = out.withColumn("predicted", F.lit(None).cast("double"))
-    qty_imputed = (F.when(F.col("all_zero"), F.lit(0.0))
-                   .when(~F.col("is_censored"), F.col("qty").cast("double"))
-                   .otherwise(F.col("predicted")))
-    return out.select(*OPTION, "ord_ts", "qty", "is_censored", "broad_dt",
-                      qty_imputed.alias("qty_imputed"))
+    cells = censored.select(*OPTION, "ord_ts", "qty", "is_censored", "broad_dt")
+
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        imputed = pd.Series(impute_group(frame, settings), index=frame.index)
+        return frame.assign(qty_imputed=imputed.astype(object).where(imputed.notna(), None))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields)
+    return cells.groupBy(*GROUP).applyInPandas(solve, f"{schema}, qty_imputed double")
 
 
 def estimated_demand(imputed: DataFrame) -> DataFrame:

@@ -147,7 +147,9 @@ class DailyRun:
 
     @cached_property
     def imputed(self) -> DataFrame:
-        return impute_ops.impute_demand(self.censored, self.impute_settings, run_tag=self.run_tag)
+        # Every reader of the estimates reads the one solution.
+        return write_stage(impute_ops.impute_demand(self.censored, self.impute_settings), "imputed",
+                           run_tag=self.run_tag)
 
     @cached_property
     def estimated(self) -> DataFrame:

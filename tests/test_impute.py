@@ -1,13 +1,16 @@
 """Imputation invariants: observed cells intact, predictions bounded, gates honoured, repeatable."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import make_grid
-from stockout.operators.impute import ImputeSettings, estimated_demand, impute_demand, train_set_profile
+from stockout.operators.impute import (
+    ImputeSettings, estimated_demand, factorize, impute_demand, impute_group, train_set_profile)
 from stockout.operators.soldout import censor
 
-SETTINGS = ImputeSettings(max_iter=5, parallelism=4)
+SETTINGS = ImputeSettings(max_iter=5)
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +54,46 @@ def test_invariants(spark, grid):
     again = {(r["pgm_id"], r["attr_prd_cd"], r["ord_ts"]): r["qty_imputed"]
              for r in impute_demand(grid, SETTINGS).collect()}
     assert again == {(r["pgm_id"], r["attr_prd_cd"], r["ord_ts"]): r["qty_imputed"] for r in rows}
+
+
+def as_dict(imputed):
+    return {(r["pgm_id"], r["prd_cd"], r["attr_prd_cd"], r["ord_ts"]): r["qty_imputed"] for r in imputed.collect()}
+
+
+def test_result_depends_on_the_group_alone(spark, grid):
+    """Alone or with other groups, in other partitions, in another order: the same estimates."""
+    whole = as_dict(impute_demand(grid, SETTINGS))
+    alone = as_dict(impute_demand(grid.where("pgm_id = 1"), SETTINGS))
+    assert alone == {k: v for k, v in whole.items() if k[0] == 1}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            shuffled = grid.orderBy(F.xxhash64("attr_prd_cd", "ord_ts", F.lit(int(n)))).repartition(3)
+            assert as_dict(impute_demand(shuffled, SETTINGS)) == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_planted_low_rank_beats_the_means():
+    """Hidden cells of a planted low-rank group are predicted better than by its means."""
+    rng = np.random.default_rng(8)
+    options, minutes = 12, 60
+    truth = np.outer(rng.uniform(1, 10, options), rng.uniform(0.2, 3, minutes))
+    truth += np.outer(rng.uniform(0, 4, options), rng.uniform(0, 3, minutes))
+    hidden = rng.random(truth.shape) < 0.2
+    frame = pd.DataFrame([(1, 2, o, m, round(truth[o, m]), bool(hidden[o, m])) for o in range(options)
+                          for m in range(minutes)],
+                         columns=["pgm_id", "prd_cd", "attr_prd_cd", "ord_ts", "qty", "is_censored"])
+    got = impute_group(frame, ImputeSettings()).reshape(truth.shape)
+    error = np.abs(got - truth)[hidden].mean()
+    mean = truth[~hidden].mean()
+    by_option = np.array([truth[o][~hidden[o]].mean() for o in range(options)])[:, None] + 0 * truth
+    assert error < 0.5 * np.abs(mean - truth)[hidden].mean()
+    assert error < 0.5 * np.abs(by_option - truth)[hidden].mean()
+
+
+def test_cells_without_ratings_get_the_biases():
+    ratings, mask = np.array([[1.0, 3.0, 0.0], [0.0, 0.0, 0.0]]), np.array([[1.0, 1.0, 0.0], [0.0, 0.0, 0.0]])
+    got = factorize(ratings, mask, 1, 0.1, 5, np.full((3, 1), 0.1))
+    assert np.isfinite(got).all() and got[1, 2] == pytest.approx(2.0)

@@ -26,8 +26,9 @@ def minute_orders(src: Sources, scope: Scope = ALL) -> DataFrame:
     """On-air units of real customers per (broadcast, channel, option, order day, order
     minute) over the broadcast day and the day after. Not keyed on the order's channel.
 
-    Filters on the order lines reach the parquet scan; the aggregation is partial on the
-    map side, so a hot option collapses to one row per minute before the shuffle.
+    Filters on the order lines reach the parquet scan. The lines are summed to minutes before
+    they meet the broadcasts, with a partial sum on the map side, so a hot option is one row
+    per minute and task when it is shuffled, and lines themselves never are.
     """
     orders = (src.order_fact
               .where((F.col("broad_ord_time_dtl_cd") == ON_AIR) & (F.col("tot_ord_cust_no") > 0))
@@ -35,6 +36,8 @@ def minute_orders(src: Sources, scope: Scope = ALL) -> DataFrame:
     bounds = scope.order_day_bounds()
     if bounds is not None:
         orders = orders.where(F.col("ord_dt").between(*bounds))
+    orders = (orders.groupBy("pgm_id", "prd_cd", "attr_prd_cd", "ord_dt", "ord_time")
+              .agg(F.sum("tot_ord_qty").alias("tot_ord_qty")))
     window = broadcast_products(src, scope).withColumn(
         "last_ord_dt", day_after(F.col("broad_dt"), scope.numeric_day_window))
     return (orders.join(window, ["pgm_id", "prd_cd"])

@@ -9,7 +9,6 @@ from stockout import schemas
 from stockout.functions import broadcast_time_text, option_detail
 
 # Columns with a numeric type that arrive as text and must not fail the job when malformed.
-_TEXT_TO_NUMBER = ("fst_broad_yyyy", "fst_broad_mm", "myshop_fst_broad_dt")
 
 
 def present(report: DataFrame, with_estimate: bool = True) -> DataFrame:
@@ -29,16 +28,17 @@ def present(report: DataFrame, with_estimate: bool = True) -> DataFrame:
             continue
         dtype = schemas.REPORT_TYPES[name]
         c = F.col(name) if name in out.columns else F.lit(None)
-        c = c.try_cast(dtype) if name in _TEXT_TO_NUMBER else c.cast(dtype)
-        cols.append(c.alias(name))
+        cols.append(c.cast(dtype).alias(name))
     return out.select(*cols)
 
 
 def to_display_names(report: DataFrame) -> DataFrame:
-    """English keys -> display names; all 39 (or 38) columns must be known."""
-    unknown = set(report.columns) - set(schemas.REPORT_COLUMN_NAMES)
-    if unknown:
-        raise ValueError(f"report columns without a display name: {sorted(unknown)}")
+    """English keys -> display names; the columns must be exactly the 39 known ones, or those
+    without the estimate."""
+    known = set(schemas.REPORT_COLUMN_NAMES)
+    unknown, absent = set(report.columns) - known, known - set(report.columns) - {"estim_qty"}
+    if unknown or absent:
+        raise ValueError(f"report columns without a display name: {sorted(unknown)}, absent: {sorted(absent)}")
     return report.withColumnsRenamed({c: schemas.REPORT_COLUMN_NAMES[c] for c in report.columns})
 
 

@@ -19,7 +19,7 @@ ON_AIR, PRE_ORDER = "O1", "P1"
 
 
 def broadcast_sequence(src: Sources, scope: Scope = ALL) -> DataFrame:
-    """Broadcast x product rows of the run, with ``broad_seq`` = the n-th airing of the
+    """Broadcast x product x listed channel rows of the run, with ``broad_seq`` = the n-th airing of the
     product on that channel over the whole history (dense rank by start time).
 
     The rank must see all history, so the run's filter is applied to the ranked rows; the
@@ -35,11 +35,11 @@ def broadcast_sequence(src: Sources, scope: Scope = ALL) -> DataFrame:
         run_products = listed.join(run, "pgm_id", "left_semi").select("prd_cd")
         history = history.join(run_products, "prd_cd", "left_semi")
     airing = history.select(
-        "pgm_id", "prd_cd",
+        "pgm_id", "prd_cd", "chanl_cd",
         F.dense_rank().over(Window.partitionBy("prd_cd", "chanl_cd").orderBy("broad_str_dtm"))
         .cast("int").alias("broad_seq"))
     return (run.join(listed, "pgm_id")
-            .join(airing, ["pgm_id", "prd_cd"])
+            .join(airing, ["pgm_id", "prd_cd", "chanl_cd"])
             .join(src.product.select("prd_cd"), "prd_cd", "left_semi")
             .select("pgm_id", "prd_cd", "chanl_cd", "broad_str_dtm", "broad_dt", "pgm_nm",
                     "broad_seq", "run_chanl_cd",
@@ -159,6 +159,7 @@ def first_broadcast(src: Sources, prd: DataFrame) -> DataFrame:
             .groupBy("prd_cd").agg(F.min("broad_dt").alias("myshop_fst_broad_dt")))
 
 
+# The report base's columns, in order.
 REPORT_BASE_COLUMNS = (
     "item_nm", "item_cd", "prd_nm", "prd_cd", "size_str", "color_cnt", "fst_broad_yyyy",
     "fst_broad_mm", "attr_prd_cd", "chanl_cd", "broad_seq", "attr_prd_1_val", "attr_prd_2_val_org",

@@ -1,11 +1,11 @@
 """The daily job and its backfill: compute a set of days and load both result tables.
 
-``run_days`` replaces exactly the days it computed in the report and the snapshot tables
-(dynamic partition overwrite by ``broad_dt``); both channels of a day are in the same
-write. A month backfill is one run over the month's days, not one run per day.
+``run_days`` replaces exactly the days it was asked for in the report and the snapshot tables,
+those that come out empty included; both channels of a day are in the same write. A month
+backfill is one run over the month's days, not one run per day.
 
-    python -m stockout.plans.jobs --sources /lake/warehouse --day 20160808
-    python -m stockout.plans.jobs --sources /lake/warehouse --month 2016-08
+    python -m stockout.plans.jobs --sources /lake/warehouse --output /lake/results --day 20160808
+    python -m stockout.plans.jobs --sources /lake/warehouse --output /lake/results --month 2016-08
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import SparkSession
 from stockout.operators.impute import ImputeSettings
 from stockout.operators.scope import Scope
 from stockout.plans.daily import DailyRun
-from stockout.sinks import write_report, write_snapshot
+from stockout.session import SESSION_CONF, ensure_checkpoint_dir, ship_package
+from stockout.sinks import ALL_DAYS, load_days
 from stockout.sources import Sources, read_parquet_root
 
 
@@ -30,9 +31,8 @@ def run_days(src: Sources, days: list[str] | tuple[str, ...] | None = None, *,
     scope = Scope(days=tuple(days) if days else None, numeric_day_window=numeric_day_window)
     run = DailyRun(src, scope, materialize=True, impute_settings=settings)
     report = run.report(with_estimate=True, display_names=False)
-    report_out = write_report(report, report_path)
-    snapshot_out = write_snapshot(run.snapshot.drop("prd_cd"), snapshot_path)
-    return report_out, snapshot_out
+    return load_days(report, run.snapshot.drop("prd_cd"), report_path, snapshot_path,
+                     tuple(days) if days else ALL_DAYS)
 
 
 def month_day_list(year: int, month: int) -> list[str]:
@@ -53,16 +53,25 @@ def run_yesterday(src: Sources, today: dt.date | None = None, **kwargs) -> tuple
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--sources", required=True, help="folder with the nine source tables as parquet")
-    when = parser.add_mutually_exclusive_group()
+    parser.add_argument("--output", required=True, help="shared folder of the two result tables")
+    parser.add_argument("--stage-dir", help="shared folder of stages, unless spark.checkpoint.dir names one")
+    when = parser.add_mutually_exclusive_group(required=True)
     when.add_argument("--day", action="append", help="broadcast day YYYYMMDD (repeatable)")
     when.add_argument("--month", help="YYYY-MM: every day of the month")
     when.add_argument("--yesterday", action="store_true")
-    parser.add_argument("--report-path")
-    parser.add_argument("--snapshot-path")
+    when.add_argument("--all", action="store_true", help="every day in the sources; replaces both tables")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("stockout-daily").getOrCreate()
+    builder = SparkSession.builder.appName("stockout-daily")
+    for key, value in SESSION_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    if args.stage_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(args.stage_dir)
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     src = read_parquet_root(spark, args.sources)
-    paths = {"report_path": args.report_path, "snapshot_path": args.snapshot_path}
+    output = args.output.rstrip("/")
+    paths = {"report_path": f"{output}/soldout_report", "snapshot_path": f"{output}/soldout_snapshot"}
     if args.month:
         year, month = (int(x) for x in args.month.split("-"))
         out = run_month(src, year, month, **paths)

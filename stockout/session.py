@@ -72,8 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for checkpoints and written stages.
 
     Taken from ``spark.checkpoint.dir`` (the cluster's shared folder), else from a
-    checkpoint folder already set on the context. Only when neither exists (local tests) is
-    a scratch folder created and set on the context.
+    checkpoint folder already set on the context. Only on a local master (tests) is a scratch
+    folder created when neither exists; on a cluster, where executors share no local folder,
+    that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -84,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = sc.applicationId
     with _FALLBACK_LOCK:
         if app not in _LOCAL_FALLBACK:

@@ -1,7 +1,7 @@
 """Writers for the two result tables: day-partitioned, idempotent per day."""
 
-from stockout.sinks.tables import (check_keys, drop_table, load_report, load_snapshot, output_root,
-                                   replace_table, write_report, write_snapshot)
+from stockout.sinks.tables import (ALL_DAYS, check_keys, drop_table, load_days, load_report, load_snapshot,
+                                   output_root, replace_table, write_report, write_snapshot)
 
-__all__ = ["check_keys", "drop_table", "load_report", "load_snapshot", "output_root", "replace_table",
-           "write_report", "write_snapshot"]
+__all__ = ["ALL_DAYS", "check_keys", "drop_table", "load_days", "load_report", "load_snapshot", "output_root",
+           "replace_table", "write_report", "write_snapshot"]

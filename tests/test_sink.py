@@ -60,3 +60,33 @@ def test_snapshot_value_must_not_be_null(spark):
     bad = spark.createDataFrame([(1, 1, 11, None, "20160808")], SNAP)
     with pytest.raises(KeyViolation):
         write_snapshot(bad, tempfile.mkdtemp(prefix="stockout-sink-") + "/snap")
+
+
+def test_reload_drops_days_that_come_out_empty(spark):
+    from stockout import schemas
+    from stockout.sinks import ALL_DAYS, load_days, load_report
+
+    root = tempfile.mkdtemp(prefix="stockout-sink-")
+    snap = spark.createDataFrame([(1, 1, 11, 4, "20160808"), (2, 1, 21, 7, "20160809")], SNAP)
+    key = ", ".join(f"{c} {'string' if c == 'broad_dt' else 'long'}" for c in (*schemas.REPORT_KEY, "broad_dt"))
+    width = len(schemas.REPORT_KEY)
+    report = spark.createDataFrame([(*[1] * width, "20160808"), (*[2] * width, "20160809")], key)
+    paths = (f"{root}/report", f"{root}/snap")
+    both = ("20160808", "20160809")
+
+    def days():
+        return [sorted({r["broad_dt"] for r in load(spark, p).collect()})
+                for load, p in ((load_report, paths[0]), (load_snapshot, paths[1]))]
+
+    load_days(report, snap, *paths, both)
+    assert days() == [list(both)] * 2
+    load_days(report.limit(0), snap.limit(0), *paths, ("20160808",))  # the day was cancelled
+    assert days() == [["20160809"]] * 2
+    with pytest.raises(ValueError):
+        load_days(report, snap, *paths, ("20160809",))  # rows of a day that was not asked for
+    bad = snap.withColumn("value", F.lit(None).cast("long"))
+    with pytest.raises(KeyViolation):  # nothing is loaded if either table is bad
+        load_days(report, bad, *paths, both)
+    assert days() == [["20160809"]] * 2
+    load_days(report.limit(1), snap.limit(1), *paths, ALL_DAYS)
+    assert days() == [["20160808"]] * 2

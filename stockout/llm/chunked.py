@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from stockout.llm.common import content
 
 #: Bytes of text per chunk. A chunk's documents, words and values are held by one task.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: Distinct words that a task holds before it passes them on.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
 
 
 def deal(documents: DataFrame, columns: list[str], chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:

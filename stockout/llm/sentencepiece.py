@@ -99,52 +99,88 @@ def segments(text: str, pattern: re.Pattern) -> list[str]:
 
 # --- the lattice, as tables ------------------------------------------------------------
 
+def _substrings(words: DataFrame, longest: int, most: int | None) -> DataFrame:
+    """Rows (word, start, len, piece): every substring of at most ``longest`` characters; of a
+    word of more than ``most`` characters only one row of length 0."""
+    n = F.length("word")
+    fits = n <= most if most else F.lit(True)
+    nothing = F.array(F.lit(0))
+    starts = F.when(fits, F.sequence(F.lit(0), n - 1)).otherwise(nothing)
+    lengths = F.when(fits, F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).otherwise(nothing)
+    return (words.select("word", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("len"))
+            .withColumn("piece", F.substring(F.col("word"), F.col("start") + 1, F.col("len"))))
+
+
+def _byte_ids(table: PieceTable, text: Column) -> Column:
+    ids = F.array(*[F.lit(i) for i in table.byte_ids])
+    raw = F.encode(text, "UTF-8")
+    return F.transform(F.sequence(F.lit(0), F.octet_length(raw) - 1), lambda i: F.element_at(
+        ids, F.conv(F.substring(F.hex(raw), i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1))
+
+
+def lattice(words: DataFrame, table: PieceTable) -> DataFrame:
+    """Rows (word, edges): for every substring of a word that is a piece, an edge (rank, start,
+    len, ids); rank is the negative score. Characters without a piece have an edge of their
+    bytes' ids, with a null rank."""
+    # The vocabulary is a fixed file of some ten thousand rows, whatever the corpus.
+    pieces = F.broadcast(table.frame(words.sparkSession))
+    met = (_substrings(words, table.longest, None).join(pieces, "piece", "left")
+           .where((F.col("len") == 1) | F.col("id").isNotNull()))
+    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(table, F.col("piece")))
+    edge = F.struct((-F.col("score")).alias("rank"), "start", "len", ids.alias("ids"))
+    return met.groupBy("word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+
+
+# An edge of a word of at most MAX_FOLD characters as one number: the place of its score among
+# all scores, best first; its start; its length; its id. Numbers sort by score, then start.
+_ID_BITS, _LEN_BITS, _START_BITS = 20, 6, 6
+_NO_PIECE = (1 << _ID_BITS) - 1
+
+
+def _field(edge: Column, shift: int, bits: int) -> Column:
+    return F.shiftright(edge, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
 def _bit(n: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int"))
 
 
-def lattice(words: DataFrame, table: PieceTable, bits: bool = False) -> DataFrame:
-    """``words`` (word, any other columns) with edges: for every substring of a word that is a
-    piece, an edge (rank, start, len, ids); rank is the negative score, so that the best sorts
-    first. Characters without a piece have an edge of their bytes' ids, with a null rank.
-
-    With ``bits``, each edge also has the bits of its ends and of the places inside it, edges of
-    more than one character are in a second column, joins, and words of more than ``MAX_FOLD``
-    characters have no edges."""
-    spark = words.sparkSession
-    others = [c for c in words.columns if c != "word"]
+def packed_lattice(words: DataFrame, table: PieceTable) -> DataFrame:
+    """Rows (word, edges) as :func:`lattice`, each edge one number, sorted. Words of more than
+    ``MAX_FOLD`` characters have none."""
+    order = sorted({-s for p, s in zip(table.pieces, table.scores, strict=True) if p})
+    if len(table.pieces) >= _NO_PIECE:
+        raise ValueError("too many pieces")
+    place = {x: k for k, x in enumerate(order)}
+    rows = [(p, (place[-s] << (_START_BITS + _LEN_BITS + _ID_BITS)) + i)
+            for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p]
     # The vocabulary is a fixed file of some ten thousand rows, whatever the corpus.
-    pieces = F.broadcast(table.frame(spark))
-    n = F.length("word")
-    fits = n <= MAX_FOLD if bits else F.lit(True)
-    nothing = F.array(F.lit(0))
-    starts = F.when(fits, F.sequence(F.lit(0), n - 1)).otherwise(nothing)
-    lengths = F.when(fits, F.sequence(F.lit(1), F.least(F.lit(table.longest), n - F.col("start")))).otherwise(nothing)
-    parts = (words.select("*", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("len"))
-             .withColumn("piece", F.substring(F.col("word"), F.col("start") + 1, F.col("len"))))
-    met = parts.join(pieces, "piece", "left").where((F.col("len") <= 1) | F.col("id").isNotNull())
-    byte_ids = F.array(*[F.lit(i) for i in table.byte_ids])
-    hexed = F.hex(F.encode("piece", "UTF-8"))
-    as_bytes = F.transform(F.sequence(F.lit(0), F.octet_length(F.encode("piece", "UTF-8")) - 1),
-                           lambda i: F.element_at(byte_ids, F.conv(
-                               F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1))
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).when(F.col("len") > 0, as_bytes)
-    edge = [(-F.col("score")).alias("rank"), F.col("start"), F.col("len"), ids.alias("ids")]
-    grouped, kept = met.groupBy("word"), [F.first(c).alias(c) for c in others]
-    if not bits:
-        return grouped.agg(*kept, F.array_sort(F.collect_list(F.struct(*edge))).alias("edges"))
-    end = F.col("start") + F.col("len")
-    edge = F.struct(*edge, (_bit(F.col("start")) + _bit(end)).alias("ends"),
-                    (_bit(end) - _bit(F.col("start") + 1)).alias("inner"))
-    # The merges look again and again, and only at the longer edges.
-    return grouped.agg(*kept, F.collect_list(F.when(F.col("len") > 0, edge)).alias("edges"),
-                       F.array_sort(F.collect_list(F.when(F.col("len") > 1, edge))).alias("joins"))
-
-
-def fold_merges(edges: Column, joins: Column, n: Column) -> Column:
-    """Ids of a word by merging neighbours, best rank first, leftmost of equals. ``edges`` and
-    ``joins`` come from :func:`lattice` with bits; the set bits of the state are the boundaries
-    between symbols."""
+    pieces = F.broadcast(words.sparkSession.createDataFrame(rows, "piece string, value long"))
+    met = (_substrings(words, table.longest, MAX_FOLD).join(pieces, "piece", "left")
+           .where((F.col("len") <= 1) | F.col("value").isNotNull()))
+    edge = (F.coalesce(F.col("value"), F.lit(_NO_PIECE)) + F.shiftleft(F.col("start").cast("long"), _LEN_BITS + _ID_BITS)
+            + F.shiftleft(F.col("len").cast("long"), _ID_BITS))
+    return met.groupBy("word").agg(F.array_sort(F.collect_list(F.when(F.col("len") > 0, edge))).alias("edges"))
+
+
+def _with_bits(edges: Column, longer: bool) -> Column:
+    """Edges as (start, len, id, ends, inner): the last two have the bits of an edge's ends and
+    of the places inside it."""
+    size = lambda e: _field(e, _ID_BITS, _LEN_BITS)
+    start = lambda e: _field(e, _ID_BITS + _LEN_BITS, _START_BITS)
+    wanted = F.filter(edges, lambda e: size(e) > 1) if longer else edges
+    return F.transform(wanted, lambda e: F.struct(
+        start(e).alias("start"), size(e).alias("len"), _field(e, 0, _ID_BITS).alias("id"),
+        (_bit(start(e)) + _bit(start(e) + size(e))).alias("ends"),
+        (_bit(start(e) + size(e)) - _bit(start(e) + 1)).alias("inner")))
+
+
+def fold_merges(symbols: Column, joins: Column, word: Column, table: PieceTable) -> Column:
+    """Ids of a word by merging neighbours, best score first, leftmost of equals. ``joins`` are
+    its edges of more than one character, in that order, and ``symbols`` all edges, with bits;
+    the set bits of the state are the boundaries between symbols."""
+    n = F.length(word)
+
     def applies(e: Column, mask: Column, symbols_inside: int) -> Column:
         return ((mask.bitwiseAND(e["ends"]) == e["ends"])
                 & (F.bit_count(mask.bitwiseAND(e["inner"])) == symbols_inside))
@@ -153,10 +189,13 @@ def fold_merges(edges: Column, joins: Column, n: Column) -> Column:
         best = F.get(F.filter(joins, lambda e: applies(e, mask, 1)), F.lit(0))
         return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
 
+    def ids(e: Column) -> Column:
+        return F.when(e["id"] == _NO_PIECE, _byte_ids(table, F.substring(word, e["start"] + 1, e["len"]))).otherwise(
+            F.array(e["id"]))
+
     def finish(mask: Column) -> Column:
-        symbols = F.filter(edges, lambda e: applies(e, mask, 0))
-        in_order = F.array_sort(F.transform(symbols, lambda e: F.struct(e["start"].alias("start"), e["ids"].alias("ids"))))
-        return F.flatten(F.transform(in_order, lambda e: e["ids"]))
+        chosen = F.array_sort(F.filter(symbols, lambda e: applies(e, mask, 0)))
+        return F.flatten(F.transform(chosen, ids))
 
     start = _bit(n + 1) - F.lit(1).cast("long")
     turns = F.slice(F.sequence(F.lit(0), n), F.lit(2), F.greatest(n - 1, F.lit(0)))
@@ -219,22 +258,23 @@ def merge_long(word: str, ranks: dict[str, tuple[float, int]], byte_ids: tuple[i
 
 
 def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> DataFrame:
-    """Distinct ``words`` (word, any other columns) with their ids."""
-    others = [c for c in words.columns if c != "word"]
-    n = F.length("word")
+    """Rows (word, ids) for distinct ``words`` (word)."""
     if fold == "viterbi":
-        return lattice(words, table).select("word", *others, fold_viterbi(F.col("edges"), n).alias("ids"))
+        return lattice(words, table).select("word", fold_viterbi(F.col("edges"), F.length("word")).alias("ids"))
     ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p}
     byte_ids, longest = table.byte_ids, table.longest
 
     def long_ids(texts: pd.Series) -> pd.Series:
         return pd.Series([merge_long(w, ranks, byte_ids, longest) if w is not None else None for w in texts], dtype=object)
 
-    folded = F.when(n <= MAX_FOLD, fold_merges(F.col("edges"), F.col("joins"), n))
-    return (lattice(words, table, bits=True)
-            .select("word", *others, folded.alias("folded"))
-            .withColumn("merged", F.pandas_udf(long_ids, "array<int>")(F.when(n > MAX_FOLD, F.col("word"))))
-            .select("word", *others, F.coalesce("folded", "merged").alias("ids")))
+    fits = F.length("word") <= MAX_FOLD
+    folded = F.when(fits, fold_merges(F.col("symbols"), F.col("joins"), F.col("word"), table))
+    return (packed_lattice(words, table)
+            .select("word", _with_bits(F.col("edges"), False).alias("symbols"),
+                    _with_bits(F.col("edges"), True).alias("joins"))
+            .select("word", folded.alias("folded"))
+            .withColumn("merged", F.pandas_udf(long_ids, "array<int>")(F.when(~fits, F.col("word"))))
+            .select("word", F.coalesce("folded", "merged").alias("ids")))
 
 
 # --- documents -------------------------------------------------------------------------
@@ -277,7 +317,9 @@ def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merge
     # The edges of a partition's words are grouped in memory: several partitions per chunk.
     words = (counted.repartition(PARTS_PER_CHUNK * n_chunks, "word").groupBy("word")
              .agg(F.collect_set("chunk").alias("chunks")))
-    values = encode_words(words, table, fold).select(F.explode("chunks").alias("chunk"), "word", "ids")
+    # Both sides of this join are partitioned by word already.
+    values = (words.join(encode_words(words.select("word"), table, fold), "word")
+              .select(F.explode("chunks").alias("chunk"), "word", "ids"))
     out = (dealt.groupBy("chunk").cogroup(values.groupBy("chunk"))
            .applyInPandas(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
     return out.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

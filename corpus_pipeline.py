@@ -21,7 +21,7 @@ from stockout.llm import minhash as _minhash
 from stockout.llm import quality as _quality
 from stockout.llm import secrets as _secrets
 from stockout.llm import sentencepiece as _sentencepiece
-from stockout.llm.common import read_table
+from stockout.llm.common import free_name, read_table
 from stockout.session import ensure_checkpoint_dir, ship_package
 from stockout.stage import write_stage
 
@@ -30,8 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     ship_package(spark)
     model = _quality.fit_documents(docs, read_table(spark, sf_dir, "labels"))
-    scored = _quality.score_documents(docs, model, "_quality_score")
-    return scored.where(F.col("_quality_score") >= _quality.THRESHOLD).select(*docs.columns)
+    score = free_name("_quality_score", docs.columns)
+    scored = _quality.score_documents(docs, model, score)
+    return scored.where(F.col(score) >= _quality.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column is called so (upper case or not)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def fold(row_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``. A null id counts as remainder 0, the held-out
     part, so nothing is learned from it."""

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockout.llm.common import WordHashes, content, read_table, rolling
+from stockout.llm.common import WordHashes, content, free_name, read_table, rolling
 from stockout.stage import write_stage
 
 _WORD = re.compile(r"\w+")
@@ -165,10 +165,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: TilingSet
 
 def clean(documents: DataFrame, benchmark: DataFrame, settings: TilingSettings | None = None) -> DataFrame:
     """The documents that hold no benchmark item, unchanged."""
+    bad_id, bad_copy = (free_name(n, documents.columns) for n in ("_bad_id", "_bad_copy"))
     bad = (contaminated(documents.select("doc_id", "text"), benchmark, settings)
-           .select(F.col("doc_id").alias("_bad_id"), F.col("copy").alias("_bad_copy")).distinct())
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-                          & (F.xxhash64(content()) == F.col("_bad_copy")), "left_anti")
+           .select(F.col("doc_id").alias(bad_id), F.col("copy").alias(bad_copy)).distinct())
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(bad_id))
+                          & (F.xxhash64(content()) == F.col(bad_copy)), "left_anti")
 
 
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:

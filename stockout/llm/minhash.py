@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockout.llm.common import WordHashes, by_group, content, read_table, rolling
+from stockout.llm.common import WordHashes, by_group, content, free_name, read_table, rolling
 from stockout.llm.components import connected_components
 from stockout.stage import write_stage
 
@@ -334,14 +334,16 @@ def deduplicate(documents: DataFrame, settings: MinHashSettings | None = None) -
     """``documents`` with one row of each group: that of the smallest id and, of several rows of
     one id, that of the smallest text hash. Rows with a null id all stay."""
     names = documents.columns
+    gone_id, alone, tie, place = (free_name(n, names) for n in ("_gone", "_alone", "_tie", "_place"))
     gone = (near_duplicates(documents.select("doc_id", "text"), settings).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    left = documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    tie = F.xxhash64(content())
-    first = Window.partitionBy("doc_id", "_alone").orderBy("_tie")
-    return (left.withColumns({"_alone": alone, "_tie": tie}).withColumn("_place", F.row_number().over(first))
-            .where("_place = 1").select(*names))
+            .select(F.col("doc_id").alias(gone_id)).distinct())
+    left = documents.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
+    # Rows without an id are alone, whatever their number; a column of their texts spreads them.
+    left = left.withColumns({tie: F.xxhash64(content()),
+                             alone: F.when(F.col("doc_id").isNull(), F.xxhash64(content()))})
+    first = Window.partitionBy("doc_id", alone).orderBy(tie)
+    return (left.withColumn(place, F.row_number().over(first))
+            .where((F.col(place) == 1) | F.col("doc_id").isNull()).select(*names))
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:

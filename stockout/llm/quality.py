@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockout.llm.common import fold, read_table
+from stockout.llm.common import fold, free_name, read_table
 from stockout.stage import write_stage
 
 THRESHOLD = 0.3
@@ -217,7 +217,7 @@ def scorer(model: QdaModel | None):
 
 def score_documents(documents: DataFrame, model: QdaModel | None, name: str = "score") -> DataFrame:
     """``documents`` with their score in a new column ``name``."""
-    scratch = f"{name}_vector"
+    scratch = free_name(f"{name}_vector", documents.columns)
     return features(documents, scratch).withColumn(name, scorer(model)(F.col(scratch))).drop(scratch)
 
 

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockout.llm.common import content, read_table
+from stockout.llm.common import content, free_name, read_table
 from stockout.stage import write_stage
 
 # Kinds in the order in which they are listed and sorted.
@@ -168,7 +168,7 @@ def redact(documents: DataFrame, settings: SecretSettings | None = None, mask: s
     spans by one), and ``n_chars``, where there is one, set to the new length. Texts without
     spans, null ones included, stay as they are."""
     names = documents.columns
-    key, spans = "_secret_key", "_secret_spans"
+    key, spans = (free_name(n, names) for n in ("_secret_key", "_secret_spans"))
     hits = (find_secrets(documents.select("doc_id", "text"), settings).where(F.size("spans") > 0)
             .select(F.col("doc_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([key]))
 

@@ -152,7 +152,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, settings: UrlSettin
     a rule decides)."""
     settings = settings or UrlSettings()
     names = pages.columns
-    urls = pages.withColumns({"_host": host_of(F.col("url")), "_path": path_of(F.col("url"))})
+    # A page's own columns travel in one, so that none is in the way.
+    urls = pages.select(F.struct("*").alias("_page"), "url").withColumns({"_host": host_of(F.col("url")), "_path": path_of(F.col("url"))})
     urls = urls.withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules))
     urls = urls.withColumn("_verdict", verdict_of(F.col("_rule"), rules))
     urls = urls.withColumn("_label", F.when(F.col("_verdict").isNotNull(),
@@ -185,7 +186,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, settings: UrlSettin
         verdict = F.coalesce("_verdict", F.when(p >= settings.threshold, BLOCK).otherwise(ALLOW))
         probability = F.when(~decided, p)
     out |= {"verdict": verdict, "block_probability": probability}
-    return urls.select(*[c for c in names if c not in out], *[v.alias(k) for k, v in out.items()])
+    return urls.select(*[F.col("_page")[c].alias(c) for c in names if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def urls_query(spark: SparkSession, sf_dir: str) -> DataFrame:

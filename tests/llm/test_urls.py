@@ -25,13 +25,14 @@ URLS = ["https://a.example.net/en/1", "http://EXAMPLE.NET/de/", "x://net", "net/
 
 
 def test_rules(spark):
-    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string")
+    pages = spark.createDataFrame([(i, u, "h", i) for i, u in enumerate(URLS * 2)],
+                                  "page_id long, url string, host string, _host int")
     got = {r["page_id"]: r for r in U.judge(pages).collect()}
     assert len(got) == 2 * len(URLS)
     for i, u in enumerate(URLS * 2):
         host, path, rule, verdict = plain(u)
         r = got[i]
-        assert (r["host"], r["path"], r["rule"]) == (host, path, rule), u
+        assert (r["host"], r["path"], r["rule"], r["_host"]) == (host, path, rule, i), u
         assert r["verdict"] == verdict if verdict else r["verdict"] in ("allow", "block")
 
 

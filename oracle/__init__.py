@@ -1,6 +1,6 @@
 """DuckDB statements that compute, from the pre-registered test tables, what each registered
-Spark query computes. They restate the source tables (``fixture.sql``) and the reference's
-own query blocks and rules (``blocks.sql``) in plain SQL, independently of the Spark code."""
+Spark query computes. They state the source tables (``fixture.sql``) and the rules of the
+report and of the sold-out minute (``blocks.sql``) in plain SQL, independently of the Spark code."""
 
 from __future__ import annotations
 
@@ -54,19 +54,19 @@ _FINAL = {
     "low_order_filter": """
         SELECT pgm_id, prd_cd, chanl_cd, attr_prd_cd, ord_dt, ord_time, tot_ord_qty FROM minute_orders
         WHERE pgm_id IN (SELECT pgm_id FROM minute_orders GROUP BY pgm_id HAVING sum(tot_ord_qty) >= 5)""",
-    "broadcast_sequence": "SELECT pgm_id, prd_cd, chanl_cd, broad_str_dtm, broad_dt, pgm_nm, broad_seq, run_chanl_cd FROM tmp_pgm",
+    "broadcast_sequence": "SELECT pgm_id, prd_cd, chanl_cd, broad_str_dtm, broad_dt, pgm_nm, broad_seq, run_chanl_cd FROM airing",
     "product_attributes": """
         SELECT prd_cd, md_id, prd_nm, item_nm, item_cd, attr_prd_cd, fst_broad_yyyy, fst_broad_mm, fst_broad_dt,
                CAST(fst_prd_sale_prc AS DOUBLE) AS fst_prd_sale_prc, attr_prd_rep_cd, attr_prd_whl_val,
                attr_prd_1_val, attr_prd_2_val, attr_prd_2_val_org
-        FROM tmp_prd""",
-    "product_attr_info": "SELECT prd_cd, color_cnt, size_str FROM tmp_prd_attr_info",
+        FROM option_info""",
+    "product_attr_info": "SELECT prd_cd, color_cnt, size_str FROM product_facts",
     "exposure_minutes": """
         SELECT m.pgm_id, m.prd_cd, CAST(m.weiht_mi AS BIGINT) AS weiht_mi, CAST(m.expos_mi AS BIGINT) AS expos_mi,
                CAST(round(m.weiht_mi / 60) AS BIGINT) AS weiht_minutes, CAST(round(m.expos_mi / 60) AS BIGINT) AS expos_minutes
-        FROM tmp_minute m
-        WHERE EXISTS (SELECT 1 FROM tmp_pgm p WHERE p.pgm_id = m.pgm_id AND p.prd_cd = m.prd_cd)""",
-    "supply_by_attr": "SELECT pgm_id, prd_cd, attr_prd_rep_cd, suply_apnt_qty FROM tmp_sply",
+        FROM exposure m
+        WHERE EXISTS (SELECT 1 FROM airing p WHERE p.pgm_id = m.pgm_id AND p.prd_cd = m.prd_cd)""",
+    "supply_by_attr": "SELECT pgm_id, prd_cd, attr_prd_rep_cd, suply_apnt_qty FROM promised",
     "order_base": """
         SELECT pgm_id, prd_cd, attr_prd_cd, tot_ord_qty, CAST(net_ord_amt AS DOUBLE) AS net_ord_amt,
                CAST(sup_shr_net_ord_dc_amt AS DOUBLE) AS sup_shr_net_ord_dc_amt, net_ord_qty,
@@ -75,18 +75,16 @@ _FINAL = {
                CAST(naccm_sale_subtr_apply_rt AS DOUBLE) AS naccm_sale_subtr_apply_rt,
                CAST(tot_ord_naccm_sale_amt AS DOUBLE) AS tot_ord_naccm_sale_amt, CAST(chg_rt AS DOUBLE) AS chg_rt,
                broad_rlrslt_gbn_cd, ord_dt, ord_time, broad_ord_time_dtl_cd
-        FROM tmp_ord_base""",
+        FROM line""",
     "order_revenue": """
         SELECT pgm_id, prd_cd, CAST(chg_rt AS DOUBLE) AS chg_rt, CAST(tot_ord_amt AS DOUBLE) AS tot_ord_amt,
                CAST(net_ord_amt AS DOUBLE) AS net_ord_amt, CAST(expct_sal_amt AS DOUBLE) AS expct_sal_amt
-        FROM tmp_ord1""",
+        FROM revenue""",
     "preorder_since_3am": """
-        SELECT pgm_id, attr_prd_cd, prd_cd, CAST(pord_03_tot_ord_qty AS BIGINT) AS pord_03_tot_ord_qty FROM tmp_ord2""",
-    "onair_qty": "SELECT pgm_id, attr_prd_cd, CAST(tot_ord_qty AS BIGINT) AS tot_ord_qty FROM tmp_ord3",
+        SELECT pgm_id, attr_prd_cd, prd_cd, CAST(early AS BIGINT) AS pord_03_tot_ord_qty FROM quantity""",
+    "onair_qty": "SELECT pgm_id, attr_prd_cd, CAST(onair AS BIGINT) AS tot_ord_qty FROM quantity WHERE onair_lines > 0",
     "first_broadcast": """
-        SELECT p.prd_cd, (SELECT MIN(x2.broad_dt) FROM broadcast_product x1 JOIN broadcast x2 ON x1.pgm_id = x2.pgm_id
-                          WHERE x1.prd_cd = p.prd_cd) AS myshop_fst_broad_dt
-        FROM (SELECT DISTINCT prd_cd FROM tmp_prd) p""",
+        SELECT prd_cd, myshop_fst_broad_dt FROM first_airing SEMI JOIN option_info o USING (prd_cd)""",
     "report_base": """
         SELECT item_nm, item_cd, prd_nm, prd_cd, size_str, color_cnt, fst_broad_yyyy, fst_broad_mm, attr_prd_cd,
                chanl_cd, broad_seq, attr_prd_1_val, attr_prd_2_val_org, attr_prd_2_val, attr_prd_whl_val,

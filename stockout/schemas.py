@@ -60,6 +60,7 @@ REPORT_COLUMN_NAMES: dict[str, str] = {
 }
 
 # Types of the 39 report columns (English keys). Nullable numbers stay numbers, nulls stay null.
+# The type of each report column.
 REPORT_TYPES: dict[str, T.DataType] = {
     "attr_prd_1_val": STR, "attr_prd_2_val": STR, "attr_prd_2_val_org": STR, "attr_prd_cd": BIGINT,
     "attr_prd_whl_val": STR, "broad_dt": STR, "broad_seq": INT, "broad_str_dtm": TS,

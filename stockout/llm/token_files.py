@@ -73,34 +73,34 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_MARK = "0"  # put between pieces that are encoded together
+
+
 def _encode_pieces(encoder, pieces: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each piece. Pieces go to the library many at a time, put together by one of its
-    special tokens: it cuts a text there before anything else, so each piece is encoded as if
-    alone, and the token's id tells where one ends."""
-    special = [(i, t.content) for i, t in sorted(encoder.get_added_tokens_decoder().items())
-               if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
-    tokens = [t for _, t in special]
-    if not special:
-        for e in encoder.encode_batch_fast(pieces, add_special_tokens=False):
-            yield np.array(e.ids, dtype="<u4")
-        return
-    cut, joint = special[0]
-    for start in range(0, len(pieces), 500):
-        some = pieces[start:start + 500]
-        # A piece that holds a special token itself, or could form one with its neighbours, goes alone.
-        alone = [any(t in p for t in tokens) or any(p.startswith(t[-k:]) or p.endswith(t[:k])
-                                                    for t in tokens for k in range(1, len(t))) for p in some]
-        together = [p for p, a in zip(some, alone, strict=True) if not a]
-        ids = np.array(encoder.encode(joint.join(together), add_special_tokens=False).ids, dtype="<u4")
-        parts = iter(np.split(ids, np.flatnonzero(ids == cut)))
-        first = True
-        for p, a in zip(some, alone, strict=True):
-            if a:
-                yield np.array(encoder.encode(p, add_special_tokens=False).ids, dtype="<u4")
+    """Ids of each piece. The library is faster on few texts than on many short ones, so pieces
+    are put together with a digit between blanks, whose id tells where one ends. Pieces with that
+    digit go alone, and so does a group in which the id turns up elsewhere too."""
+    def alone(some: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in encoder.encode_batch_fast(some, add_special_tokens=False)]
+
+    mark = alone([_MARK])[0]
+    joint = len(mark) == 1 and alone([f"a {_MARK} a"])[0].tolist() == [*alone(["a"])[0], *mark, *alone(["a"])[0]]
+    for start in range(0, len(pieces), 100):
+        some = pieces[start:start + 100]
+        together = [p for p in some if joint and _MARK not in p]
+        parts: list[np.ndarray] = []
+        if together:
+            ids = alone([f" {_MARK} ".join(together)])[0]
+            cuts = np.flatnonzero(ids == mark[0])
+            if len(cuts) == len(together) - 1:
+                parts = [ids[a:b] for a, b in zip([0, *(cuts + 1)], [*cuts, len(ids)], strict=True)]
             else:
-                part = next(parts)
-                yield part if first else part[1:]
-                first = False
+                parts = alone(together)
+        done = dict(zip(together, parts, strict=True))
+        rest = [p for p in some if p not in done]
+        done.update(zip(rest, alone(rest), strict=True))
+        for p in some:
+            yield done[p]
 
 
 _TOKENIZERS: dict[str, object] = {}

@@ -116,6 +116,16 @@ _FINAL = {
                                             strptime(broad_month || '01', '%Y%m%d') + INTERVAL 1 MONTH - INTERVAL 1 DAY,
                                             INTERVAL 1 DAY)) AS d
               FROM (SELECT DISTINCT substr(broad_dt, 1, 6) AS broad_month FROM broadcast) m) s""",
+    "imputation_contract": """
+        SELECT pgm_id, prd_cd, count(*) AS n_cells, count(*) FILTER (WHERE NOT is_censored) AS n_kept,
+               count(*) FILTER (WHERE is_censored AND trainable) AS n_filled,
+               count(*) FILTER (WHERE is_censored AND NOT trainable) AS n_empty, CAST(0 AS BIGINT) AS n_outside
+        FROM censored_grid JOIN train_set_profile USING (pgm_id, prd_cd) GROUP BY pgm_id, prd_cd""",
+    "final_report_without_estimate": _PRESENT,
+    "report_load_roundtrip": _PRESENT,
+    "soldout_time_one_day": """
+        SELECT pgm_id, prd_cd, attr_prd_cd, total_qty, sold_out_dtm, sold_out_flag FROM soldout_time
+        WHERE pgm_id IN (SELECT pgm_id FROM broadcast WHERE broad_dt = '19960101' AND chanl_cd = 'C')""",
     "daily_load_roundtrip": "SELECT pgm_id, soldout_seq, attr_prd_cd, value, broad_dt FROM soldout_snapshot",
 }
 

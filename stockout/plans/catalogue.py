@@ -12,15 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockout import schemas
 from stockout.functions import month_days_of
 from stockout.operators import orders as order_ops
 from stockout.operators import report as report_ops
 from stockout.operators import snapshot as snapshot_ops
 from stockout.operators import soldout as soldout_ops
-from stockout.operators.grid import GRID_COLUMNS
+from stockout.operators.grid import GRID_COLUMNS, GROUP
+from stockout.operators.present import to_display_names
+from stockout.operators.scope import LIVE_CHANNEL, Scope
 from stockout.plans.daily import DailyRun
-from stockout.sinks import load_snapshot, output_root, write_snapshot
+from stockout.sinks import ALL_DAYS, load_days, load_report, load_snapshot, output_root, write_snapshot
 from stockout.sources import from_testdata
+from stockout.stage import write_stage
 
 _DECIMAL_COLUMNS = ("net_ord_amt", "sup_shr_net_ord_dc_amt", "net_ord_naccm_sale_amt", "tot_ord_amt",
                     "sup_shr_tot_ord_dc_amt", "cmm_cpn_dc_amt", "naccm_sale_subtr_apply_rt",
@@ -154,10 +158,51 @@ def month_days(spark, sf_dir):
     return month_days_of(from_testdata(spark, sf_dir).broadcast)
 
 
+def imputation_contract(spark, sf_dir):
+    """What must hold of the imputed cells of every group, counted: observed cells kept, censored
+    cells filled or left empty as the gates say, no value outside [0, largest observed] or not
+    whole."""
+    run = _run(spark, sf_dir, materialize=True, grid=True)
+    cells = run.imputed.join(run.train_profile.select(*GROUP, "max_observed"), GROUP)
+    censored, value = F.col("is_censored"), F.col("qty_imputed")
+    outside = (value < 0) | (value > F.col("max_observed")) | (value != F.bround(value, 0))
+    count = lambda condition: F.count(F.when(condition, 1))
+    return cells.groupBy(*GROUP).agg(
+        F.count("*").alias("n_cells"), count(~censored & (value == F.col("qty"))).alias("n_kept"),
+        count(censored & value.isNotNull()).alias("n_filled"), count(censored & value.isNull()).alias("n_empty"),
+        count(censored & outside).alias("n_outside"))
+
+
+def final_report_without_estimate(spark, sf_dir):
+    """Every column of the final report but the estimate."""
+    run = _run(spark, sf_dir, materialize=True, grid=True, report=True)
+    return run.report(with_estimate=True).drop(schemas.REPORT_COLUMN_NAMES["estim_qty"])
+
+
+def soldout_time_one_day(spark, sf_dir):
+    """A run bound to one day and one channel."""
+    run = DailyRun(from_testdata(spark, sf_dir), Scope(days=("19960101",), channels=(LIVE_CHANNEL,)))
+    return run.prepare(grid=True).soldout_time
+
+
+def report_load_roundtrip(spark, sf_dir):
+    """Load both tables for all days, reload one day, read the report back under its display names."""
+    run = _run(spark, sf_dir, materialize=True, grid=True, report=True)
+    report = write_stage(run.report(with_estimate=False, display_names=False), "roundtrip_report")
+    snapshot = write_stage(run.snapshot.drop("prd_cd"), "roundtrip_snapshot")
+    root = f"{output_root(spark)}/roundtrip-{uuid.uuid4().hex}"
+    paths = (f"{root}/soldout_report", f"{root}/soldout_snapshot")
+    load_days(report, snapshot, *paths, ALL_DAYS)
+    day = F.col("broad_dt") == "19960101"
+    load_days(report.where(day), snapshot.where(day), *paths, ("19960101",))
+    back = load_report(spark, paths[0])
+    return to_display_names(back.select(*[F.col(c).cast(report.schema[c].dataType) for c in report.columns]))
+
+
 def daily_load_roundtrip(spark, sf_dir):
     """Write every day's snapshot, rewrite the same days again (idempotent reload), read back."""
     run = _run(spark, sf_dir, materialize=True, grid=True)
-    snap = run.snapshot.drop("prd_cd")
+    snap = write_stage(run.snapshot.drop("prd_cd"), "roundtrip_snapshot")
     path = f"{output_root(spark)}/roundtrip-{uuid.uuid4().hex}/soldout_snapshot"
     write_snapshot(snap, path)
     write_snapshot(snap, path)
@@ -178,6 +223,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("estimated_demand", estimated_demand), ("observed_demand", observed_demand),
         ("group_gate", group_gate), ("report_presentation", report_presentation),
         ("final_report", final_report), ("month_days", month_days),
-        ("daily_load_roundtrip", daily_load_roundtrip),
+        ("daily_load_roundtrip", daily_load_roundtrip), ("imputation_contract", imputation_contract),
+        ("final_report_without_estimate", final_report_without_estimate),
+        ("soldout_time_one_day", soldout_time_one_day), ("report_load_roundtrip", report_load_roundtrip),
     ]
 }

@@ -22,6 +22,7 @@ from stockout.plans.daily import DailyRun
 from stockout.session import SESSION_CONF, ensure_checkpoint_dir, ship_package
 from stockout.sinks import ALL_DAYS, load_days
 from stockout.sources import Sources, read_parquet_root
+from stockout.stage import drop_run
 
 
 def run_days(src: Sources, days: list[str] | tuple[str, ...] | None = None, *,
@@ -30,9 +31,12 @@ def run_days(src: Sources, days: list[str] | tuple[str, ...] | None = None, *,
     """Compute ``days`` ('YYYYMMDD'; None = every day in the sources) and load them."""
     scope = Scope(days=tuple(days) if days else None, numeric_day_window=numeric_day_window)
     run = DailyRun(src, scope, materialize=True, impute_settings=settings)
-    report = run.report(with_estimate=True, display_names=False)
-    return load_days(report, run.snapshot.drop("prd_cd"), report_path, snapshot_path,
-                     tuple(days) if days else ALL_DAYS)
+    try:
+        report = run.report(with_estimate=True, display_names=False)
+        return load_days(report, run.snapshot.drop("prd_cd"), report_path, snapshot_path,
+                         tuple(days) if days else ALL_DAYS)
+    finally:
+        drop_run(src.broadcast.sparkSession, run.run_tag)
 
 
 def month_day_list(year: int, month: int) -> list[str]:

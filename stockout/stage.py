@@ -47,7 +47,16 @@ def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str]
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     buckets = bucket_count(spark)
-    table = f"stockout_{name}_{tag}"
+    table = f"stockout_{name}_{run_tag or tag}_{tag[:8]}"
     (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
      .bucketBy(buckets, *bucket_by).saveAsTable(table))
     return spark.table(table)
+
+
+def drop_run(spark, run_tag: str) -> None:
+    """Remove a run's stages: its bucketed tables from the catalog, and its folder."""
+    for table in spark.catalog.listTables():
+        if f"_{run_tag}_" in table.name:
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{run_tag}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

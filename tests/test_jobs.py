@@ -17,7 +17,9 @@ def test_daily_load_and_reload(spark):
     src = from_testdata(spark, SMOKE_DIR)
     root = tempfile.mkdtemp(prefix="stockout-job-")
     paths = {"report_path": f"{root}/report", "snapshot_path": f"{root}/snapshot", "settings": FAST}
+    tables = {t.name for t in spark.catalog.listTables()}
     run_days(src, ["19960101"], **paths)
+    assert {t.name for t in spark.catalog.listTables()} == tables  # its stages are gone
     first = load_report(spark, paths["report_path"]).count()
     snap = load_snapshot(spark, paths["snapshot_path"]).count()
     assert first > 0 and snap > 0

@@ -185,19 +185,22 @@ def fold_merges(symbols: Column, joins: Column, word: Column, table: PieceTable)
         return ((mask.bitwiseAND(e["ends"]) == e["ends"])
                 & (F.bit_count(mask.bitwiseAND(e["inner"])) == symbols_inside))
 
-    def step(mask: Column, _: Column) -> Column:
-        best = F.get(F.filter(joins, lambda e: applies(e, mask, 1)), F.lit(0))
-        return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
+    # The joins travel in the state: named from outside, they would be worked out at every step.
+    def step(state: Column, _: Column) -> Column:
+        mask = state["mask"]
+        best = F.get(F.filter(state["joins"], lambda e: applies(e, mask, 1)), F.lit(0))
+        return F.struct(F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask).alias("mask"),
+                        state["joins"].alias("joins"))
 
     def ids(e: Column) -> Column:
         return F.when(e["id"] == _NO_PIECE, _byte_ids(table, F.substring(word, e["start"] + 1, e["len"]))).otherwise(
             F.array(e["id"]))
 
-    def finish(mask: Column) -> Column:
-        chosen = F.array_sort(F.filter(symbols, lambda e: applies(e, mask, 0)))
+    def finish(state: Column) -> Column:
+        chosen = F.array_sort(F.filter(symbols, lambda e: applies(e, state["mask"], 0)))
         return F.flatten(F.transform(chosen, ids))
 
-    start = _bit(n + 1) - F.lit(1).cast("long")
+    start = F.struct((_bit(n + 1) - F.lit(1).cast("long")).alias("mask"), joins.alias("joins"))
     turns = F.slice(F.sequence(F.lit(0), n), F.lit(2), F.greatest(n - 1, F.lit(0)))
     return F.aggregate(turns, start, step, finish)
 

@@ -100,14 +100,14 @@ def segments(text: str, pattern: re.Pattern) -> list[str]:
 # --- the lattice, as tables ------------------------------------------------------------
 
 def _substrings(words: DataFrame, longest: int, most: int | None) -> DataFrame:
-    """Rows (word, start, len, piece): every substring of at most ``longest`` characters; of a
+    """``words`` with start, len and piece: every substring of at most ``longest`` characters; of a
     word of more than ``most`` characters only one row of length 0."""
     n = F.length("word")
     fits = n <= most if most else F.lit(True)
     nothing = F.array(F.lit(0))
     starts = F.when(fits, F.sequence(F.lit(0), n - 1)).otherwise(nothing)
     lengths = F.when(fits, F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).otherwise(nothing)
-    return (words.select("word", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("len"))
+    return (words.select("*", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("len"))
             .withColumn("piece", F.substring(F.col("word"), F.col("start") + 1, F.col("len"))))
 
 
@@ -146,8 +146,9 @@ def _bit(n: Column) -> Column:
 
 
 def packed_lattice(words: DataFrame, table: PieceTable) -> DataFrame:
-    """Rows (word, edges) as :func:`lattice`, each edge one number, sorted. Words of more than
-    ``MAX_FOLD`` characters have none."""
+    """``words`` (word, any other columns) with edges as in :func:`lattice`, each one number,
+    sorted. Words of more than ``MAX_FOLD`` characters have none."""
+    others = [F.first(c).alias(c) for c in words.columns if c != "word"]
     order = sorted({-s for p, s in zip(table.pieces, table.scores, strict=True) if p})
     if len(table.pieces) >= _NO_PIECE:
         raise ValueError("too many pieces")
@@ -160,7 +161,8 @@ def packed_lattice(words: DataFrame, table: PieceTable) -> DataFrame:
            .where((F.col("len") <= 1) | F.col("value").isNotNull()))
     edge = (F.coalesce(F.col("value"), F.lit(_NO_PIECE)) + F.shiftleft(F.col("start").cast("long"), _LEN_BITS + _ID_BITS)
             + F.shiftleft(F.col("len").cast("long"), _ID_BITS))
-    return met.groupBy("word").agg(F.array_sort(F.collect_list(F.when(F.col("len") > 0, edge))).alias("edges"))
+    return met.groupBy("word").agg(
+        *others, F.array_sort(F.collect_list(F.when(F.col("len") > 0, edge))).alias("edges"))
 
 
 def _with_bits(edges: Column, longer: bool) -> Column:
@@ -261,9 +263,11 @@ def merge_long(word: str, ranks: dict[str, tuple[float, int]], byte_ids: tuple[i
 
 
 def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> DataFrame:
-    """Rows (word, ids) for distinct ``words`` (word)."""
+    """Distinct ``words`` (word, any other columns) with their ids."""
+    others = [c for c in words.columns if c != "word"]
     if fold == "viterbi":
-        return lattice(words, table).select("word", fold_viterbi(F.col("edges"), F.length("word")).alias("ids"))
+        found = lattice(words.select("word"), table)
+        return words.join(found, "word").select("word", *others, fold_viterbi(F.col("edges"), F.length("word")).alias("ids"))
     ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p}
     byte_ids, longest = table.byte_ids, table.longest
 
@@ -273,11 +277,11 @@ def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> D
     fits = F.length("word") <= MAX_FOLD
     folded = F.when(fits, fold_merges(F.col("symbols"), F.col("joins"), F.col("word"), table))
     return (packed_lattice(words, table)
-            .select("word", _with_bits(F.col("edges"), False).alias("symbols"),
+            .select("word", *others, _with_bits(F.col("edges"), False).alias("symbols"),
                     _with_bits(F.col("edges"), True).alias("joins"))
-            .select("word", folded.alias("folded"))
+            .select("word", *others, folded.alias("folded"))
             .withColumn("merged", F.pandas_udf(long_ids, "array<int>")(F.when(~fits, F.col("word"))))
-            .select("word", F.coalesce("folded", "merged").alias("ids")))
+            .select("word", *others, F.coalesce("folded", "merged").alias("ids")))
 
 
 # --- documents -------------------------------------------------------------------------
@@ -320,9 +324,8 @@ def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merge
     # The edges of a partition's words are grouped in memory: several partitions per chunk.
     words = (counted.repartition(PARTS_PER_CHUNK * n_chunks, "word").groupBy("word")
              .agg(F.collect_set("chunk").alias("chunks")))
-    # Both sides of this join are partitioned by word already.
-    values = (words.join(encode_words(words.select("word"), table, fold), "word")
-              .select(F.explode("chunks").alias("chunk"), "word", "ids"))
+    # A word carries its chunks along: a join would list the words of all texts a second time.
+    values = encode_words(words, table, fold).select(F.explode("chunks").alias("chunk"), "word", "ids")
     out = (dealt.groupBy("chunk").cogroup(values.groupBy("chunk"))
            .applyInPandas(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
     return out.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

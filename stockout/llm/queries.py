@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from stockout.llm.chunks import chunks_query
 from stockout.llm.decontaminate import decontaminate_query
 from stockout.llm.embeddings import embeddings_query
 from stockout.llm.lm import lm_query
 from stockout.llm.minhash import minhash_query
+from stockout.llm.passages import passages_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
 from stockout.llm.sentencepiece import sentencepiece_query
@@ -23,7 +23,7 @@ QUERIES = {
     "op7_token_files": token_files_query,
     "op8_urls": urls_query,
     "op9_lm": lm_query,
-    "op10_chunks": chunks_query,
+    "op10_chunks": passages_query,
 }
 
 #: SQL can state none of these; tests/llm holds them against brute-force versions, libraries, exact

@@ -318,15 +318,18 @@ def _links_across(open_: DataFrame, classes: DataFrame, documents: DataFrame, s:
     """Links (a, b) between members of one bucket that are in different components."""
     bucket = ["band", "key"]
     n_blocks = open_.groupBy(*bucket).agg(F.ceil(F.count("*") / s.block).alias("n"))
-    texts = write_stage(documents.select(F.col("doc_id").cast("long").alias("rep"), _packed().alias("packed"))
-                        .join(open_.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "minhash_texts")
+    # An id may have rows of several classes: each class is compared by a text of its own.
+    mine = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(
+        open_.select("rep").distinct(), "rep", "left_semi")
+    texts = write_stage(mine.select("rep", _sketch(s).alias("s"), _packed().alias("packed"))
+                        .select("rep", "s.c1", "s.c2", "packed").dropDuplicates(["rep", "c1", "c2"]), "minhash_texts")
     own, other = F.col("own"), F.col("other")
-    rows = (open_.join(n_blocks, bucket).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")))
+    rows = (open_.dropDuplicates([*bucket, "rep"]).join(n_blocks, bucket).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
             .select("rep", "component", *bucket, "own", F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi"))
-            .join(classes.select("rep", "bands", "registers"), "rep").join(texts, "rep"))
+            .join(classes.select("rep", "c1", "c2", "bands", "registers"), "rep").join(texts, ["rep", "c1", "c2"]))
     place = [*bucket, "lo", "hi"]
-    return (rows.repartition(*place).sortWithinPartitions(*place, "rep")
+    return (rows.repartition(*place).sortWithinPartitions(*place, "rep", "c1", "c2")
             .mapInPandas(_compare_blocks(s), "a long, b long"))
 
 

@@ -155,3 +155,15 @@ def test_query_keeps_one_of_each_group(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert M.near_duplicates(df).collect() == [] and M.deduplicate(df).collect() == []
+
+
+def test_last_stage_compares_every_text_of_an_id(spark):
+    """An id with two texts is linked by either, whichever row comes first."""
+    rng = random.Random(11)
+    body = words(rng, 200)
+    near, other = " ".join(edited(rng, body, 2)), " ".join(words(rng, 200))
+    for rows in ([(2, near), (2, other)], [(2, other), (2, near)]):
+        df = spark.createDataFrame([(1, " ".join(body)), *rows], "doc_id long, text string").coalesce(1)
+        classes = df.select(M.F.col("doc_id").alias("rep"), M._sketch(S).alias("s")).select("rep", "s.*")
+        open_ = spark.createDataFrame([(1, 1, 0, 7), (2, 2, 0, 7)], "rep long, component long, band int, key long")
+        assert [tuple(sorted(r)) for r in M._links_across(open_, classes, df, S).collect()] == [(1, 2)]

@@ -65,9 +65,32 @@ def write_parquet_root(src: Sources, root: str, parallelism: int = 4) -> str:
 
 
 def read_jdbc(spark: SparkSession, url: str, dbtables: dict[str, str],
-              properties: dict[str, str] | None = None) -> Sources:
+              properties: dict[str, str] | None = None,
+              splits: dict[str, dict | list[str]] | None = None) -> Sources:
     """Nine tables from a JDBC warehouse; ``dbtables`` maps our table name to the remote
-    one. Filters and projections on these DataFrames are pushed into the remote query."""
-    props = dict(properties or {})
-    return Sources(**{t: _conform(spark.read.jdbc(url, dbtables[t], properties=props), t)
-                      for t in TABLES})
+    one. Filters and projections on these DataFrames are pushed into the remote query.
+
+    ``splits`` says by our table name how a table is read by several tasks: ``column``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions`` of a numeric or date column, or a list of
+    predicates, one per task, which must cover every row once (see :func:`day_predicates`).
+    A table without an entry is read by one task."""
+    props, splits = dict(properties or {}), dict(splits or {})
+    if unknown := set(splits) - set(TABLES):
+        raise ValueError(f"no such tables: {sorted(unknown)}")
+
+    def read(t: str) -> DataFrame:
+        split = splits.get(t, {})
+        how = split if isinstance(split, dict) else {"predicates": split}
+        return _conform(spark.read.jdbc(url, dbtables[t], properties=props, **how), t)
+
+    return Sources(**{t: read(t) for t in TABLES})
+
+
+def day_predicates(column: str, days: list[str]) -> list[str]:
+    """Predicates that cut a table at ``days`` (yyyymmdd text): before the first, from each to the
+    next, from the last on, and rows without a day; together they cover every row once."""
+    edges = sorted(set(days))
+    if not edges or not all(d.isdigit() and len(d) == 8 for d in edges):
+        raise ValueError("days are given as yyyymmdd")
+    inner = [f"{column} >= '{a}' AND {column} < '{z}'" for a, z in zip(edges, edges[1:], strict=False)]
+    return [f"{column} < '{edges[0]}' OR {column} IS NULL", *inner, f"{column} >= '{edges[-1]}'"]

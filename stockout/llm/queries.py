@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stockout.llm.chat import CHAT_SQL, chat_query
 from stockout.llm.decontaminate import decontaminate_query
 from stockout.llm.embeddings import embeddings_query
 from stockout.llm.lm import lm_query
@@ -24,8 +25,9 @@ QUERIES = {
     "op8_urls": urls_query,
     "op9_lm": lm_query,
     "op10_chunks": passages_query,
+    "op12_chat": chat_query,
 }
 
-#: SQL can state none of these; tests/llm holds them against brute-force versions, libraries, exact
-#: round trips and held-out figures.
-ORACLE_SQL: dict[str, str] = {}
+#: The others are held by tests/llm against brute-force versions, libraries, exact round trips and
+#: held-out figures.
+ORACLE_SQL: dict[str, str] = {"op12_chat": CHAT_SQL}

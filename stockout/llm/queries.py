@@ -13,6 +13,7 @@ from stockout.llm.secrets import secrets_query
 from stockout.llm.sentencepiece import sentencepiece_query
 from stockout.llm.token_files import token_files_query
 from stockout.llm.urls import urls_query
+from stockout.llm.whitening import whitening_query
 
 QUERIES = {
     "op1_quality": quality_query,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_lm": lm_query,
     "op10_chunks": passages_query,
     "op12_chat": chat_query,
+    "op13_whitening": whitening_query,
 }
 
 #: The others are held by tests/llm against brute-force versions, libraries, exact round trips and

@@ -11,6 +11,7 @@ from stockout.llm.passages import passages_query
 from stockout.llm.quality import quality_query
 from stockout.llm.secrets import secrets_query
 from stockout.llm.sentencepiece import sentencepiece_query
+from stockout.llm.spelling import SPELLING_SQL, spelling_query
 from stockout.llm.token_files import token_files_query
 from stockout.llm.urls import urls_query
 from stockout.llm.whitening import whitening_query
@@ -26,10 +27,11 @@ QUERIES = {
     "op8_urls": urls_query,
     "op9_lm": lm_query,
     "op10_chunks": passages_query,
+    "op11_spelling": spelling_query,
     "op12_chat": chat_query,
     "op13_whitening": whitening_query,
 }
 
 #: The others are held by tests/llm against brute-force versions, libraries, exact round trips and
 #: held-out figures.
-ORACLE_SQL: dict[str, str] = {"op12_chat": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {"op11_spelling": SPELLING_SQL, "op12_chat": CHAT_SQL}

@@ -49,6 +49,44 @@ LEFT JOIN (SELECT pgm_id, prd_cd, attr_prd_cd, value FROM soldout_snapshot WHERE
   ON f.pgm_id = r.pgm_id AND f.prd_cd = r.prd_cd AND f.attr_prd_cd = r.attr_prd_cd
 """
 
+def _quotient(a: str, b: str) -> str:
+    """a / b rounded half away from zero; 0 where b is 0."""
+    return f"(CASE WHEN ({b}) = 0 THEN 0 ELSE sign({a}) * ((2 * abs({a}) + ({b})) // (2 * ({b}))) END)"
+
+
+def _rank_one() -> str:
+    """The blocks of ``rank_one.sql``: two rounds of biases, three of factors, one block each."""
+    steps = []
+    by = {"option": "attr_prd_cd", "minute": "ord_ts"}
+    last: dict[tuple[str, str], str] = {}
+
+    def block(kind: str, side: str, body: str) -> None:
+        last[kind, side] = f"{kind}_{side}_{len(steps)}"
+        steps.append(f"{last[kind, side]} AS MATERIALIZED ({body})")
+
+    for _ in range(2):
+        for side, other in (("option", "minute"), ("minute", "option")):
+            rest = "s.d"
+            join = ""
+            if ("bias", other) in last:
+                rest, join = "s.d - o.v", f"JOIN {last['bias', other]} o USING (pgm_id, prd_cd, {by[other]})"
+            block("bias", side, f"SELECT pgm_id, prd_cd, {by[side]}, {_quotient(f'sum({rest})', 'count(*) + 1')} AS v "
+                                f"FROM seen s {join} GROUP BY pgm_id, prd_cd, {by[side]}")
+    steps.append(f"rest AS MATERIALIZED (SELECT s.pgm_id, s.prd_cd, s.attr_prd_cd, s.ord_ts, s.d - a.v - b.v AS d FROM seen s "
+                 f"JOIN {last['bias', 'option']} a USING (pgm_id, prd_cd, attr_prd_cd) "
+                 f"JOIN {last['bias', 'minute']} b USING (pgm_id, prd_cd, ord_ts))")
+    last["factor", "minute"] = last["bias", "minute"]
+    for _ in range(3):
+        for side, other in (("option", "minute"), ("minute", "option")):
+            block("factor", side,
+                  f"SELECT pgm_id, prd_cd, {by[side]}, {_quotient('(sum(s.d * o.v) * 1000000)', 'sum(o.v * o.v) + count(*) * 100000000000')} AS v "
+                  f"FROM rest s JOIN {last['factor', other]} o USING (pgm_id, prd_cd, {by[other]}) GROUP BY pgm_id, prd_cd, {by[side]}")
+    names = {f"last_{side}_{kind}": last[kind, side] for kind, side in last}
+    return (_HERE / "rank_one.sql").read_text().format(
+        mean=_quotient("sum(y)", "count(*)"), steps=",\n".join(steps),
+        product=_quotient("(coalesce(f.v, 0) * coalesce(g.v, 0))", "CAST(1000000 AS HUGEINT)"), **names)
+
+
 _FINAL = {
     "minute_orders": "SELECT pgm_id, prd_cd, chanl_cd, attr_prd_cd, ord_dt, ord_time, tot_ord_qty FROM minute_orders",
     "low_order_filter": """
@@ -129,7 +167,21 @@ _FINAL = {
     "daily_load_roundtrip": "SELECT pgm_id, soldout_seq, attr_prd_cd, value, broad_dt FROM soldout_snapshot",
 }
 
+_CELL = "pgm_id, prd_cd, attr_prd_cd, ord_ts, qty, is_censored, broad_dt, qty_imputed"
+_WITH_RANK_ONE = {
+    "demand_rank_one": f"SELECT {_CELL} FROM rank_one",
+    "estimated_demand_rank_one": "SELECT pgm_id, prd_cd, attr_prd_cd, estim_qty, observed_qty FROM estimated_rank_one",
+    "final_report_rank_one": f"""
+        SELECT p.*, e.estim_qty AS "추정_기대수요_수량" FROM ({_PRESENT}) p
+        LEFT JOIN estimated_rank_one e ON e.pgm_id = p."방송코드" AND e.prd_cd = p."상품코드" AND e.attr_prd_cd = p."속성코드"
+    """,
+}
+_FINAL["demand_sgd_contract"] = _FINAL["imputation_contract"]
+
 
 def oracle_sql() -> dict[str, str]:
     pre = _prelude()
-    return {name: pre + body for name, body in _FINAL.items()}
+    out = {name: pre + body for name, body in _FINAL.items()}
+    with_model = pre.rstrip() + ",\n" + _rank_one().strip() + "\n"
+    out.update({name: with_model + body for name, body in _WITH_RANK_ONE.items()})
+    return out

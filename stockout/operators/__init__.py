@@ -6,7 +6,9 @@
 ``grid``     option x minute grid per broadcast x product, option frame and group gate
 ``soldout``  sold-out rule, censoring, sold-out minute and flag, observed demand
 ``snapshot`` running units of every option at each sold-out event
-``impute``   uncensored demand by matrix factorization (Spark ML ALS), training profile
+``impute``   uncensored demand by matrix factorization, training profile, held-out error
+``sgd``      its unbiased form, by stochastic gradient steps
+``rank_one`` its exact form, by grouped sums of whole numbers
 ``present``  presentation columns, types and display names
 ``scope``    which days and channels a run covers
 """

@@ -10,21 +10,25 @@ value] and rounded half to even.
 
 A group is bounded (its options x at most 2,880 minutes), so each group is solved whole by a
 vectorised function after one shuffle by group. The model is mean + option bias + minute bias +
-factors, fitted by alternating ridge regressions. Its start and its folds are drawn from the
-group's own key over its sorted cells, so a group's result depends on its data alone: not on
+factors, fitted by alternating ridge regressions (``method="ridge"``), or factors alone, fitted by
+stochastic gradient steps (``method="sgd"``, module ``sgd``); ``method="rank_one"`` is exact
+arithmetic on relations (module ``rank_one``). Start and folds are drawn from the group's own
+key over its sorted cells, so a group's result depends on its data alone: not on
 partitions, the order of rows, the size of the cluster or what else is in the run.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockout.operators.grid import GROUP, OPTION
+from stockout.operators.rank_one import RankOneSettings, impute_rank_one
+from stockout.operators.sgd import SgdSettings, search
 
 # Fixed values of the imputation: seed, fold count, minimum observed cells, number of rank
 # candidates per group.
@@ -33,13 +37,23 @@ N_FOLDS = 5
 MIN_OBSERVED = 5
 N_RANK_CANDIDATES = 5
 
+METHODS = ("ridge", "sgd", "rank_one")
+
 
 @dataclass(frozen=True)
 class ImputeSettings:
-    """``reg_params``: ridge weights tried; ``max_iter``: alternations of one fit."""
+    """``method``: ridge, sgd or rank_one. ``reg_params``: ridge weights tried; ``max_iter``:
+    alternations of one fit; ``sgd``, ``rank_one``: those of the other methods."""
 
     reg_params: tuple[float, ...] = (0.1, 0.01)
     max_iter: int = 10
+    method: str = "ridge"
+    sgd: SgdSettings = field(default_factory=SgdSettings)
+    rank_one: RankOneSettings = field(default_factory=RankOneSettings)
+
+    def __post_init__(self):
+        if self.method not in METHODS:
+            raise ValueError(f"method {self.method!r} is none of {METHODS}")
 
 
 def _rank_pool(n: F.Column) -> F.Column:
@@ -131,35 +145,50 @@ def impute_group(frame: pd.DataFrame, settings: ImputeSettings) -> np.ndarray:
     fold[rng.permutation(len(train))] = np.arange(len(train)) % N_FOLDS
     ranks = rank_candidates(len(np.unique(row[train])))
     shape = (len(options), int(column.max()) + 1)
-    start = rng.normal(scale=0.1, size=(shape[1], max(ranks)))
     ratings = np.zeros(shape)
     ratings[row[train], column[train]] = qty[train]
-    top = qty[train].max()
+    solve = _solve_sgd if settings.method == "sgd" else _solve_ridge
+    fill = np.flatnonzero(censored & busy[row])
+    out[fill] = np.rint(solve(ratings, (row[train], column[train]), fold, ranks, rng, settings)[row[fill], column[fill]])
+    return out
+
+
+def _solve_sgd(ratings: np.ndarray, train: tuple[np.ndarray, np.ndarray], fold: np.ndarray, ranks: list[int],
+               rng: np.random.Generator, settings: ImputeSettings) -> np.ndarray:
+    starts = tuple(rng.normal(scale=settings.sgd.start_scale, size=(n, max(ranks))) for n in ratings.shape)
+    return search(ratings, train, fold, N_FOLDS, ranks, ratings[train].max(), starts, settings.sgd)[1]
+
+
+def _solve_ridge(ratings: np.ndarray, train: tuple[np.ndarray, np.ndarray], fold: np.ndarray, ranks: list[int],
+                 rng: np.random.Generator, settings: ImputeSettings) -> np.ndarray:
+    row, column = train
+    start = rng.normal(scale=0.1, size=(ratings.shape[1], max(ranks)))
+    qty = ratings[train]
 
     def predict(cells: np.ndarray, rank: int, reg: float) -> np.ndarray:
-        mask = np.zeros(shape)
+        mask = np.zeros(ratings.shape)
         mask[row[cells], column[cells]] = 1
-        return np.clip(factorize(ratings, mask, rank, reg, settings.max_iter, start), 0, top)
+        return np.clip(factorize(ratings, mask, rank, reg, settings.max_iter, start), 0, qty.max())
 
     errors = []
     for rank in ranks:
         for k, reg in enumerate(settings.reg_params):
             mae = []
             for f in range(N_FOLDS):
-                held = train[fold == f]
-                got = predict(train[fold != f], rank, reg)
+                held = np.flatnonzero(fold == f)
+                got = predict(np.flatnonzero(fold != f), rank, reg)
                 mae.append(np.abs(got[row[held], column[held]] - qty[held]).mean())
             errors.append((float(np.mean(mae)), k, rank))
     _, k, rank = min(errors)
-    fill = np.flatnonzero(censored & busy[row])
-    out[fill] = np.rint(predict(train, rank, settings.reg_params[k])[row[fill], column[fill]])
-    return out
+    return predict(np.arange(len(fold)), rank, settings.reg_params[k])
 
 
 def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -> DataFrame:
     """The grid with ``qty_imputed``: observed units, predictions in censored cells of
     trainable groups, null in censored cells of untrainable groups, 0 for all-zero options."""
     settings = settings or ImputeSettings()
+    if settings.method == "rank_one":
+        return impute_rank_one(censored, settings.rank_one)
     cells = censored.select(*OPTION, "ord_ts", "qty", "is_censored", "broad_dt")
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
@@ -170,6 +199,25 @@ def impute_demand(censored: DataFrame, settings: ImputeSettings | None = None) -
     return cells.groupBy(*GROUP).applyInPandas(solve, f"{schema}, qty_imputed double")
 
 
+def held_out_error(censored: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFrame:
+    """Per trainable group: observed cells held out (a fifth, by a hash of the cell) and the mean
+    absolute error with which each method predicts them when they are treated as censored, beside the
+    error of the group's mean. Groups in which that leaves too few cells to train have null errors."""
+    hidden = F.pmod(F.xxhash64(F.lit(SEED), *OPTION, "ord_ts"), F.lit(N_FOLDS)) == 0
+    busy = F.max(F.when(F.col("is_censored") | (F.col("qty") != 0), 1).otherwise(0)).over(Window.partitionBy(*OPTION)) == 1
+    trial = (censored.withColumn("hidden", hidden & ~F.col("is_censored") & busy)
+             .withColumn("was_censored", F.col("is_censored")).withColumn("is_censored", F.col("is_censored") | F.col("hidden")))
+    group = Window.partitionBy(*GROUP)
+    mean = F.avg(F.when(~F.col("is_censored") & busy, F.col("qty"))).over(group)
+    truth = trial.withColumn("mean", mean).where("hidden").select(*OPTION, "ord_ts", F.col("qty").alias("truth"), "mean")
+    out = truth
+    for method in methods:
+        got = impute_demand(trial, ImputeSettings(method=method)).where("is_censored")
+        out = out.join(got.select(*OPTION, "ord_ts", F.col("qty_imputed").alias(method)), [*OPTION, "ord_ts"])
+    error = lambda c: F.avg(F.abs(F.col(c) - F.col("truth"))).alias(f"mae_{c}")
+    return out.groupBy(*GROUP).agg(F.count("*").alias("n_held"), *[error(c) for c in (*methods, "mean")])
+
+
 def estimated_demand(imputed: DataFrame) -> DataFrame:
     """Per option: the sum of its imputed row (empty cells count as nothing)."""
     return (imputed.groupBy(*OPTION)

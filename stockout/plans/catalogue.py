@@ -19,6 +19,7 @@ from stockout.operators import report as report_ops
 from stockout.operators import snapshot as snapshot_ops
 from stockout.operators import soldout as soldout_ops
 from stockout.operators.grid import GRID_COLUMNS, GROUP
+from stockout.operators.impute import ImputeSettings, held_out_error
 from stockout.operators.present import to_display_names
 from stockout.operators.scope import LIVE_CHANNEL, Scope
 from stockout.plans.daily import DailyRun
@@ -32,11 +33,11 @@ _DECIMAL_COLUMNS = ("net_ord_amt", "sup_shr_net_ord_dc_amt", "net_ord_naccm_sale
 
 
 def _run(spark: SparkSession, sf_dir: str, materialize: bool = False, grid: bool = False,
-         report: bool = False) -> DailyRun:
+         report: bool = False, method: str = "ridge") -> DailyRun:
     """A run over every day and channel of the test data. ``materialize`` writes the shared
     stages once (for the queries that read several of them); ``grid`` / ``report`` write the
     independent base stages those queries need side by side first."""
-    run = DailyRun(from_testdata(spark, sf_dir), materialize=materialize)
+    run = DailyRun(from_testdata(spark, sf_dir), materialize=materialize, impute_settings=ImputeSettings(method=method))
     return run.prepare(grid=grid, report=report) if (grid or report) else run
 
 
@@ -151,18 +152,47 @@ def report_presentation(spark, sf_dir):
 
 
 def final_report(spark, sf_dir):
-    return _run(spark, sf_dir, materialize=True, grid=True, report=True).report(with_estimate=True)
+    """The report as the daily job writes it, its estimates by stochastic gradient steps."""
+    return _run(spark, sf_dir, materialize=True, grid=True, report=True, method="sgd").report(with_estimate=True)
 
 
 def month_days(spark, sf_dir):
     return month_days_of(from_testdata(spark, sf_dir).broadcast)
 
 
-def imputation_contract(spark, sf_dir):
+def demand_sgd(spark, sf_dir):
+    """The grid with units imputed by unbiased factors, fitted by stochastic gradient steps."""
+    return _run(spark, sf_dir, materialize=True, grid=True, method="sgd").imputed
+
+
+def demand_rank_one(spark, sf_dir):
+    """The grid with units imputed by mean, biases and one factor in exact arithmetic."""
+    return _run(spark, sf_dir, materialize=True, grid=True, method="rank_one").imputed
+
+
+def estimated_demand_rank_one(spark, sf_dir):
+    return _run(spark, sf_dir, materialize=True, grid=True, method="rank_one").estimated
+
+
+def final_report_rank_one(spark, sf_dir):
+    """The final report, its estimates by exact arithmetic."""
+    return _run(spark, sf_dir, materialize=True, grid=True, report=True, method="rank_one").report(with_estimate=True)
+
+
+def imputation_error(spark, sf_dir):
+    """Per trainable group, the error of each method on observed cells held out."""
+    return held_out_error(_run(spark, sf_dir, materialize=True, grid=True).censored)
+
+
+def demand_sgd_contract(spark, sf_dir):
+    return imputation_contract(spark, sf_dir, "sgd")
+
+
+def imputation_contract(spark, sf_dir, method="ridge"):
     """What must hold of the imputed cells of every group, counted: observed cells kept, censored
     cells filled or left empty as the gates say, no value outside [0, largest observed] or not
     whole."""
-    run = _run(spark, sf_dir, materialize=True, grid=True)
+    run = _run(spark, sf_dir, materialize=True, grid=True, method=method)
     cells = run.imputed.join(run.train_profile.select(*GROUP, "max_observed"), GROUP)
     censored, value = F.col("is_censored"), F.col("qty_imputed")
     outside = (value < 0) | (value > F.col("max_observed")) | (value != F.bround(value, 0))
@@ -226,5 +256,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("daily_load_roundtrip", daily_load_roundtrip), ("imputation_contract", imputation_contract),
         ("final_report_without_estimate", final_report_without_estimate),
         ("soldout_time_one_day", soldout_time_one_day), ("report_load_roundtrip", report_load_roundtrip),
+        ("demand_sgd", demand_sgd), ("demand_sgd_contract", demand_sgd_contract),
+        ("demand_rank_one", demand_rank_one), ("estimated_demand_rank_one", estimated_demand_rank_one),
+        ("final_report_rank_one", final_report_rank_one), ("imputation_error", imputation_error),
     ]
 }

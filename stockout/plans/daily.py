@@ -98,10 +98,10 @@ class DailyRun:
         from the written broadcast and product blocks (no pass over the order lines)."""
         return report_ops.report_options(self.src, self.scope, pgm=self.pgm, prd=self.products)
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str, **kwargs) -> DataFrame:
         """Cut the lineage of a stage several consumers read: written once to the shared
         checkpoint folder (survives executor loss; later plans start from the files)."""
-        return self._write(df, name) if self.materialize else df
+        return self._write(df, name, **kwargs) if self.materialize else df
 
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
@@ -121,7 +121,8 @@ class DailyRun:
 
     @cached_property
     def censored(self) -> DataFrame:
-        return self._keep(soldout_ops.censor(self.grid), "censored")
+        # The fit, the profile, the sold-out minutes and the snapshots all work by group.
+        return self._keep(soldout_ops.censor(self.grid), "censored", bucket_by=GROUP)
 
     @cached_property
     def gate(self) -> DataFrame:

@@ -16,7 +16,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from stockout.operators.impute import ImputeSettings
+from stockout.operators.impute import METHODS, ImputeSettings
 from stockout.operators.scope import Scope
 from stockout.plans.daily import DailyRun
 from stockout.session import SESSION_CONF, ensure_checkpoint_dir, ship_package
@@ -28,7 +28,9 @@ from stockout.stage import drop_run
 def run_days(src: Sources, days: list[str] | tuple[str, ...] | None = None, *,
              report_path: str | None = None, snapshot_path: str | None = None,
              settings: ImputeSettings | None = None, numeric_day_window: bool = False) -> tuple[str, str]:
-    """Compute ``days`` ('YYYYMMDD'; None = every day in the sources) and load them."""
+    """Compute ``days`` ('YYYYMMDD'; None = every day in the sources) and load them. Estimates are by
+    stochastic gradient steps unless ``settings`` say otherwise."""
+    settings = settings or ImputeSettings(method="sgd")
     scope = Scope(days=tuple(days) if days else None, numeric_day_window=numeric_day_window)
     run = DailyRun(src, scope, materialize=True, impute_settings=settings)
     try:
@@ -59,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--sources", required=True, help="folder with the nine source tables as parquet")
     parser.add_argument("--output", required=True, help="shared folder of the two result tables")
     parser.add_argument("--stage-dir", help="shared folder of stages, unless spark.checkpoint.dir names one")
+    parser.add_argument("--imputation", choices=METHODS, default="sgd", help="how demand is estimated")
     when = parser.add_mutually_exclusive_group(required=True)
     when.add_argument("--day", action="append", help="broadcast day YYYYMMDD (repeatable)")
     when.add_argument("--month", help="YYYY-MM: every day of the month")
@@ -75,7 +78,8 @@ def main(argv: list[str] | None = None) -> None:
     ship_package(spark)
     src = read_parquet_root(spark, args.sources)
     output = args.output.rstrip("/")
-    paths = {"report_path": f"{output}/soldout_report", "snapshot_path": f"{output}/soldout_snapshot"}
+    paths = {"report_path": f"{output}/soldout_report", "snapshot_path": f"{output}/soldout_snapshot",
+             "settings": ImputeSettings(method=args.imputation)}
     if args.month:
         year, month = (int(x) for x in args.month.split("-"))
         out = run_month(src, year, month, **paths)

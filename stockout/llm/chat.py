@@ -39,7 +39,6 @@ _TEXT_OPEN, _TEXT_CLOSE = " ", " " + END
 _BARE = r"</?s>|\[/?(?:INST|ROLE)\]"
 _TO_ESCAPE = r"(<(?=\\*+/?s>)|\[(?=\\*+/?(?:INST|ROLE)\]))"
 _ESCAPED = r"(<(?=\\++/?s>)|\[(?=\\++/?(?:INST|ROLE)\]))\\"
-_AFTER_END = r"(?<=\[/INST\]|</s>)"
 
 
 def escape(text: Column) -> Column:
@@ -48,7 +47,11 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, _ESCAPED, "$1")
+    return F.when(text.contains("\\"), F.regexp_replace(text, _ESCAPED, "$1")).otherwise(text)
+
+
+def has_marker(text: Column) -> Column:
+    return (text.contains(">") | text.contains("]")) & text.rlike(_BARE)
 
 
 def render(role: Column, text: Column) -> Column:
@@ -58,47 +61,48 @@ def render(role: Column, text: Column) -> Column:
             .otherwise(F.concat(F.lit(_ROLE_OPEN), role, F.lit(_ROLE_CLOSE), text, F.lit(_TEXT_CLOSE))))
 
 
-def _between(segment: Column, before: Column, after: int) -> Column:
-    """The segment without its first ``before`` and last ``after`` characters."""
-    return F.substring(segment, before + 1, F.length(segment) - before - F.lit(after))
+def _framed(body: Column, asked: Column) -> Column:
+    """What stands before an end marker (``asked``: the user's), taken apart: (role, shown,
+    opening), still escaped. Null if its opening and the marker make no turn."""
+    def part(role: Column, opening: Column) -> Column:
+        shown = F.substring(body, opening + 1, F.length(body) - opening - 1)
+        return F.struct(role.alias("role"), shown.alias("shown"), opening.cast("long").alias("opening"))
 
+    def opens(opening: str) -> Column:
+        return body.startswith(opening) & (F.length(body) > len(opening))
 
-def parse_turn(segment: Column) -> Column:
-    """A segment up to its end marker as (role, text, opening, shown): ``opening`` code points
-    stand before the text and ``shown`` are the text's own, still escaped. Null if it is no turn."""
-    def turn(role: Column, opening: Column, closing: int) -> Column:
-        shown = _between(segment, opening, closing)
-        made = F.struct(unescape(role).alias("role"), unescape(shown).alias("text"),
-                        opening.cast("long").alias("opening"), F.length(shown).cast("long").alias("shown"))
-        return F.when(~role.rlike(_BARE) & ~shown.rlike(_BARE), made)
+    named = F.instr(body, _ROLE_CLOSE)
+    header = named + F.lit(len(_ROLE_CLOSE) - 1)
+    name = F.substring(body, F.lit(len(_ROLE_OPEN) + 1), named - F.lit(len(_ROLE_OPEN) + 1))
+    return F.when(body.endswith(" "), (
+        F.when(asked, F.when(opens(_USER_OPEN), part(F.lit(USER), F.lit(len(_USER_OPEN)))))
+        .when(opens(_TEXT_OPEN), part(F.lit(ASSISTANT), F.lit(len(_TEXT_OPEN))))
+        .when(opens(_ROLE_OPEN) & (named > len(_ROLE_OPEN)) & (F.length(body) > header), part(name, header))))
 
-    def framed(opening: str, closing: str) -> Column:
-        return (segment.startswith(opening) & segment.endswith(closing)
-                & (F.length(segment) >= len(opening) + len(closing)))
 
-    named = F.instr(segment, _ROLE_CLOSE)
-    name = F.substring(segment, F.lit(len(_ROLE_OPEN) + 1), named - F.lit(len(_ROLE_OPEN) + 1))
-    header = named + F.lit(len(_ROLE_CLOSE) - 1)
-    return (F.when(framed(_USER_OPEN, _USER_CLOSE), turn(F.lit(USER), F.lit(len(_USER_OPEN)), len(_USER_CLOSE)))
-            .when(framed(_TEXT_OPEN, _TEXT_CLOSE), turn(F.lit(ASSISTANT), F.lit(len(_TEXT_OPEN)), len(_TEXT_CLOSE)))
-            .when(framed(_ROLE_OPEN, _TEXT_CLOSE) & (named > len(_ROLE_OPEN))
-                  & (F.length(segment) >= header + len(_TEXT_CLOSE)), turn(name, header, len(_TEXT_CLOSE))))
+def _turn(framed: Column) -> Column:
+    """(role, text, opening, shown) of a framed turn: ``opening`` code points stand before the text
+    and ``shown`` are the text's own, as it stands there. Null if a marker is left in it."""
+    role, shown = framed["role"], framed["shown"]
+    made = F.struct(unescape(role).alias("role"), unescape(shown).alias("text"), framed["opening"].alias("opening"),
+                    F.length(shown).cast("long").alias("shown"))
+    return F.when(~has_marker(role) & ~has_marker(shown), made)
 
 
 def parse(formatted: Column) -> Column:
     """The turns of a formatted conversation; null where it does not begin as one or has text
     behind its last end marker, and a null turn where a segment is none."""
-    segments = F.split(F.substring(formatted, F.lit(len(BEGIN) + 1), F.length(formatted)), _AFTER_END)
-    whole = formatted.startswith(BEGIN) & (F.element_at(segments, -1) == "")
-    return F.when(whole, F.transform(F.slice(segments, F.lit(1), F.size(segments) - 1), parse_turn))
+    closed = F.split(F.substring(formatted, F.lit(len(BEGIN) + 1), F.length(formatted)), END)
 
+    def bodies(piece: Column) -> Column:
+        # All but the last one end at a user's marker, the last one at the piece's own.
+        parts = F.split(piece, r"\[/INST\]")
+        return F.transform(parts, lambda p, k: F.struct(p.alias("body"), (k < F.size(parts) - 1).alias("asked")))
 
-def _recovers(segment: Column, role: Column, text: Column) -> Column:
-    """Whether the rendered turn, parsed by itself, is one turn and the source's."""
-    segments = F.split(segment, _AFTER_END)
-    back = parse_turn(segments[0])
-    alone = (F.size(segments) == 2) & (F.element_at(segments, -1) == "")
-    return F.coalesce(alone & (back["role"] == role) & (back["text"] == text), F.lit(False))
+    segments = F.flatten(F.transform(closed, bodies))
+    turns = F.transform(F.transform(F.slice(segments, F.lit(1), F.size(segments) - 1),
+                                    lambda s: _framed(s["body"], s["asked"])), _turn)
+    return F.when(formatted.startswith(BEGIN) & (F.element_at(segments, -1)["body"] == ""), turns)
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -106,7 +110,9 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     turns = conversations.select("conv_id", "turn", content("role").alias("role"), content("text").alias("text"))
     role, text = F.col("role"), F.col("text")
     turns = turns.withColumn("plain", render(role, text))
-    agrees = _recovers(F.col("plain"), role, text)
+    turns = turns.withColumn("back", parse(F.concat(F.lit(BEGIN), F.col("plain"))))
+    only = F.get("back", F.lit(0))
+    agrees = F.coalesce((F.size("back") == 1) & (only["role"] == role) & (only["text"] == text), F.lit(False))
     turns = turns.withColumn("rendered", F.when(agrees, F.col("plain")).otherwise(
         render(F.when(role.isin(USER, ASSISTANT), role).otherwise(escape(role)), escape(text))))
     whole = (turns.groupBy("conv_id")

@@ -164,6 +164,22 @@ _FINAL = {
     "soldout_time_one_day": """
         SELECT pgm_id, prd_cd, attr_prd_cd, total_qty, sold_out_dtm, sold_out_flag FROM soldout_time
         WHERE pgm_id IN (SELECT pgm_id FROM broadcast WHERE broad_dt = '19960101' AND chanl_cd = 'C')""",
+    "versioned_load_roundtrip": """
+        , kept AS (SELECT r.broad_dt, r.attr_prd_cd, coalesce(r.tot_ord_qty, 0) AS units
+                   FROM report_base r SEMI JOIN (SELECT pgm_id, prd_cd FROM gate WHERE passes) USING (pgm_id, prd_cd)),
+        first_day AS (SELECT min(broad_dt) AS d FROM kept),
+        stored AS (
+            SELECT s.step, 'soldout_report' AS tbl, k.broad_dt, k.units
+            FROM kept k, first_day f, (VALUES ('loaded'), ('failed'), ('reloaded'), ('first version')) s(step)
+            WHERE step <> 'reloaded' OR k.broad_dt <> f.d OR k.attr_prd_cd % 2 = 0
+            UNION ALL
+            SELECT s.step, 'soldout_snapshot', k.broad_dt, k.value + CASE WHEN step = 'reloaded' AND k.broad_dt = f.d THEN 1 ELSE 0 END
+            FROM soldout_snapshot k, first_day f, (VALUES ('loaded'), ('failed'), ('reloaded'), ('first version')) s(step))
+        SELECT step, tbl, broad_dt, count(*) AS n_rows, CAST(sum(units) AS BIGINT) AS units FROM stored GROUP BY ALL""",
+    "target_key_check": """
+        , kept AS (SELECT r.pgm_id, r.attr_prd_cd, r.broad_dt
+                   FROM report_base r SEMI JOIN (SELECT pgm_id, prd_cd FROM gate WHERE passes) USING (pgm_id, prd_cd))
+        SELECT pgm_id, attr_prd_cd, broad_dt FROM kept WHERE broad_dt = (SELECT min(broad_dt) FROM kept)""",
     "daily_load_roundtrip": "SELECT pgm_id, soldout_seq, attr_prd_cd, value, broad_dt FROM soldout_snapshot",
 }
 

@@ -23,7 +23,9 @@ from stockout.operators.impute import ImputeSettings, held_out_error
 from stockout.operators.present import to_display_names
 from stockout.operators.scope import LIVE_CHANNEL, Scope
 from stockout.plans.daily import DailyRun
-from stockout.sinks import ALL_DAYS, load_days, load_report, load_snapshot, output_root, write_snapshot
+from stockout.sinks import (ALL_DAYS, ResultStore, load_days, load_report, load_snapshot, output_root,
+                            write_snapshot)
+from stockout.sinks.store import REPORT, SNAPSHOT
 from stockout.sources import from_testdata
 from stockout.stage import write_stage
 
@@ -239,6 +241,68 @@ def daily_load_roundtrip(spark, sf_dir):
     return load_snapshot(spark, path)
 
 
+def _loaded_store(spark, sf_dir, store=ResultStore):
+    """Both tables of all days, written once, and a store that holds them as its first version."""
+    run = _run(spark, sf_dir, materialize=True, grid=True, report=True)
+    report = write_stage(run.report(with_estimate=False, display_names=False), "roundtrip_report")
+    snapshot = write_stage(run.snapshot.drop("prd_cd"), "roundtrip_snapshot")
+    store = store(spark, f"{output_root(spark)}/store-{uuid.uuid4().hex}")
+    store.load(report, snapshot, ALL_DAYS)
+    return report, snapshot, store
+
+
+class _BreaksOnce(ResultStore):
+    """Fails at the second table's write when told to."""
+
+    broken = False
+
+    def _write(self, rows, table, load, found):
+        if self.broken and table == SNAPSHOT:
+            raise OSError("injected")
+        return super()._write(rows, table, load, found)
+
+
+def versioned_load_roundtrip(spark, sf_dir):
+    """Load all days; fail in the middle of reloading the first one; reload it; read the first version
+    again. Per step, table and day: rows and units."""
+    report, snapshot, store = _loaded_store(spark, sf_dir, _BreaksOnce)
+    first = min(store.manifest().tables[REPORT])
+    day = F.col("broad_dt") == first
+    some = report.where(day & (F.col("attr_prd_cd") % 2 == 0))
+    more = lambda n: snapshot.where(day).withColumn("value", F.col("value") + n)
+    seen = []
+
+    def look(step, version=None):
+        for name, rows, units in ((REPORT, store.report(version), "tot_ord_qty"), (SNAPSHOT, store.snapshot(version), "value")):
+            seen.append(rows.groupBy("broad_dt").agg(F.count("*").alias("n_rows"), F.sum(units).cast("long").alias("units"))
+                        .select(F.lit(step).alias("step"), F.lit(name).alias("tbl"), "broad_dt", "n_rows", "units"))
+
+    look("loaded")
+    store.broken = True
+    try:
+        store.load(some, more(100), (first,))
+    except OSError:
+        look("failed")
+    store.broken = False
+    store.load(some, more(1), (first,))
+    look("reloaded")
+    look("first version", 1)
+    out = seen[0]
+    for frame in seen[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def target_key_check(spark, sf_dir):
+    """Keys of a batch (the first day's rows under a new day, and as many new keys) that stored days
+    hold already, found through the days' key filters."""
+    report, _, store = _loaded_store(spark, sf_dir)
+    first = min(store.manifest().tables[REPORT])
+    batch = report.where(F.col("broad_dt") == first).withColumn("broad_dt", F.lit("99991231"))
+    new = batch.withColumn("attr_prd_cd", -F.col("attr_prd_cd") - 1)
+    return store.clashing_keys(batch.unionByName(new)).select("pgm_id", "attr_prd_cd", "broad_dt")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("minute_orders", minute_orders), ("low_order_filter", low_order_filter),
@@ -259,5 +323,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("demand_sgd", demand_sgd), ("demand_sgd_contract", demand_sgd_contract),
         ("demand_rank_one", demand_rank_one), ("estimated_demand_rank_one", estimated_demand_rank_one),
         ("final_report_rank_one", final_report_rank_one), ("imputation_error", imputation_error),
+        ("versioned_load_roundtrip", versioned_load_roundtrip), ("target_key_check", target_key_check),
     ]
 }

@@ -240,8 +240,10 @@ def near_duplicates(vectors: DataFrame, settings: CrossPolytopeSettings | None =
     units = write_stage(_units(vectors), "units")
     classes = ["label", "dim", "d1", "d2"]
     reps = (units.where(F.col("dim").isNotNull()).groupBy(*classes)
-            .agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("unit").alias("unit")))
-    reps = write_stage(reps.withColumn("probes", _keys(s)(F.col("unit"))), "unit_classes")
+            .agg(F.min("vec_id").alias("low"), F.count("*").alias("m"), F.first("unit").alias("unit")))
+    # An id may stand on rows of several classes, so classes go by a number; the table fixes it.
+    reps = write_stage(reps.withColumn("rep", F.monotonically_increasing_id()).withColumn("probes", _keys(s)(F.col("unit"))),
+                       "unit_classes")
     label_type = vectors.schema["label"].dataType.simpleString()
     places = reps.select("rep", "label", "dim", "probes").mapInPandas(
         _explode_keys(s), f"rep long, label {label_type}, dim long, t int, bucket long, own boolean")
@@ -262,17 +264,47 @@ def near_duplicates(vectors: DataFrame, settings: CrossPolytopeSettings | None =
     found = write_stage(rows.repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
                         .mapInPandas(_verify(s), "a long, b long, links long"), "embedding_links")
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    comps = connected_components(found.where("b is not null").select("a", "b"))
-    linked = (reps.select(*classes, "rep", "m").join(links, "rep", "left")
-              .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    comps = connected_components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
+    lowest = comps.join(reps.select("rep", "low"), "rep").groupBy("component").agg(F.min("low").alias("component_id"))
+    linked = (reps.select(*classes, "rep", "low", "m").join(links, "rep", "left")
+              .join(comps, "rep", "left").join(lowest, "component", "left")
               .select(*classes, (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component_id")))
+                      F.coalesce("component_id", "low").alias("component_id")))
     component = F.coalesce("component_id", "vec_id")
     return (units.drop("unit").join(linked, classes, "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
                     F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")))
 
 
+#: All pairs of one label, and their closure.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE cast_rows AS (
+    SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+usable AS MATERIALIZED (
+    SELECT r, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm
+    FROM cast_rows
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+linked AS MATERIALIZED (
+    SELECT a.r, b.r AS other
+    FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+    WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+),
+reach(r, other) AS (
+    SELECT r, r FROM usable
+    UNION
+    SELECT reach.r, linked.other FROM reach JOIN linked ON linked.r = reach.other
+),
+lowest AS (SELECT reach.r, min(u.vec_id) AS component_id FROM reach JOIN usable u ON u.r = reach.other GROUP BY reach.r),
+degree AS (SELECT r, count(*) AS n FROM linked GROUP BY r)
+SELECT c.vec_id, coalesce(d.n, 0) AS n_links, coalesce(l.component_id, c.vec_id) AS component_id,
+       coalesce(c.vec_id = coalesce(l.component_id, c.vec_id), true) AS kept
+FROM cast_rows c LEFT JOIN lowest l USING (r) LEFT JOIN degree d USING (r)
+"""
+
+
 def embeddings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links, its component and whether it stays."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))

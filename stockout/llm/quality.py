@@ -38,7 +38,7 @@ class QdaSettings:
 
     Gaussian tails make the log-density difference overconfident, so a slope and an intercept
     (a logistic fit of the label on that difference) turn it into the score. They are fitted
-    on about ``calibration_rows`` labelled rows at most, chosen by a hash of the vector."""
+    on ``calibration_rows`` distinct labelled vectors at most, those of the smallest hash."""
 
     to_pooled: float = 0.1
     to_diagonal: float = 0.1
@@ -60,8 +60,13 @@ class QdaModel:
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         side = []
         for c in (0, 1):
-            z = (x - self.means[c]) @ self.whiten[c].T
-            side.append(self.log_prior[c] - 0.5 * (self.log_det[c] + np.einsum("ij,ij->i", z, z)))
+            # Statistic by statistic, so that a vector scores the same to the last bit wherever it stands.
+            z, distance = np.zeros((len(x), len(self.whiten[c]))), np.zeros(len(x))
+            for j in range(x.shape[1]):
+                z += (x[:, j] - self.means[c][j])[:, None] * self.whiten[c][:, j]
+            for j in range(z.shape[1]):
+                distance += z[:, j] * z[:, j]
+            side.append(self.log_prior[c] - 0.5 * (self.log_det[c] + distance))
         return side[1] - side[0]
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -72,13 +77,14 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def calibrate(odds: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+def calibrate(odds: np.ndarray, label: np.ndarray, times: np.ndarray | None = None) -> tuple[float, float]:
     """Slope (never negative) and intercept of a logistic fit of 0/1 ``label`` on ``odds``,
-    by Newton steps. Both classes weigh the same; a small penalty keeps separable classes
-    finite."""
-    scale = max(float(np.abs(odds).mean()), 1e-9)
+    each standing for ``times`` rows, by Newton steps. Both classes weigh the same; a small
+    penalty keeps separable classes finite."""
+    times = np.ones(len(odds)) if times is None else times
+    scale = max(float((np.abs(odds) * times).sum() / times.sum()), 1e-9)
     x = np.column_stack([odds / scale, np.ones(len(odds))])
-    weight = np.where(label == 1, 0.5 / max((label == 1).sum(), 1), 0.5 / max((label == 0).sum(), 1))
+    weight = times * np.where(label == 1, 0.5 / max(times[label == 1].sum(), 1), 0.5 / max(times[label == 0].sum(), 1))
     penalty = 1e-4
     w = np.array([1.0, 0.0])
 
@@ -183,12 +189,13 @@ def fit(vectors: DataFrame, settings: QdaSettings | None = None) -> QdaModel | N
         log_det.append(2.0 * float(np.log(np.diag(factor)).sum()))
         prior.append(float(np.log((counts[c] + 1.0) / (total + 2.0))))
     model = QdaModel((means[0], means[1]), tuple(whiten), tuple(log_det), tuple(prior))
-    buckets = 1_000_000
-    share = min(buckets, -(-buckets * settings.calibration_rows // total))
-    sample = vectors.where(F.pmod(F.xxhash64("x"), F.lit(buckets)) < share).toPandas()
+    # Equal vectors are one row that counts as often as it occurs, so copies are no way round the bound.
+    distinct = vectors.groupBy("x", "label").agg(F.count("*").alias("times"))
+    sample = distinct.orderBy(F.xxhash64("x"), "label").limit(settings.calibration_rows).toPandas()
     if sample["label"].nunique() < 2:
         return model
-    slope, intercept = calibrate(model.log_odds(np.stack(sample["x"].to_numpy())), sample["label"].to_numpy())
+    slope, intercept = calibrate(model.log_odds(np.stack(sample["x"].to_numpy())), sample["label"].to_numpy(),
+                                 sample["times"].to_numpy(dtype=float))
     return replace(model, slope=slope, intercept=intercept)
 
 

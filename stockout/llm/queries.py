@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from stockout.llm.chat import CHAT_SQL, chat_query
 from stockout.llm.decontaminate import decontaminate_query
-from stockout.llm.embeddings import embeddings_query
+from stockout.llm.embeddings import EMBEDDINGS_SQL, embeddings_query
 from stockout.llm.lm import lm_query
 from stockout.llm.minhash import minhash_query
 from stockout.llm.passages import passages_query
@@ -34,4 +34,4 @@ QUERIES = {
 
 #: The others are held by tests/llm against brute-force versions, libraries, exact round trips and
 #: held-out figures.
-ORACLE_SQL: dict[str, str] = {"op11_spelling": SPELLING_SQL, "op12_chat": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_embeddings": EMBEDDINGS_SQL, "op11_spelling": SPELLING_SQL, "op12_chat": CHAT_SQL}

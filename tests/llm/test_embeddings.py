@@ -1,5 +1,6 @@
 """Cross-polytope near duplicates against all pairs."""
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -78,6 +79,26 @@ def test_recall_on_the_test_table_with_planted_links(spark):
     assert all(got[k] <= expected[k] for k in expected) and sum(got.values()) >= 0.98 * sum(expected.values())
 
 
+def test_ids_may_repeat_over_labels_and_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(5, [0.5, 1.0, 0.0, 0.0], "x"), (5, [0.0, 1.0, 0.0, 0.0], "y"), (7, [0.01, 1.0, 0.0, 0.0], "x"),
+            (8, [1.0, 0.0, 0.0, 0.0], "x"), (8, [1.0, 0.1, 0.0, 0.0], "x"), (8, [1.0, 0.0, 0.0, 0.0], "x")]
+    centres = [rng.normal(size=4) for _ in range(4)]
+    for k in range(120):
+        v = centres[k % 4] + rng.normal(size=4) * 0.15
+        rows.append((int(rng.integers(9, 40)), v.tolist(), "xyz"[int(rng.integers(3))]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = E.near_duplicates(df, E.CrossPolytopeSettings(block=16, n_tables=12, n_probes=16)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows), key=str)
+
+
+def test_query_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM read_parquet('/root/testdata/sf0.001/embeddings.parquet')")
+    want = con.execute(E.EMBEDDINGS_SQL).fetchall()
+    assert sorted(map(tuple, E.embeddings_query(spark, "/root/testdata/sf0.001").collect())) == sorted(want)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert E.near_duplicates(df).collect() == []

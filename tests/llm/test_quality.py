@@ -73,3 +73,18 @@ def test_labels_and_sources_are_not_inputs(spark):
     renamed = docs.withColumns({"lang": F.lit("zz"), "source": F.lit("q"), "doc_id": F.col("doc_id") + 7})
     score = lambda d: sorted(r["score"] for r in Q.score_documents(d, model).collect())
     assert score(docs) == score(renamed)
+
+
+def test_calibration_rows_are_bounded_whatever_the_copies(spark, monkeypatch):
+    seen = []
+    real = Q.calibrate
+    monkeypatch.setattr(Q, "calibrate", lambda odds, label, times: seen.append((len(odds), times.sum())) or real(odds, label, times))
+    rows = [([float(k % 3 == j) + (k % 40) / 40 for j in range(Q.N_STATISTICS)], k % 2) for k in range(400)]
+    vectors = spark.createDataFrame(rows, "x array<double>, label int")
+    Q.fit(vectors, Q.QdaSettings(calibration_rows=30))
+    Q.fit(vectors)
+    assert seen[0][0] == 30 and seen[1][1] == 400 and seen[1][0] == 120
+    odds = np.array([-2.0, -1, 1, 2, 0.5])
+    label = np.array([0, 0, 1, 1, 0])
+    assert np.allclose(real(odds, label, np.array([1.0, 2, 1, 3, 1])),
+                       real(np.repeat(odds, [1, 2, 1, 3, 1]), np.repeat(label, [1, 2, 1, 3, 1])))

@@ -25,6 +25,7 @@ columns are carried through by :func:`redact` and never read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,9 @@ HEX = r"[0-9a-f]{32,}"
 IDENT = (r"""(?i:\b(?:user_?name|user_?id|login|account|client_?id|access_?key_?id)"""
          r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{3,})|\b(?:AKIA|ASIA|AIDA|AROA)[A-Z0-9]{6,}""")
 OPAQUE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
-ENDPOINT = (r"""(?i:\bhttps?://[^\s"'<>|,;)]+)|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]{1,63}\.)+"""
-            r"""[A-Za-z]{2,24}:[0-9]{2,5}(?![0-9])""")
+# No group is repeated in any pattern: the matcher would recurse once a turn. The names of a host
+# are looked at afterwards.
+ENDPOINT = (r"""(?i:\bhttps?://[^\s"'<>|,;)]+)|(?<![A-Za-z0-9.-])[A-Za-z0-9-][A-Za-z0-9.-]*+:[0-9]{2,5}(?![0-9])""")
 
 IDENTIFIER, SECRET, HOST = 0, 1, 2
 ROLES = (SECRET, IDENTIFIER, SECRET, IDENTIFIER, SECRET, HOST)  # of each kind
@@ -70,21 +72,69 @@ def _span(start: Column, kind: int, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: what a lambda only captures is worked out anew for
+    every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """The array in pieces of about the root of its length, so that work that is square in a piece, or in
+    the number of pieces, stays far from square in the array."""
+    def cut(whole: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(whole))).cast("int"), F.lit(1))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), size)
+        return F.transform(starts, lambda at: F.slice(whole, at + 1, size))
+
+    return _let(items, cut)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column], start: int) -> Column:
+    """``combine`` of ``start`` and all values up to each place, that place included."""
+    def grow(items: Column, first: Column) -> Column:
+        return F.aggregate(items, F.struct(first.alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
+                           lambda acc, x: F.struct(combine(acc["at"], x).alias("at"),
+                                                   F.concat(acc["out"], F.array(combine(acc["at"], x))).alias("out")),
+                           lambda acc: acc["out"])
+
+    def by_piece(pieces: Column) -> Column:
+        ends = grow(F.transform(pieces, lambda piece: F.aggregate(piece, F.lit(start), combine)), F.lit(start))
+        starts = F.slice(F.concat(F.array(F.lit(start)), ends), F.lit(1), F.size(pieces))
+        return F.flatten(F.zip_with(pieces, starts, grow))
+
+    return _let(_blocks(values), by_piece)
+
+
 def _located(kind: int, gaps: Column, matches: Column, keep) -> Column:
     """Spans of the matches that ``keep`` accepts: each starts where the gaps and matches
     before it end."""
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        return F.struct(end.cast("int").alias("at"),
-                        F.when(keep(x), F.concat(acc["spans"], F.array(_span(start, kind, end))))
-                        .otherwise(acc["spans"]).alias("spans"))
-
-    zipped = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches,
-                        lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.expr(_NO_SPANS).alias("spans"))
-    return F.when(F.size(matches) > 0, F.aggregate(zipped, start, step, lambda acc: acc["spans"])) \
-        .otherwise(F.expr(_NO_SPANS))
+    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.length(g) + F.length(m))
+    ends = _running(lengths, lambda a, b: a + b, 0)
+    located = F.zip_with(matches, ends, lambda m, end: F.struct(m.alias("match"), end.alias("end")))
+    spans = F.transform(F.filter(located, keep),
+                        lambda x: _span(x["end"] - F.length(x["match"]), kind, x["end"]))
+    return F.when(F.size(matches) > 0, spans).otherwise(F.expr(_NO_SPANS))
+
+
+def _clear_of(base: Column, candidates: Column) -> Column:
+    """Candidates that overlap no base span: in order of start, no base span before one ends behind its
+    start, and none after it starts before its end."""
+    whole = F.array_sort(F.concat(base, candidates))
+    is_base = lambda s: s["kind"] < N_BASE
+    reach = _running(F.transform(whole, lambda s: F.when(is_base(s), s["end"]).otherwise(0)), lambda a, b: F.greatest(a, b), 0)
+    nobody = 2**31 - 1
+    following = F.reverse(_running(F.transform(F.reverse(whole), lambda s: F.when(is_base(s), s["start"]).otherwise(nobody)),
+                                   lambda a, b: F.least(a, b), nobody))
+    both = F.arrays_zip(whole.alias("span"), reach.alias("reach"), following.alias("following"))
+    kept = F.filter(both, lambda x: ~is_base(x["span"]) & (x["reach"] <= x["span"]["start"]) & (x["following"] >= x["span"]["end"]))
+    return F.when((F.size(base) > 0) & (F.size(candidates) > 0), F.transform(kept, lambda x: x["span"])).otherwise(candidates)
+
+
+def _named_host(endpoint: Column) -> Column:
+    """Whether a host and port has at least two names of 1 to 63 characters, the last of 2 to 24 letters."""
+    names = F.split(F.substring_index(endpoint, ":", 1), r"\.")
+    return ((F.size(names) > 1) & F.element_at(names, -1).rlike("^[A-Za-z]{2,24}$")
+            & F.forall(names, lambda n: F.length(n).between(1, 63)))
 
 
 def _document_key() -> Column:
@@ -108,13 +158,12 @@ def parts(documents: DataFrame) -> DataFrame:
     keeps = {
         0: lambda x: F.length(value(x["match"])) >= MIN_ASSIGN,
         4: lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Z]") & x["match"].rlike("[a-z]"),
+        5: lambda x: x["match"].contains("://") | _named_host(x["match"]),
     }
     spans = [_located(i, F.col(f"g{i}"), F.col(f"m{i}"), keeps.get(i, everything)) for i in range(len(KINDS))]
     found = found.select("doc_id", "doc_key", F.array_sort(F.concat(*spans[:N_BASE])).alias("base"),
                          F.concat(*spans[N_BASE:]).alias("candidates"))
-    overlaps = lambda w, b: (w["start"] < b["end"]) & (b["start"] < w["end"])
-    return found.select("doc_id", "doc_key", "base", F.filter(
-        "candidates", lambda w: ~F.exists("base", lambda b: overlaps(w, b))).alias("weak"))
+    return found.select("doc_id", "doc_key", "base", _clear_of(F.col("base"), F.col("candidates")).alias("weak"))
 
 
 def _role(kind: Column) -> Column:
@@ -168,22 +217,27 @@ def redact(documents: DataFrame, settings: SecretSettings | None = None, mask: s
     spans by one), and ``n_chars``, where there is one, set to the new length. Texts without
     spans, null ones included, stay as they are."""
     names = documents.columns
-    key, spans = (free_name(n, names) for n in ("_secret_key", "_secret_spans"))
+    key, spans, cut = (free_name(n, names) for n in ("_secret_key", "_secret_spans", "_secret_cuts"))
     hits = (find_secrets(documents.select("doc_id", "text"), settings).where(F.size("spans") > 0)
             .select(F.col("doc_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([key]))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.array(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["pieces"], piece)).otherwise(acc["pieces"]).alias("pieces"))
-
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("pieces"))
-    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.aggregate(
-        spans, start, step,
-        lambda acc: F.array_join(F.concat(acc["pieces"], F.array(F.substring(
-            F.col("text"), acc["at"] + 1, F.length("text")))), "")))
-    joined = documents.withColumn(key, _document_key()).join(hits, key, "left")
+    # Spans are gathered to runs, and each run is cut out of its own stretch of the text.
+    ends = _running(F.transform(F.col(spans), lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0)
+    cuts = _let(ends, lambda e: F.transform(F.col(spans), lambda s, k: F.struct(
+        F.coalesce(F.get(e, k - 1), F.lit(0)).alias("from"), s["start"].alias("to"), F.get(e, k).alias("next"))))
+
+    def stretch(piece: Column) -> Column:
+        first, last = piece[0]["from"], F.element_at(piece, -1)["next"]
+        part = F.struct(F.substring(F.col("text"), first + 1, last - first).alias("t"), first.alias("at"))
+        return _let(part, lambda p: F.array_join(F.flatten(F.transform(
+            F.filter(piece, lambda c: c["to"] >= c["from"]),
+            lambda c: F.array(F.substring(p["t"], c["from"] - p["at"] + 1, c["to"] - c["from"]), F.lit(mask)))), ""))
+
+    masked = F.concat(F.array_join(F.transform(_blocks(F.col(cut)), stretch), ""),
+                      F.substring(F.col("text"), F.element_at(F.col(cut), -1)["next"] + 1, F.length("text")))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked)
+    joined = (documents.withColumn(key, _document_key()).join(hits, key, "left")
+              .withColumn(cut, F.when(F.col(spans).isNotNull(), cuts)))
     out = joined.withColumn("text", text)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(

@@ -22,20 +22,24 @@ def broadcast_products(src: Sources, scope: Scope = ALL) -> DataFrame:
             .join(src.product.select("prd_cd"), "prd_cd", "left_semi"))
 
 
-def minute_orders(src: Sources, scope: Scope = ALL) -> DataFrame:
+def minute_orders(src: Sources, scope: Scope = ALL, lines: DataFrame | None = None) -> DataFrame:
     """On-air units of real customers per (broadcast, channel, option, order day, order
     minute) over the broadcast day and the day after. Not keyed on the order's channel.
 
     Filters on the order lines reach the parquet scan. The lines are summed to minutes before
     they meet the broadcasts, with a partial sum on the map side, so a hot option is one row
-    per minute and task when it is shuffled, and lines themselves never are.
+    per minute and task when it is shuffled, and lines themselves never are. ``lines``: the run's
+    ``line_minutes`` if already written, which is read instead.
     """
-    orders = (src.order_fact
-              .where((F.col("broad_ord_time_dtl_cd") == ON_AIR) & (F.col("tot_ord_cust_no") > 0))
-              .select("pgm_id", "prd_cd", "attr_prd_cd", "ord_dt", "ord_time", "tot_ord_qty"))
-    bounds = scope.order_day_bounds()
-    if bounds is not None:
-        orders = orders.where(F.col("ord_dt").between(*bounds))
+    if lines is not None:
+        orders = lines.where(F.col("broad_ord_time_dtl_cd") == ON_AIR)
+    else:
+        orders = (src.order_fact
+                  .where((F.col("broad_ord_time_dtl_cd") == ON_AIR) & (F.col("tot_ord_cust_no") > 0))
+                  .select("pgm_id", "prd_cd", "attr_prd_cd", "ord_dt", "ord_time", "tot_ord_qty"))
+        bounds = scope.order_day_bounds()
+        if bounds is not None:
+            orders = orders.where(F.col("ord_dt").between(*bounds))
     orders = (orders.groupBy("pgm_id", "prd_cd", "attr_prd_cd", "ord_dt", "ord_time")
               .agg(F.sum("tot_ord_qty").alias("tot_ord_qty")))
     window = broadcast_products(src, scope).withColumn(

@@ -90,14 +90,17 @@ def supply_by_attr(src: Sources, pgm: DataFrame) -> DataFrame:
             .agg(F.sum("suply_apnt_qty").alias("suply_apnt_qty")))
 
 
-def order_base(src: Sources, pgm: DataFrame, scope: Scope = ALL) -> DataFrame:
-    """Order lines of real customers, on-air or pre-order, placed on the broadcast day or the
-    day after, for the broadcast x product on the product row's channel."""
+def _counted_lines(src: Sources, scope: Scope) -> DataFrame:
+    """Order lines of real customers, on air or pre-ordered, of the run's order days."""
     orders = src.order_fact.where(
         F.col("broad_ord_time_dtl_cd").isin(PRE_ORDER, ON_AIR) & (F.col("tot_ord_cust_no") > 0))
     bounds = scope.order_day_bounds()
-    if bounds is not None:
-        orders = orders.where(F.col("ord_dt").between(*bounds))
+    return orders if bounds is None else orders.where(F.col("ord_dt").between(*bounds))
+
+
+def in_broadcast_days(orders: DataFrame, pgm: DataFrame, scope: Scope = ALL) -> DataFrame:
+    """Order rows placed on the broadcast day or the day after, for the broadcast x product on the
+    product row's channel."""
     window = pgm.select(
         "pgm_id", "prd_cd", F.col("chanl_cd").alias("broad_rlrslt_gbn_cd"), "broad_dt",
         "broad_str_dtm",
@@ -106,6 +109,12 @@ def order_base(src: Sources, pgm: DataFrame, scope: Scope = ALL) -> DataFrame:
             .where((F.col("ord_dt") >= F.col("broad_dt")) & (F.col("ord_dt") <= F.col("last_ord_dt"))))
 
 
+def order_base(src: Sources, pgm: DataFrame, scope: Scope = ALL) -> DataFrame:
+    """Order lines of real customers, on-air or pre-order, placed on the broadcast day or the
+    day after, for the broadcast x product on the product row's channel."""
+    return in_broadcast_days(_counted_lines(src, scope), pgm, scope)
+
+
 def _amount(kind: str) -> F.Column:
     """Order amount with supplier discount, coupon per unit and non-accumulating sales; a
     null operand nulls the row's term."""
@@ -114,22 +123,44 @@ def _amount(kind: str) -> F.Column:
             + F.col("cmm_cpn_dc_amt") * qty + F.col(f"{kind}_ord_naccm_sale_amt"))
 
 
-def order_option_totals(base: DataFrame) -> DataFrame:
-    """One pass over the order lines to (broadcast, product, option) grain; every later
-    order figure is rolled up from this small table instead of rescanning the lines."""
+#: What a line is summed by before it meets the broadcasts.
+LINE_MINUTE = ("pgm_id", "prd_cd", "attr_prd_cd", "broad_rlrslt_gbn_cd", "broad_ord_time_dtl_cd", "ord_dt", "ord_time")
+
+
+def _summed(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Every figure that is asked of order lines, by ``keys``; expected sales are rounded per line."""
+    tot = _amount("tot")
+    return (lines.groupBy(*keys)
+            .agg(F.max("chg_rt").alias("chg_rt"), F.sum(tot).alias("tot_amt"), F.sum(_amount("net")).alias("net_amt"),
+                 F.sum(F.round(tot * F.col("chg_rt") * (1 - F.col("naccm_sale_subtr_apply_rt")))).alias("expct_amt"),
+                 F.sum("tot_ord_qty").alias("tot_ord_qty"), F.count("*").alias("n_lines")))
+
+
+def line_minutes(src: Sources, scope: Scope = ALL) -> DataFrame:
+    """The order lines summed to option, channel, time code and minute: the run's only pass over them.
+    The sum is partial on the map side, so a hot broadcast's lines are shuffled as one row per minute and
+    task. The minute grid and the report's order figures are both rolled up from it."""
+    return _summed(_counted_lines(src, scope), LINE_MINUTE)
+
+
+def option_totals(minutes: DataFrame) -> DataFrame:
+    """Rows of :func:`line_minutes` in their broadcast's days, rolled up to (broadcast, product, option)."""
     preorder_from = F.date_format(F.date_trunc("DAY", F.col("broad_str_dtm")) + F.expr("INTERVAL 3 HOURS"),
                                   "yyyyMMddHHmm")
     preorder_to = F.date_format(F.col("broad_str_dtm"), "yyyyMMddHHmm")
     in_preorder = F.concat("ord_dt", "ord_time").between(preorder_from, preorder_to)
-    tot = _amount("tot")
-    return (base.groupBy("pgm_id", "prd_cd", "attr_prd_cd")
-            .agg(F.max("chg_rt").alias("chg_rt"),
-                 F.sum(tot).alias("tot_amt"),
-                 F.sum(_amount("net")).alias("net_amt"),
-                 F.sum(F.round(tot * F.col("chg_rt") * (1 - F.col("naccm_sale_subtr_apply_rt")))).alias("expct_amt"),
+    on_air = F.col("broad_ord_time_dtl_cd") == ON_AIR
+    return (minutes.groupBy("pgm_id", "prd_cd", "attr_prd_cd")
+            .agg(F.max("chg_rt").alias("chg_rt"), F.sum("tot_amt").alias("tot_amt"), F.sum("net_amt").alias("net_amt"),
+                 F.sum("expct_amt").alias("expct_amt"),
                  F.sum(F.when(in_preorder, F.col("tot_ord_qty"))).alias("pord_03_tot_ord_qty"),
-                 F.sum(F.when(F.col("broad_ord_time_dtl_cd") == ON_AIR, F.col("tot_ord_qty"))).alias("tot_ord_qty"),
-                 F.count(F.when(F.col("broad_ord_time_dtl_cd") == ON_AIR, 1)).alias("n_onair_lines")))
+                 F.sum(F.when(on_air, F.col("tot_ord_qty"))).alias("tot_ord_qty"),
+                 F.coalesce(F.sum(F.when(on_air, F.col("n_lines"))), F.lit(0)).alias("n_onair_lines")))
+
+
+def order_option_totals(base: DataFrame) -> DataFrame:
+    """The same from order lines that have met their broadcasts (:func:`order_base`)."""
+    return option_totals(_summed(base, (*LINE_MINUTE, "broad_str_dtm")))
 
 
 def order_revenue(totals: DataFrame) -> DataFrame:
@@ -175,7 +206,7 @@ def report_base(src: Sources, scope: Scope = ALL, *, keep_run_columns: bool = Fa
     """One row per broadcast x option of the run with sales, supply and exposure figures.
 
     ``pgm`` / ``prd`` / ``totals``: the run's ``broadcast_sequence`` / ``product_attributes`` /
-    ``order_option_totals`` if already built (a run writes them once; the blocks below read
+    ``option_totals`` if already built (a run writes them once; the blocks below read
     them; otherwise revenue and quantities would each re-scan the order lines, pruned to
     different columns). All right-hand sides are
     aggregates far smaller than the order lines; AQE turns their joins into broadcast joins
@@ -183,7 +214,7 @@ def report_base(src: Sources, scope: Scope = ALL, *, keep_run_columns: bool = Fa
     """
     pgm = broadcast_sequence(src, scope) if pgm is None else pgm
     prd = product_attributes(src, pgm) if prd is None else prd
-    totals = order_option_totals(order_base(src, pgm, scope)) if totals is None else totals
+    totals = option_totals(in_broadcast_days(line_minutes(src, scope), pgm, scope)) if totals is None else totals
     qty = option_quantities(totals)
     weiht = F.col("weiht_mi")
     out = (prd.join(pgm, "prd_cd")

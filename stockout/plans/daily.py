@@ -46,11 +46,11 @@ class DailyRun:
         """Write the run's independent base stages side by side (Spark runs jobs submitted
         from several threads concurrently): the per-minute order aggregate next to the
         broadcast x product block, then what depends on the latter."""
-        first = [lambda: self.pgm] + ([lambda: self.minutes] if grid else [])
+        first = [lambda: self.pgm] + ([lambda: self.lines] if grid and report else [lambda: self.minutes] if grid else [])
         with ThreadPoolExecutor(max_workers=len(first)) as pool:
             for fut in [pool.submit(f) for f in first]:
                 fut.result()
-        second = [lambda: self.products] + ([lambda: self.order_totals] if report else [])
+        second = [lambda: self.products] + ([lambda: self.order_totals] if report else []) + ([lambda: self.minutes] if grid else [])
         with ThreadPoolExecutor(max_workers=len(second)) as pool:
             for fut in [pool.submit(f) for f in second]:
                 fut.result()
@@ -75,11 +75,18 @@ class DailyRun:
     def order_base(self) -> DataFrame:
         return report_ops.order_base(self.src, self.pgm, self.scope)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The run's only pass over the order lines, summed to option, channel, time code and minute and
+        written bucketed by group: the minute orders and the order figures are both rolled up from it."""
+        return self._write(report_ops.line_minutes(self.src, self.scope), "line_minutes", bucket_by=GROUP)
+
     @cached_property
     def order_totals(self) -> DataFrame:
-        """Order lines rolled up to (broadcast, product, option), written once: revenue and
+        """Order figures per (broadcast, product, option), written once: revenue and
         option quantities both read it (bounded by the run's options)."""
-        return self._write(report_ops.order_option_totals(self.order_base), "order_totals")
+        minutes = report_ops.in_broadcast_days(self.lines, self.pgm, self.scope)
+        return self._write(report_ops.option_totals(minutes), "order_totals")
 
     @cached_property
     def report_rows(self) -> DataFrame:
@@ -106,10 +113,11 @@ class DailyRun:
     # -- minute grid and sold-out ------------------------------------------------------
     @cached_property
     def minutes(self) -> DataFrame:
-        """The only pass over the order lines the grid needs: always written once (the grid,
-        the option frame and the gate all read it; rescanning the fact table for each would
-        cost far more than writing this per-minute aggregate)."""
-        return self._write(order_ops.minute_orders(self.src, self.scope), "minutes", bucket_by=GROUP)
+        """Units per option and minute: always written once (the grid, the option frame and the gate all
+        read it). Taken from ``lines`` where the run has summed them already or will for the report,
+        else from the order lines of the grid alone."""
+        lines = self.lines if self.materialize or "lines" in self.__dict__ else None
+        return self._write(order_ops.minute_orders(self.src, self.scope, lines), "minutes", bucket_by=GROUP)
 
     @cached_property
     def option_frame(self) -> DataFrame:

@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Tables bucketed by broadcast and product are joined on these and more keys as they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -176,6 +176,33 @@ _FINAL = {
             SELECT s.step, 'soldout_snapshot', k.broad_dt, k.value + CASE WHEN step = 'reloaded' AND k.broad_dt = f.d THEN 1 ELSE 0 END
             FROM soldout_snapshot k, first_day f, (VALUES ('loaded'), ('failed'), ('reloaded'), ('first version')) s(step))
         SELECT step, tbl, broad_dt, count(*) AS n_rows, CAST(sum(units) AS BIGINT) AS units FROM stored GROUP BY ALL""",
+    "backfill_changes": """
+        , kept AS (SELECT r.broad_dt, sum(coalesce(r.tot_ord_qty, 0)) AS units, sum(coalesce(o.onair_lines, 0)) AS more
+                   FROM report_base r SEMI JOIN (SELECT pgm_id, prd_cd FROM gate WHERE passes) g USING (pgm_id, prd_cd)
+                   LEFT JOIN (SELECT pgm_id, attr_prd_cd, sum(onair_lines) AS onair_lines FROM option_orders GROUP BY ALL) o
+                     ON o.pgm_id = r.pgm_id AND o.attr_prd_cd = r.attr_prd_cd
+                   GROUP BY r.broad_dt ORDER BY r.broad_dt LIMIT 2),
+        last_day AS (SELECT max(broad_dt) AS d FROM kept)
+        SELECT s.step, k.broad_dt, s.step = 'first' OR (s.step = 'changed' AND k.broad_dt = l.d) AS computed,
+               CAST(k.units + CASE WHEN s.step = 'changed' AND k.broad_dt = l.d THEN k.more ELSE 0 END AS BIGINT) AS units
+        FROM kept k, last_day l, (VALUES ('first'), ('again'), ('changed')) s(step)""",
+    "load_audit": """
+        SELECT coalesce(v.pgm_id, g.pgm_id) AS pgm_id, coalesce(v.prd_cd, g.prd_cd) AS prd_cd, coalesce(v.n, 0) AS n_report_rows,
+               coalesce(g.n_grid_options, 0) AS n_grid_options,
+               CASE WHEN g.passes IS NULL THEN 'no order on air' WHEN g.passes THEN 'kept' ELSE 'options differ' END AS outcome,
+               b.broad_dt
+        FROM (SELECT pgm_id, prd_cd, count(*) AS n FROM view_opts GROUP BY ALL) v
+        FULL JOIN gate g ON g.pgm_id = v.pgm_id AND g.prd_cd = v.prd_cd
+        JOIN broadcast b ON b.pgm_id = coalesce(v.pgm_id, g.pgm_id)""",
+    "load_metrics": f"""
+        , shown AS ({_PRESENT})
+        SELECT 'soldout_report' AS tbl, 'rows' AS metric, count(*) AS value FROM shown
+        UNION ALL SELECT 'soldout_report', 'null_sold_out_dtm', count(*) - count("일시품절") FROM shown
+        UNION ALL SELECT 'soldout_report', 'null_chg_rt', count(*) - count("전환율") FROM shown
+        UNION ALL SELECT 'soldout_report', 'null_size_str', count(*) - count("사이즈_체계") FROM shown
+        UNION ALL SELECT 'soldout_report', 'null_value', count(*) - count("첫일시품절시_수량") FROM shown
+        UNION ALL SELECT 'soldout_snapshot', 'rows', count(*) FROM soldout_snapshot
+        UNION ALL SELECT 'soldout_snapshot', 'null_value', 0""",
     "target_key_check": """
         , kept AS (SELECT r.pgm_id, r.attr_prd_cd, r.broad_dt
                    FROM report_base r SEMI JOIN (SELECT pgm_id, prd_cd FROM gate WHERE passes) USING (pgm_id, prd_cd))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from stockout.operators.grid import GRID_COLUMNS, GROUP
 from stockout.operators.impute import ImputeSettings, held_out_error
 from stockout.operators.present import to_display_names
 from stockout.operators.scope import LIVE_CHANNEL, Scope
+from stockout.plans.backfill import backfill
 from stockout.plans.daily import DailyRun
 from stockout.sinks import (ALL_DAYS, ResultStore, load_days, load_report, load_snapshot, output_root,
                             write_snapshot)
@@ -303,6 +305,39 @@ def target_key_check(spark, sf_dir):
     return store.clashing_keys(batch.unionByName(new)).select("pgm_id", "attr_prd_cd", "broad_dt")
 
 
+def backfill_changes(spark, sf_dir):
+    """Load the first two days; again; again after every on-air line of the second has one unit more.
+    Per step and day: whether it was computed, and its units in the store."""
+    src = from_testdata(spark, sf_dir)
+    store = ResultStore(spark, f"{output_root(spark)}/store-{uuid.uuid4().hex}")
+    days = tuple(r["broad_dt"] for r in src.broadcast.select("broad_dt").distinct().orderBy("broad_dt").limit(2).collect())
+    more = F.col("tot_ord_qty") + F.when((F.substring("ord_dt", 1, 4) == days[-1][:4]) & (F.col("broad_ord_time_dtl_cd") == "O1"), 1).otherwise(0)
+    changed = replace(src, order_fact=src.order_fact.withColumn("tot_ord_qty", more))
+    out = None
+    for step, sources in (("first", src), ("again", src), ("changed", changed)):
+        done = backfill(sources, store, days, ImputeSettings(method="rank_one"))
+        rows = (store.report(store.manifest().version).groupBy("broad_dt").agg(F.sum("tot_ord_qty").cast("long").alias("units"))
+                .select(F.lit(step).alias("step"), "broad_dt", F.col("broad_dt").isin(*done.computed, "").alias("computed"), "units"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def load_audit(spark, sf_dir):
+    """What became of every group, as the store keeps it."""
+    run = _run(spark, sf_dir, materialize=True, grid=True, report=True)
+    store = ResultStore(spark, f"{output_root(spark)}/store-{uuid.uuid4().hex}")
+    store.load(run.report(with_estimate=False, display_names=False), run.snapshot.drop("prd_cd"), ALL_DAYS, audit=run.audit)
+    return store.audit()
+
+
+def load_metrics(spark, sf_dir):
+    """Rows and nulls of both tables, counted while they were written."""
+    store = _loaded_store(spark, sf_dir)[2]
+    rows = [(t, k, v) for t, found in store.manifest().metrics.items() for k, v in found.items()]
+    return spark.createDataFrame(rows, "tbl string, metric string, value long").where(
+        F.col("metric").isin("rows", "null_sold_out_dtm", "null_chg_rt", "null_size_str", "null_value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("minute_orders", minute_orders), ("low_order_filter", low_order_filter),
@@ -324,5 +359,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("demand_rank_one", demand_rank_one), ("estimated_demand_rank_one", estimated_demand_rank_one),
         ("final_report_rank_one", final_report_rank_one), ("imputation_error", imputation_error),
         ("versioned_load_roundtrip", versioned_load_roundtrip), ("target_key_check", target_key_check),
+        ("backfill_changes", backfill_changes), ("load_audit", load_audit), ("load_metrics", load_metrics),
     ]
 }

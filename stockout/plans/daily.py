@@ -35,12 +35,15 @@ class DailyRun:
     """Every stage of one run over ``scope`` (default: all days, both channels)."""
 
     def __init__(self, src: Sources, scope: Scope = ALL, *, materialize: bool = False,
-                 impute_settings: impute_ops.ImputeSettings | None = None):
+                 impute_settings: impute_ops.ImputeSettings | None = None, resume_tag: str | None = None):
+        """``resume_tag``: stages of an earlier, broken run under this tag are taken as they are; the tag
+        must follow from all that the run reads (``plans.backfill``)."""
         self.src = src
         self.scope = scope
         self.materialize = materialize
         self.impute_settings = impute_settings or impute_ops.ImputeSettings()
-        self.run_tag = new_run_tag()
+        self.run_tag = resume_tag or new_run_tag()
+        self.resume = resume_tag is not None
 
     def prepare(self, grid: bool = True, report: bool = False) -> "DailyRun":
         """Write the run's independent base stages side by side (Spark runs jobs submitted
@@ -57,7 +60,7 @@ class DailyRun:
         return self
 
     def _write(self, df: DataFrame, name: str, **kwargs) -> DataFrame:
-        return write_stage(df, name, run_tag=self.run_tag, **kwargs)
+        return write_stage(df, name, run_tag=self.run_tag, resume=self.resume, **kwargs)
 
     # -- report SQL blocks -------------------------------------------------------------
     @cached_property
@@ -157,13 +160,27 @@ class DailyRun:
     @cached_property
     def imputed(self) -> DataFrame:
         # Every reader of the estimates reads the one solution.
-        return write_stage(impute_ops.impute_demand(self.censored, self.impute_settings), "imputed",
-                           run_tag=self.run_tag)
+        return self._write(impute_ops.impute_demand(self.censored, self.impute_settings), "imputed")
 
     @cached_property
     def estimated(self) -> DataFrame:
         return impute_ops.estimated_demand(self.imputed)
 
+    # -- audit -------------------------------------------------------------------------
+    @cached_property
+    def audit(self) -> DataFrame:
+        """Every group that the report lists or that was ordered on air, and what became of it: kept, left
+        out because its options differ (the gate), or left out because nobody ordered on air."""
+        listed = self.options.groupBy(*GROUP, "broad_dt").agg(F.count("*").alias("n_listed"))
+        seen = (self.option_frame.groupBy(*GROUP, F.col("broad_dt").alias("grid_dt"), "n_grid_options", "passes")
+                .agg(F.lit(1).alias("_one")).drop("_one"))
+        outcome = (F.when(F.col("passes").isNull(), "no order on air").when(F.col("passes"), "kept")
+                   .otherwise("options differ"))
+        return (listed.join(seen, GROUP, "full")
+                .select(*GROUP, F.coalesce("n_listed", F.lit(0)).alias("n_report_rows"),
+                        F.coalesce("n_grid_options", F.lit(0)).alias("n_grid_options"), outcome.alias("outcome"),
+                        F.coalesce("broad_dt", "grid_dt").alias("broad_dt")))
+
     # -- report ------------------------------------------------------------------------
     def report(self, with_estimate: bool = True, display_names: bool = True) -> DataFrame:
         """The written report: report rows of groups with on-air orders that pass the gate,

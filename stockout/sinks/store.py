@@ -1,4 +1,4 @@
-"""Both result tables behind one manifest: a load of days becomes visible as a whole or not at all.
+"""The result tables behind one manifest: a load of days becomes visible as a whole or not at all.
 
 Layout under the store's root::
 
@@ -25,7 +25,7 @@ import time
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,7 +34,7 @@ from stockout.sinks.keys import StoredDay, day_filters, days_that_may_hold, filt
 from stockout.sinks.tables import ALL_DAYS, KeyViolation, report_rows, snapshot_rows
 from stockout.stage import write_stage
 
-REPORT, SNAPSHOT = "soldout_report", "soldout_snapshot"
+REPORT, SNAPSHOT, AUDIT = "soldout_report", "soldout_snapshot", "load_audit"
 #: Keys that must be unique over all days; the snapshot's key holds the day itself.
 WHOLE_TABLE_KEYS = {REPORT: schemas.REPORT_KEY}
 
@@ -62,17 +62,20 @@ class Manifest:
     changed: tuple[str, ...] = ()
     tables: dict[str, dict[str, DayEntry]] = field(default_factory=dict)
     schemas: dict[str, dict] = field(default_factory=dict)
+    fingerprints: dict[str, str] = field(default_factory=dict)
+    metrics: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({"version": self.version, "loaded_at": self.loaded_at, "changed": list(self.changed),
-                           "schemas": self.schemas,
+                           "schemas": self.schemas, "fingerprints": self.fingerprints, "metrics": self.metrics,
                            "tables": {t: {d: asdict(e) for d, e in sorted(days.items())} for t, days in sorted(self.tables.items())}})
 
     @staticmethod
     def from_json(text: str) -> Manifest:
         raw = json.loads(text)
         return Manifest(raw["version"], raw["loaded_at"], tuple(raw["changed"]),
-                        {t: {d: DayEntry(**e) for d, e in days.items()} for t, days in raw["tables"].items()}, raw["schemas"])
+                        {t: {d: DayEntry(**e) for d, e in days.items()} for t, days in raw["tables"].items()},
+                        raw["schemas"], raw["fingerprints"], raw["metrics"])
 
 
 class ResultStore:
@@ -149,6 +152,9 @@ class ResultStore:
     def snapshot(self, version: int | None = None) -> DataFrame:
         return self.read(SNAPSHOT, version)
 
+    def audit(self, version: int | None = None) -> DataFrame:
+        return self.read(AUDIT, version)
+
     def _stored(self, kind: str, table: str, entries: dict[str, DayEntry]) -> DataFrame:
         base = f"{self.root}/{kind}/{table}"
         paths = [f"{base}/load={e.load}/broad_dt={day}" for day, e in sorted(entries.items())]
@@ -156,24 +162,33 @@ class ResultStore:
         return self.spark.read.option("basePath", base).parquet(*paths).withColumn("broad_dt", F.col("broad_dt").cast("string"))
 
     # -- loading -----------------------------------------------------------------------
-    def load(self, report: DataFrame, snapshot: DataFrame, days: tuple[str, ...] | str) -> Manifest:
-        """Replace ``days`` (ALL_DAYS: the whole store) in both tables by one version. Days asked for
-        that have no rows become empty; rows of other days are an error."""
+    def load(self, report: DataFrame, snapshot: DataFrame, days: tuple[str, ...] | str, audit: DataFrame | None = None,
+             fingerprints: dict[str, str] | None = None) -> Manifest:
+        """Replace ``days`` (ALL_DAYS: the whole store) in all tables by one version. Days asked for
+        that have no rows become empty; rows of other days are an error. ``audit``: rows by day on what
+        was left out; ``fingerprints``: by day, what it was computed from (``plans.backfill``).
+
+        Rows and nulls by column are counted while the tables are written and kept in the version."""
         base = self.manifest()
         load = uuid.uuid4().hex
-        report = report_rows(write_stage(report, "report"))
-        snapshot = snapshot_rows(write_stage(snapshot, "snapshot"))
-        found = {t: self._days_of(df, t) for t, df in ((REPORT, report), (SNAPSHOT, snapshot))}
+        given = {REPORT: report, SNAPSHOT: snapshot} | ({} if audit is None else {AUDIT: audit})
+        staged, metrics = {}, {}
+        for table, rows in given.items():
+            counted = Observation()
+            nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in rows.columns]
+            staged[table] = write_stage(rows.observe(counted, F.count(F.lit(1)).alias("rows"), *nulls), table)
+            metrics[table] = {k: int(v) for k, v in counted.get.items()}
+        staged[REPORT], staged[SNAPSHOT] = report_rows(staged[REPORT]), snapshot_rows(staged[SNAPSHOT])
+        found = {t: self._days_of(df, t) for t, df in staged.items()}
         asked = set().union(*found.values()) if days == ALL_DAYS else set(days)
         for table, entries in found.items():
             if set(entries) - asked:
                 raise ValueError(f"{table}: rows of days that were not asked for: {sorted(set(entries) - asked)}")
         stays = {} if days == ALL_DAYS else {d: e for d, e in base.tables.get(REPORT, {}).items() if d not in asked}
-        self._check_whole_table(report, found[REPORT], stays)
-        entries = {REPORT: self._write(report, REPORT, load, found[REPORT]),
-                   SNAPSHOT: self._write(snapshot, SNAPSHOT, load, found[SNAPSHOT])}
-        kinds = {REPORT: report.schema.jsonValue(), SNAPSHOT: snapshot.schema.jsonValue()}
-        return self._commit(base, entries, asked, days == ALL_DAYS, kinds)
+        self._check_whole_table(staged[REPORT], found[REPORT], stays)
+        entries = {t: self._write(df, t, load, found[t]) for t, df in staged.items()}
+        kinds = {t: df.schema.jsonValue() for t, df in staged.items()}
+        return self._commit(base, entries, asked, days == ALL_DAYS, kinds, fingerprints or {}, metrics)
 
     def _days_of(self, rows: DataFrame, table: str) -> dict[str, DayEntry]:
         """Per day of a load: its rows and, where the key spans the table, its range and filter size."""
@@ -223,16 +238,19 @@ class ResultStore:
         return held.join(report.select(*key).distinct(), list(key), "left_semi")
 
     def _commit(self, base: Manifest, entries: dict[str, dict[str, DayEntry]], asked: set[str], whole: bool,
-                kinds: dict[str, dict]) -> Manifest:
+                kinds: dict[str, dict], fingerprints: dict[str, str], metrics: dict[str, dict[str, int]]) -> Manifest:
         while True:
             now = self.manifest()
             since = [self.manifest(v) for v in self.versions() if v > base.version]
             if whole and since or any(set(m.changed) & asked for m in since):
                 raise CommitConflict(f"days changed since version {base.version}")
-            tables = {t: {} if whole else {d: e for d, e in now.tables.get(t, {}).items() if d not in asked} for t in entries}
+            tables = {t: {} if whole else {d: e for d, e in now.tables.get(t, {}).items() if d not in asked}
+                      for t in {*entries, *now.tables}}
             for t, days in entries.items():
                 tables[t].update(days)
-            new = Manifest(now.version + 1, time.time(), tuple(sorted(asked)), tables, kinds)
+            prints = {d: v for d, v in now.fingerprints.items() if not whole and d not in asked}
+            new = Manifest(now.version + 1, time.time(), tuple(sorted(asked)), tables, {**now.schemas, **kinds},
+                           {**prints, **fingerprints}, metrics)
             if since:
                 self._recheck(entries[REPORT], since, new)
             if self._publish(new):
@@ -253,7 +271,7 @@ class ResultStore:
         fs, gone = self._files(), []
         before = (time.time() - older_than_hours * 3600) * 1000
         for kind in ("data", "filters"):
-            for table in (REPORT, SNAPSHOT):
+            for table in (REPORT, SNAPSHOT, AUDIT):
                 for name in self._names(f"{kind}/{table}"):
                     place = self._path(f"{kind}/{table}/{name}")
                     if name.startswith("load=") and name[5:] not in named and fs.getFileStatus(place).getModificationTime() < before:

@@ -36,23 +36,64 @@ def new_run_tag() -> str:
 
 
 def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str] | None = None,
-                run_tag: str | None = None) -> DataFrame:
+                run_tag: str | None = None, resume: bool = False) -> DataFrame:
     """Write ``df`` to ``<checkpoint dir>/stages/<run_tag>/<name>-<id>`` and read it back. A
     run passes one tag for all its stages, so a run's intermediates sit in one folder (left
-    to the shared folder's retention policy)."""
+    to the shared folder's retention policy).
+
+    ``resume``: the stage's place follows from tag and name alone, and a stage that was written whole
+    before (its ``_SUCCESS`` file is there) is read and not computed again. The tag must then say
+    everything that the stage depends on."""
     spark = df.sparkSession
     tag = uuid.uuid4().hex
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{run_tag or tag}/{name}-{tag}"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{run_tag or tag}"
+    path = f"{root}/{name}" if resume else f"{root}/{name}-{tag}"
+    done = resume and _exists(spark, f"{path}/{'_buckets' if bucket_by else '_SUCCESS'}")
     if not bucket_by:
-        df.write.mode("overwrite").parquet(path)
+        if not done:
+            df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
+    table = f"stockout_{name}_{run_tag or tag}_{'kept' if resume else tag[:8]}"
     buckets = bucket_count(spark)
-    table = f"stockout_{name}_{run_tag or tag}_{tag[:8]}"
-    (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
-     .bucketBy(buckets, *bucket_by).saveAsTable(table))
+    if not done:
+        (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
+         .bucketBy(buckets, *bucket_by).saveAsTable(table))
+        if resume:
+            _note(spark, f"{path}/_buckets", str(buckets))
+    elif not spark.catalog.tableExists(table):  # written by an application that has ended
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        keys = ", ".join(f"`{c}`" for c in bucket_by)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                  f"INTO {int(_noted(spark, f'{path}/_buckets'))} BUCKETS LOCATION '{path}'")
     return spark.table(table)
 
 
+def _file(spark, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _exists(spark, path: str) -> bool:
+    fs, place = _file(spark, path)
+    return fs.exists(place)
+
+
+def _note(spark, path: str, text: str) -> None:
+    fs, place = _file(spark, path)
+    stream = fs.create(place, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def _noted(spark, path: str) -> str:
+    fs, place = _file(spark, path)
+    stream = fs.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def drop_run(spark, run_tag: str) -> None:
     """Remove a run's stages: its bucketed tables from the catalog, and its folder."""
     for table in spark.catalog.listTables():

@@ -219,6 +219,7 @@ _WITH_RANK_ONE = {
         LEFT JOIN estimated_rank_one e ON e.pgm_id = p."방송코드" AND e.prd_cd = p."상품코드" AND e.attr_prd_cd = p."속성코드"
     """,
 }
+_FINAL["minute_orders_sql"], _FINAL["report_base_sql"] = _FINAL["minute_orders"], _FINAL["report_base"]
 _FINAL["demand_sgd_contract"] = _FINAL["imputation_contract"]
 
 

@@ -17,15 +17,12 @@ def strip_paren(c: Column) -> Column:
 
 
 def size_sort_key(c: Column) -> Column:
-    """String key that orders sizes: named sizes by the table above; otherwise the first
-    digit run, left-padded by a rule on its length (1 digit -> '1000d', 2 -> '100dd',
-    3 -> '10ddd', other -> '1'+digits, no digits -> '1')."""
-    digits = F.regexp_substr(c, F.lit("[0-9]+"))
-    n = F.length(digits)
-    numeric = (F.when(n == 1, F.concat(F.lit("1000"), digits))
-               .when(n == 2, F.concat(F.lit("100"), digits))
-               .when(n == 3, F.concat(F.lit("10"), digits))
-               .otherwise(F.concat(F.lit("1"), F.coalesce(digits, F.lit("")))))
+    """String key that orders sizes: named sizes by the table above; otherwise ``1`` and the first
+    digit run, filled up to four digits where it has one to three (a longer one is kept whole, a
+    size without digits has none)."""
+    digits = F.coalesce(F.regexp_substr(c, F.lit("[0-9]+")), F.lit(""))
+    short = F.length(digits).between(1, 3)
+    numeric = F.concat(F.lit("1"), F.when(short, F.lpad(digits, 4, "0")).otherwise(digits))
     named = None
     for name, key in NAMED_SIZE_KEYS.items():
         named = (F.when(c == name, F.lit(key)) if named is None

@@ -29,6 +29,7 @@ from stockout.sinks import (ALL_DAYS, ResultStore, load_days, load_report, load_
                             write_snapshot)
 from stockout.sinks.store import REPORT, SNAPSHOT
 from stockout.sources import from_testdata
+from stockout.sources.statements import MINUTE_ORDERS, REPORT_BASE, read_sql
 from stockout.stage import write_stage
 
 _DECIMAL_COLUMNS = ("net_ord_amt", "sup_shr_net_ord_dc_amt", "net_ord_naccm_sale_amt", "tot_ord_amt",
@@ -338,6 +339,16 @@ def load_metrics(spark, sf_dir):
         F.col("metric").isin("rows", "null_sold_out_dtm", "null_chg_rt", "null_size_str", "null_value"))
 
 
+def minute_orders_sql(spark, sf_dir):
+    """Minute orders by SQL text with bound arguments."""
+    return read_sql(spark, from_testdata(spark, sf_dir), MINUTE_ORDERS)
+
+
+def report_base_sql(spark, sf_dir):
+    """The report base by SQL text with bound arguments."""
+    return read_sql(spark, from_testdata(spark, sf_dir), REPORT_BASE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("minute_orders", minute_orders), ("low_order_filter", low_order_filter),
@@ -360,5 +371,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("final_report_rank_one", final_report_rank_one), ("imputation_error", imputation_error),
         ("versioned_load_roundtrip", versioned_load_roundtrip), ("target_key_check", target_key_check),
         ("backfill_changes", backfill_changes), ("load_audit", load_audit), ("load_metrics", load_metrics),
+        ("minute_orders_sql", minute_orders_sql), ("report_base_sql", report_base_sql),
     ]
 }

@@ -176,6 +176,9 @@ _FINAL = {
             SELECT s.step, 'soldout_snapshot', k.broad_dt, k.value + CASE WHEN step = 'reloaded' AND k.broad_dt = f.d THEN 1 ELSE 0 END
             FROM soldout_snapshot k, first_day f, (VALUES ('loaded'), ('failed'), ('reloaded'), ('first version')) s(step))
         SELECT step, tbl, broad_dt, count(*) AS n_rows, CAST(sum(units) AS BIGINT) AS units FROM stored GROUP BY ALL""",
+    "airing_state": """
+        SELECT a.pgm_id, a.prd_cd, a.chanl_cd, a.broad_seq, f.myshop_fst_broad_dt AS first_dt
+        FROM airing a JOIN first_airing f USING (prd_cd)""",
     "backfill_changes": """
         , kept AS (SELECT r.broad_dt, sum(coalesce(r.tot_ord_qty, 0)) AS units, sum(coalesce(o.onair_lines, 0)) AS more
                    FROM report_base r SEMI JOIN (SELECT pgm_id, prd_cd FROM gate WHERE passes) g USING (pgm_id, prd_cd)

@@ -18,26 +18,29 @@ from stockout.sources import Sources
 ON_AIR, PRE_ORDER = "O1", "P1"
 
 
-def broadcast_sequence(src: Sources, scope: Scope = ALL) -> DataFrame:
+def broadcast_sequence(src: Sources, scope: Scope = ALL, numbered: DataFrame | None = None) -> DataFrame:
     """Broadcast x product x listed channel rows of the run, with ``broad_seq`` = the n-th airing of the
     product on that channel over the whole history (dense rank by start time).
 
     The rank must see all history, so the run's filter is applied to the ranked rows; the
     history is first cut to the run's products by a semi-join, which is safe because the
-    product is a partition key of the rank.
+    product is a partition key of the rank. ``numbered``: the run's airings with their number if a kept
+    state has them (``airings.AiringState``); then no history is read.
     """
     run = (scope.broadcasts(src.broadcast)
            .select("pgm_id", F.col("chanl_cd").alias("run_chanl_cd"), "broad_dt",
                    "broad_str_dtm", "pgm_nm"))
     listed = src.broadcast_product.select("pgm_id", "prd_cd", "chanl_cd").distinct()
     history = listed.join(src.broadcast.select("pgm_id", "broad_str_dtm"), "pgm_id")
-    if scope != ALL:
+    if scope != ALL and numbered is None:
         run_products = listed.join(run, "pgm_id", "left_semi").select("prd_cd")
         history = history.join(run_products, "prd_cd", "left_semi")
     airing = history.select(
         "pgm_id", "prd_cd", "chanl_cd",
         F.dense_rank().over(Window.partitionBy("prd_cd", "chanl_cd").orderBy("broad_str_dtm"))
         .cast("int").alias("broad_seq"))
+    if numbered is not None:
+        airing = numbered.select("pgm_id", "prd_cd", "chanl_cd", "broad_seq")
     return (run.join(listed, "pgm_id")
             .join(airing, ["pgm_id", "prd_cd", "chanl_cd"])
             .join(src.product.select("prd_cd"), "prd_cd", "left_semi")

@@ -19,6 +19,7 @@ from stockout.operators import orders as order_ops
 from stockout.operators import report as report_ops
 from stockout.operators import snapshot as snapshot_ops
 from stockout.operators import soldout as soldout_ops
+from stockout.operators.airings import AiringState
 from stockout.operators.grid import GRID_COLUMNS, GROUP
 from stockout.operators.impute import ImputeSettings, held_out_error
 from stockout.operators.present import to_display_names
@@ -349,6 +350,24 @@ def report_base_sql(spark, sf_dir):
     return read_sql(spark, from_testdata(spark, sf_dir), REPORT_BASE)
 
 
+def airing_state(spark, sf_dir):
+    """Airings numbered from kept state: the second day is loaded before the first, then the others, then
+    the second again; days that a load renumbers are read anew."""
+    src = from_testdata(spark, sf_dir)
+    state = AiringState(spark, f"{output_root(spark)}/airings-{uuid.uuid4().hex}")
+    days = [r["broad_dt"] for r in src.broadcast.select("broad_dt").distinct().orderBy("broad_dt").collect()]
+    found = {}
+    for day in [*days[1:2], *days[:1], *days[2:], *days[1:2]]:
+        done = state.load(src, day)
+        found[day] = done.numbered
+        for other in done.renumbered:
+            found[other] = state.number(src, other)
+    out = None
+    for rows in found.values():
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("pgm_id", "prd_cd", "chanl_cd", "broad_seq", "first_dt")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("minute_orders", minute_orders), ("low_order_filter", low_order_filter),
@@ -372,5 +391,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("versioned_load_roundtrip", versioned_load_roundtrip), ("target_key_check", target_key_check),
         ("backfill_changes", backfill_changes), ("load_audit", load_audit), ("load_metrics", load_metrics),
         ("minute_orders_sql", minute_orders_sql), ("report_base_sql", report_base_sql),
+        ("airing_state", airing_state),
     ]
 }

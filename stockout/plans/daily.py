@@ -35,8 +35,10 @@ class DailyRun:
     """Every stage of one run over ``scope`` (default: all days, both channels)."""
 
     def __init__(self, src: Sources, scope: Scope = ALL, *, materialize: bool = False,
-                 impute_settings: impute_ops.ImputeSettings | None = None, resume_tag: str | None = None):
-        """``resume_tag``: stages of an earlier, broken run under this tag are taken as they are; the tag
+                 impute_settings: impute_ops.ImputeSettings | None = None, resume_tag: str | None = None,
+                 numbered: DataFrame | None = None):
+        """``numbered``: the run's airings by a kept state (``operators.airings``), else they are numbered
+        from all history. ``resume_tag``: stages of an earlier, broken run under this tag are taken as they are; the tag
         must follow from all that the run reads (``plans.backfill``)."""
         self.src = src
         self.scope = scope
@@ -44,6 +46,7 @@ class DailyRun:
         self.impute_settings = impute_settings or impute_ops.ImputeSettings()
         self.run_tag = resume_tag or new_run_tag()
         self.resume = resume_tag is not None
+        self.numbered = numbered
 
     def prepare(self, grid: bool = True, report: bool = False) -> "DailyRun":
         """Write the run's independent base stages side by side (Spark runs jobs submitted
@@ -67,7 +70,7 @@ class DailyRun:
     def pgm(self) -> DataFrame:
         """Broadcast x product of the run: read by seven blocks, so written once (it is
         bounded by the run's broadcasts, tiny next to the order lines)."""
-        return self._write(report_ops.broadcast_sequence(self.src, self.scope), "pgm")
+        return self._write(report_ops.broadcast_sequence(self.src, self.scope, self.numbered), "pgm")
 
     @cached_property
     def products(self) -> DataFrame:

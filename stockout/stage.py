@@ -59,12 +59,12 @@ def write_stage(df: DataFrame, name: str, bucket_by: tuple[str, ...] | list[str]
         (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
          .bucketBy(buckets, *bucket_by).saveAsTable(table))
         if resume:
-            _note(spark, f"{path}/_buckets", str(buckets))
+            write_note(spark, f"{path}/_buckets", str(buckets))
     elif not spark.catalog.tableExists(table):  # written by an application that has ended
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         keys = ", ".join(f"`{c}`" for c in bucket_by)
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                  f"INTO {int(_noted(spark, f'{path}/_buckets'))} BUCKETS LOCATION '{path}'")
+                  f"INTO {int(read_note(spark, f'{path}/_buckets'))} BUCKETS LOCATION '{path}'")
     return spark.table(table)
 
 
@@ -78,15 +78,19 @@ def _exists(spark, path: str) -> bool:
     return fs.exists(place)
 
 
-def _note(spark, path: str, text: str) -> None:
+def write_note(spark, path: str, text: str) -> None:
+    """A small text file, replaced if it is there."""
     fs, place = _file(spark, path)
     stream = fs.create(place, True)
     stream.write(bytearray(text.encode()))
     stream.close()
 
 
-def _noted(spark, path: str) -> str:
+def read_note(spark, path: str) -> str:
+    """The text of a small file, empty if there is none."""
     fs, place = _file(spark, path)
+    if not fs.exists(place):
+        return ""
     stream = fs.open(place)
     try:
         return bytes(stream.readAllBytes()).decode()

@@ -6,6 +6,10 @@ backfill is one run over the month's days, not one run per day.
 
     python -m stockout.plans.jobs --sources /lake/warehouse --output /lake/results --day 20160808
     python -m stockout.plans.jobs --sources /lake/warehouse --output /lake/results --month 2016-08
+    python -m stockout.plans.jobs --sources /lake/warehouse --store /lake/store --month 2016-08
+
+With ``--store`` the tables lie behind one manifest (``sinks.store``), and only days whose sources have
+changed since they were loaded are computed (``plans.backfill``).
 """
 
 from __future__ import annotations
@@ -18,9 +22,10 @@ from pyspark.sql import SparkSession
 
 from stockout.operators.impute import METHODS, ImputeSettings
 from stockout.operators.scope import Scope
+from stockout.plans.backfill import backfill
 from stockout.plans.daily import DailyRun
 from stockout.session import SESSION_CONF, ensure_checkpoint_dir, ship_package
-from stockout.sinks import ALL_DAYS, load_days
+from stockout.sinks import ALL_DAYS, ResultStore, load_days
 from stockout.sources import Sources, read_parquet_root
 from stockout.stage import drop_run
 
@@ -56,10 +61,21 @@ def run_yesterday(src: Sources, today: dt.date | None = None, **kwargs) -> tuple
     return run_days(src, [day.strftime("%Y%m%d")], **kwargs)
 
 
+def _asked(args: argparse.Namespace) -> tuple[str, ...] | None:
+    """The days that the arguments name; None for all."""
+    if args.month:
+        return tuple(month_day_list(*(int(x) for x in args.month.split("-"))))
+    if args.yesterday:
+        return ((dt.date.today() - dt.timedelta(days=1)).strftime("%Y%m%d"),)
+    return tuple(args.day) if args.day else None
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--sources", required=True, help="folder with the nine source tables as parquet")
-    parser.add_argument("--output", required=True, help="shared folder of the two result tables")
+    where = parser.add_mutually_exclusive_group(required=True)
+    where.add_argument("--output", help="shared folder of the two result tables, by day")
+    where.add_argument("--store", help="shared folder of a result store")
     parser.add_argument("--stage-dir", help="shared folder of stages, unless spark.checkpoint.dir names one")
     parser.add_argument("--imputation", choices=METHODS, default="sgd", help="how demand is estimated")
     when = parser.add_mutually_exclusive_group(required=True)
@@ -77,6 +93,10 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     src = read_parquet_root(spark, args.sources)
+    if args.store:
+        done = backfill(src, ResultStore(spark, args.store), _asked(args), ImputeSettings(method=args.imputation))
+        print("computed:", *done.computed, "unchanged:", *done.kept, "version:", done.version)
+        return
     output = args.output.rstrip("/")
     paths = {"report_path": f"{output}/soldout_report", "snapshot_path": f"{output}/soldout_snapshot",
              "settings": ImputeSettings(method=args.imputation)}

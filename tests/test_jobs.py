@@ -32,6 +32,23 @@ def test_daily_load_and_reload(spark):
     assert report.where(F.col("estim_qty").isNull()).count() == 0
 
 
+def test_command_line_into_a_store(spark, capsys):
+    from stockout.plans.jobs import main
+    from stockout.sinks import ResultStore
+    from stockout.sources.tables import write_parquet_root
+
+    root = tempfile.mkdtemp(prefix="stockout-job-")
+    write_parquet_root(from_testdata(spark, SMOKE_DIR), f"{root}/sources")
+    args = ["--sources", f"{root}/sources", "--store", f"{root}/store", "--imputation", "rank_one"]
+    main([*args, "--month", "1996-01"])
+    assert "computed: 19960101" in capsys.readouterr().out
+    main([*args, "--day", "19960101", "--day", "19970101"])
+    assert "computed: 19970101 unchanged: 19960101 version: 2" in capsys.readouterr().out
+    store = ResultStore(spark, f"{root}/store")
+    assert {r["broad_dt"] for r in store.report().select("broad_dt").distinct().collect()} == {"19960101", "19970101"}
+    assert store.report().where(F.col("estim_qty").isNull()).count() == 0
+
+
 def test_day_scope_matches_all_days_slice(spark):
     """A one-day run gives the same sold-out minutes as that day's slice of the all-days run."""
     from stockout.operators.scope import Scope

@@ -53,14 +53,13 @@ _BLANKS = re.compile(r"[ \t\r\n]+")
 @dataclass(frozen=True)
 class TokenFileSettings:
     """``tokenizer``: path of the vocabulary file; ``end_id`` is appended to each document. The
-    dictionary is trained on about ``sample_documents`` documents, at most ``sample_ids`` ids of
-    each. ``shard_bytes``: compressed size at which a shard is closed; ``cache_pieces``: pieces
+    dictionary is trained on at most ``sample_documents`` whole documents of ``sample_bytes`` in all. ``shard_bytes``: compressed size at which a shard is closed; ``cache_pieces``: pieces
     that a worker remembers."""
 
     tokenizer: str
     end_id: int = 2
     sample_documents: int = 1000
-    sample_ids: int = 2048
+    sample_bytes: int = 8 << 20
     dictionary_bytes: int = 65_536
     level: int = 3
     shard_bytes: int = 64 << 20
@@ -136,18 +135,22 @@ def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def train_dictionary(documents: DataFrame, settings: TokenFileSettings, width: int) -> bytes:
-    """A zstandard dictionary from a bounded sample, chosen by a hash of id and text."""
-    n, buckets = documents.count(), 1_000_000
-    share = min(buckets, -(-buckets * settings.sample_documents // max(n, 1)))
+    """A zstandard dictionary from the id arrays of a bounded sample: distinct documents of the smallest
+    hashes of id and text, as many as ``sample_documents`` and ``sample_bytes`` of text allow. It is
+    the same for the same documents, however they lie."""
+    digest = F.xxhash64("doc_id", "text")
+    ranked = (documents.select(digest.alias("h"), F.octet_length("text").alias("size"))
+              .where((F.col("size") > 0) & (F.col("size") <= settings.sample_bytes))
+              .groupBy("h").agg(F.max("size").alias("size")).orderBy("h").limit(settings.sample_documents).collect())
+    total = np.cumsum([r["size"] for r in ranked])
+    chosen = [r["h"] for r, t in zip(ranked, total, strict=True) if t <= settings.sample_bytes]
 
     def serialize(texts: pd.Series) -> pd.Series:
         ids = encode_texts([t or "" for t in texts], settings.tokenizer, settings.cache_pieces)
-        return pd.Series([_narrow(b, width)[:settings.sample_ids * width] for b in ids])
+        return pd.Series([_narrow(b, width) for b in ids])
 
-    sample = [bytes(r["b"]) for r in documents
-              .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)) < share)
-              .select(F.pandas_udf(serialize, "binary")("text").alias("b"))
-              .limit(2 * settings.sample_documents).collect()]
+    sample = [bytes(r["b"]) for r in documents.where(digest.isin(chosen)).dropDuplicates(["doc_id", "text"])
+              .select(F.pandas_udf(serialize, "binary")("text").alias("b")).collect()] if chosen else []
     sample = sorted(b for b in sample if b)
     try:
         return zstandard.train_dictionary(settings.dictionary_bytes, sample).as_bytes()

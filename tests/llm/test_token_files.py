@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stockout.llm import token_files as T
@@ -64,3 +65,12 @@ def test_dictionary_pays_and_empty_table(spark):
     assert len(with_dictionary) < len(zstandard.ZstdCompressor().compress(ids)) < len(ids) + 20
     manifest = T.write_ids(docs.limit(0), tempfile.mkdtemp(), SETTINGS)
     assert T.read_ids(manifest).collect() == []
+
+
+def test_dictionary_follows_from_the_documents_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    settings = T.TokenFileSettings(T.default_tokenizer(), sample_documents=60, sample_bytes=100_000)
+    one = T.train_dictionary(docs, settings, 2)
+    copies = docs.unionByName(docs.limit(20)).repartition(5).orderBy(F.desc("doc_id"))
+    assert T.train_dictionary(copies, settings, 2) == one and len(one) > 0
+    assert T.train_dictionary(docs.limit(0), settings, 2) == b""

@@ -41,7 +41,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 500_000):
+    def __init__(self, bound: int = 100_000):
         self.known: dict[str, int] = {}
         self.bound = bound
 

@@ -140,12 +140,27 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
+def _together(texts: list[str | None], characters: int = 400_000) -> Iterator[list[str | None]]:
+    """Texts that are sketched at once: their arrays take some 60 bytes a word, so they are counted by
+    length; a longer text comes alone."""
+    held: list[str | None] = []
+    size = 0
+    for t in texts:
+        if held and (size + len(t or "") > characters or len(held) >= 256):
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t or "")
+    if held:
+        yield held
+
+
 def sketch_texts(texts: list[str | None], s: MinHashSettings) -> Iterator[tuple[int, int, bytes, bytes]]:
     """Per text: two numbers of the digest of its words, its band keys and the low 16 bits of its
     registers."""
     hash_words = WordHashes()
-    for start in range(0, len(texts), 256):
-        split = [words_of(t) for t in texts[start:start + 256]]
+    for some in _together(texts):
+        split = [words_of(t) for t in some]
         sets = [shingles(w, s.words, hash_words) for w in split]
         sizes = np.array([len(v) for v, _ in sets])
         owner = np.repeat(np.arange(len(sets)), sizes)

@@ -30,6 +30,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -102,6 +103,32 @@ def _encode_pieces(encoder, pieces: list[str]) -> Iterator[np.ndarray]:
             yield done[p]
 
 
+_MARKED = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")  # a word and ASCII marks, without the apostrophe
+_PROBES = ("a", "s", "ab", "Zq", "the", "ll", "Xanadu", "re")
+
+
+def parts_at_marks(encoder) -> bool:
+    """Whether the tokenizer cuts between letters and marks: then a word and its marks are encoded as
+    the two are alone. Asked of words of several kinds before each mark, and before two."""
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
+    whole = [(w, m) for w in _PROBES for m in (*marks, *(m + "." for m in marks))]
+    ids = lambda texts: [e.ids for e in encoder.encode_batch_fast(texts, add_special_tokens=False)]
+    return all(both == a + b for both, a, b in zip(ids([w + m for w, m in whole]), ids([w for w, _ in whole]),
+                                                   ids([m for _, m in whole]), strict=True))
+
+
+def _learn(encoder, cuts: bool, new: set[str], known: dict[str, bytes]) -> None:
+    """Add the ids of ``new`` pieces to ``known``, those of a word with marks from the two."""
+    marked = [(p, m[1], m[2]) for p in new if (m := _MARKED.fullmatch(p))] if cuts else []
+    plain = new.difference([p for p, _, _ in marked])
+    plain.update([x for _, word, marks in marked for x in (word, marks) if x not in known])
+    asked = list(plain)
+    for p, ids in zip(asked, _encode_pieces(encoder, asked), strict=True):
+        known[p] = ids.tobytes()
+    for p, word, marks in marked:
+        known[p] = known[word] + known[marks]
+
+
 _TOKENIZERS: dict[str, object] = {}
 _PIECES: dict[str, dict[str, bytes]] = {}
 
@@ -115,17 +142,18 @@ def encode_texts(texts: list[str], tokenizer: str, cache_pieces: int) -> Iterato
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _TOKENIZERS[tokenizer] = Tokenizer.from_file(tokenizer)
+        encoder = Tokenizer.from_file(tokenizer)
+        _TOKENIZERS[tokenizer] = encoder, parts_at_marks(encoder)
         _PIECES[tokenizer] = {"": b""}
-    encoder, known = _TOKENIZERS[tokenizer], _PIECES[tokenizer]
+    (encoder, cuts), known = _TOKENIZERS[tokenizer], _PIECES[tokenizer]
     for start in range(0, len(texts), 200):
         split = [_BLANKS.split(t) for t in texts[start:start + 200]]
         if len(known) > cache_pieces:
             known.clear()
             known[""] = b""
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for p, ids in zip(new, _encode_pieces(encoder, new), strict=True):
-            known[p] = ids.tobytes()
+        new = set(chain.from_iterable(split)).difference(known)
+        if new:
+            _learn(encoder, cuts, new, known)
         for pieces in split:
             yield b"".join(map(known.__getitem__, pieces))
 

@@ -74,3 +74,12 @@ def test_dictionary_follows_from_the_documents_alone(spark):
     copies = docs.unionByName(docs.limit(20)).repartition(5).orderBy(F.desc("doc_id"))
     assert T.train_dictionary(copies, settings, 2) == one and len(one) > 0
     assert T.train_dictionary(docs.limit(0), settings, 2) == b""
+
+
+def test_words_with_marks_are_the_two_parts(spark):
+    assert T.parts_at_marks(LIBRARY)
+    words = ["don", "S", "Ab", "re", "hello", "x" * 40, "ll", "I"]
+    marks = ["!", "...", "%%%", "_", "-", "&&&", "()", "<|", "|>", "`", "~^", "*.", '"', "#"]
+    pieces = [w + m for w in words for m in marks] + ["don't.", "a's", "s'", "(a)", "a.b", "a..b"]
+    got = list(T.encode_texts([" ".join(pieces), *pieces], SETTINGS.tokenizer, 1000))
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in [" ".join(pieces), *pieces]]

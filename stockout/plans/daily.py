@@ -87,11 +87,18 @@ class DailyRun:
         written bucketed by group: the minute orders and the order figures are both rolled up from it."""
         return self._write(report_ops.line_minutes(self.src, self.scope), "line_minutes", bucket_by=GROUP)
 
+    def _summed_lines(self) -> DataFrame | None:
+        """``lines`` if the run has written them or will for both of its readers, else None: a run that
+        asks for the grid or for the order figures alone sums the lines for it and writes no stage of them."""
+        return self.lines if self.materialize or "lines" in self.__dict__ else None
+
     @cached_property
     def order_totals(self) -> DataFrame:
         """Order figures per (broadcast, product, option), written once: revenue and
         option quantities both read it (bounded by the run's options)."""
-        minutes = report_ops.in_broadcast_days(self.lines, self.pgm, self.scope)
+        lines = self._summed_lines()
+        lines = report_ops.line_minutes(self.src, self.scope) if lines is None else lines
+        minutes = report_ops.in_broadcast_days(lines, self.pgm, self.scope)
         return self._write(report_ops.option_totals(minutes), "order_totals")
 
     @cached_property
@@ -122,7 +129,7 @@ class DailyRun:
         """Units per option and minute: always written once (the grid, the option frame and the gate all
         read it). Taken from ``lines`` where the run has summed them already or will for the report,
         else from the order lines of the grid alone."""
-        lines = self.lines if self.materialize or "lines" in self.__dict__ else None
+        lines = self._summed_lines()
         return self._write(order_ops.minute_orders(self.src, self.scope, lines), "minutes", bucket_by=GROUP)
 
     @cached_property

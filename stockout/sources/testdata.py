@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stockout.session import ensure_checkpoint_dir
 from stockout.sources.tables import Sources, _conform, read_parquet_root, write_parquet_root
+from stockout.stage import bucket_count
 
 # (application id, test-data folder) -> root of the tables written for it in this application.
 _WRITTEN: dict[tuple[str, str], Sources] = {}
@@ -28,19 +29,44 @@ _WEEK = "CAST(floor((dayofyear(l_shipdate) - 1) / 7) AS INT)"
 _CHANNEL = "CASE WHEN y % 2 = 0 THEN 'C' ELSE 'H' END"
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: What ``l_suppkey % 3`` can be; the null one last.
+_REMAINDERS = (0, 1, 2, -1, -2, None)
+_COUNTS = tuple(f"_n{i}" for i in range(len(_REMAINDERS)))
+
+
+def _with_part(lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Rows of ``lines`` with their part's columns, its brand as ``bn`` and its type as ``ti``. Only what
+    is asked of a part goes through the join, so the brand's number is read after it."""
+    return (lines.join(part.withColumns({"_bn": F.expr("substring(p_brand, 7)"), "ti": F.expr(_TYPE_INDEX)})
+                       .drop("p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+            .withColumn("bn", F.expr("CAST(_bn AS BIGINT)")))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with product, option, week and minute."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_brand", "p_type")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return (lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-            .withColumns({
-                "y": F.year("l_shipdate"),
-                "bn": F.expr("CAST(substring(p_brand, 7) AS BIGINT)"),
-                "ti": F.expr(_TYPE_INDEX),
-                "w": F.expr(_WEEK),
-            })
+    return (_with_part(lineitem, part).withColumns({"y": F.year("l_shipdate"), "w": F.expr(_WEEK)})
             .withColumn("m", F.expr("CASE WHEN l_returnflag = 'N' THEN 1300 - 22 * w ELSE 1300 + w END")))
 
 
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part and year of the order lines, one row each with the lines counted by supplier remainder. The lines
+    are summed before they meet the parts: the dimension tables ask no more of them, and a part's
+    lines of a year are one row here however many they are."""
+    s = F.col("l_suppkey") % 3
+    sold = (spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+            .groupBy("l_partkey", F.year("l_shipdate").alias("y"))
+            .agg(*[F.count(F.when(s.eqNullSafe(F.lit(v).cast("bigint")), 1)).alias(n)
+                   for n, v in zip(_COUNTS, _REMAINDERS, strict=True)]))
+    return _with_part(sold, spark.read.parquet(f"{sf_dir}/part.parquet"))
+
+
+def _brands(base: DataFrame) -> DataFrame:
+    """Years and brands with their counted lines and least price: five tables ask no more."""
+    return base.groupBy("y", "bn").agg(*[F.sum(n).alias(n) for n in _COUNTS], F.min("p_retailprice").alias("_price"))
+
+
 def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True) -> Sources:
     """The nine tables for the test data in ``sf_dir``.
 
@@ -59,46 +85,52 @@ def from_testdata(spark: SparkSession, sf_dir: str, *, materialize: bool = True)
 def _materialized(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> Sources:
     if key not in _WRITTEN:
         tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
-        # Eight tables derive from the same lineitem x part join: keep it while they are written.
+        # Seven tables derive from the same parts by year, five of them from their brands alone: keep both
+        # while they are written.
         base = _base(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-        base.count()  # fill the cache once before the table writes read it side by side
+        brands = _brands(base).coalesce(bucket_count(spark)).persist(StorageLevel.MEMORY_AND_DISK)
+        brands.count()  # fill both caches once before the table writes read them side by side
         try:
-            root = write_parquet_root(derive_testdata(spark, sf_dir, base=base),
+            root = write_parquet_root(derive_testdata(spark, sf_dir, base=base, brands=brands),
                                       f"{ensure_checkpoint_dir(spark).rstrip('/')}/sources/{tag}")
         finally:
+            brands.unpersist()
             base.unpersist()
         _WRITTEN[key] = read_parquet_root(spark, root)
     return _WRITTEN[key]
 
 
-def derive_testdata(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Sources:
+def derive_testdata(spark: SparkSession, sf_dir: str, base: DataFrame | None = None,
+                    brands: DataFrame | None = None) -> Sources:
     """The nine tables as lazy DataFrames over the test tables (FIXTURES.md mapping)."""
     base = _base(spark, sf_dir) if base is None else base
+    brands = _brands(base) if brands is None else brands
     tables: dict[str, DataFrame] = {}
 
-    tables["broadcast"] = base.selectExpr(
+    tables["broadcast"] = brands.select("y").distinct().selectExpr(
         "CAST(y AS BIGINT) AS pgm_id", f"{_CHANNEL} AS chanl_cd",
         "concat(CAST(y AS STRING), '0101') AS broad_dt",
         "CAST(concat(CAST(y AS STRING), '-01-01 21:40:00') AS TIMESTAMP_NTZ) AS broad_str_dtm",
-        "concat('Program ', CAST(y AS STRING)) AS pgm_nm").distinct()
+        "concat('Program ', CAST(y AS STRING)) AS pgm_nm")
 
-    tables["broadcast_product"] = base.selectExpr(
-        "CAST(y AS BIGINT) AS pgm_id", "bn AS prd_cd", f"{_CHANNEL} AS chanl_cd").distinct()
+    tables["broadcast_product"] = brands.selectExpr(
+        "CAST(y AS BIGINT) AS pgm_id", "bn AS prd_cd", f"{_CHANNEL} AS chanl_cd")
 
-    tables["product"] = base.groupBy("bn").agg(
+    tables["product"] = brands.groupBy("bn").agg(
         F.expr("concat('Brand#', CAST(bn AS STRING))").alias("prd_nm"),
         F.expr("bn % 5").alias("item_cd"),
         F.expr("concat('MD', CAST(bn % 7 AS STRING))").alias("md_id"),
         F.expr("concat(CAST(min(y) AS STRING), '0101')").alias("fst_broad_dt"),
-        F.expr("CAST(min(p_retailprice) AS DECIMAL(18,2))").alias("fst_prd_sale_prc"),
+        F.expr("CAST(min(_price) AS DECIMAL(18,2))").alias("fst_prd_sale_prc"),
     ).withColumnRenamed("bn", "prd_cd")
 
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     tables["item"] = region.selectExpr("CAST(r_regionkey AS BIGINT) AS item_cd", "r_name AS item_nm")
 
-    first_word = "min(split_part(p_name, ' ', 1))"
-    tables["attr_product"] = base.groupBy("bn", "ti", "p_type").agg(
-        F.expr(first_word).alias("attr_prd_1_val"),
+    # A least text makes an aggregation sort its rows: distinct words first, which it does not.
+    words = base.select("bn", "ti", "p_type", "p_size", F.expr("split_part(p_name, ' ', 1)").alias("_word")).distinct()
+    tables["attr_product"] = words.groupBy("bn", "ti", "p_type").agg(
+        F.min("_word").alias("attr_prd_1_val"),
         F.expr("min(p_size)").alias("_pmin"),
         F.expr("max(p_size)").alias("_pmax"),
     ).selectExpr(
@@ -111,7 +143,7 @@ def derive_testdata(spark: SparkSession, sf_dir: str, base: DataFrame | None = N
 
     amount = "CAST(l_extendedprice AS DECIMAL(18,2))"
     line_amt = "CAST(l_linenumber AS DECIMAL(18,2))"
-    tables["order_fact"] = base.selectExpr(
+    tables["order_fact"] = _lines(spark, sf_dir).selectExpr(
         "CAST(y AS BIGINT) AS pgm_id", "bn AS prd_cd", "bn * 10 + ti AS attr_prd_cd",
         "concat(CAST(y AS STRING), CASE WHEN l_linenumber = 7 THEN '0103' ELSE '0101' END) AS ord_dt",
         "concat(lpad(CAST(CAST(floor(m / 60) AS INT) AS STRING), 2, '0'), "
@@ -129,16 +161,15 @@ def derive_testdata(spark: SparkSession, sf_dir: str, base: DataFrame | None = N
         "CASE WHEN l_returnflag = 'N' THEN 'P1' ELSE 'O1' END AS broad_ord_time_dtl_cd",
         "CASE WHEN l_tax = 0 THEN 0 ELSE 1 END AS tot_ord_cust_no")
 
-    tables["target_minutes"] = (base.where("y > 1995")
-                                .groupBy("y", "bn", F.expr("l_suppkey % 3").alias("_s"))
-                                .agg(F.count("*").alias("_n"))
+    tables["target_minutes"] = (brands.where("y > 1995")
+                                .select("y", "bn", F.explode(F.filter(F.array(*_COUNTS), lambda n: n > 0)).alias("_n"))
                                 .selectExpr("CAST(y AS BIGINT) AS pgm_id", "bn AS prd_cd",
                                             "60 * _n AS weiht_mi", "90 * _n AS expos_mi"))
 
-    tables["supply_plan"] = base.selectExpr(
+    tables["supply_plan"] = brands.selectExpr(
         "CAST(y * 100 + bn AS BIGINT) AS suply_plan_mng_no", "CAST(y AS BIGINT) AS pgm_id",
         "bn AS prd_cd", "CAST(100 AS BIGINT) AS suply_psbl_qty", "CAST(100 AS BIGINT) AS pgm_tgt_qty",
-        "CAST(bn % 7 AS STRING) AS broad_bef_mng_prg_st_cd").distinct()
+        "CAST(bn % 7 AS STRING) AS broad_bef_mng_prg_st_cd")
 
     tables["supply_appointment"] = (
         base.select("y", "bn", "ti", "p_partkey", "p_size").distinct()

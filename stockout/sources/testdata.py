@@ -86,8 +86,8 @@ def _materialized(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> Sou
     if key not in _WRITTEN:
         tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])
         # Seven tables derive from the same parts by year, five of them from their brands alone: keep both
-        # while they are written.
-        base = _base(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        # while they are written, in few partitions a core, as kept plans are not coalesced by AQE.
+        base = _base(spark, sf_dir).coalesce(4 * bucket_count(spark)).persist(StorageLevel.MEMORY_AND_DISK)
         brands = _brands(base).coalesce(bucket_count(spark)).persist(StorageLevel.MEMORY_AND_DISK)
         brands.count()  # fill both caches once before the table writes read them side by side
         try:

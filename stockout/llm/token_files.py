@@ -14,7 +14,8 @@ sums over the manifest (one row per shard).
 
 The tokenizer's result for a text is the concatenation of its results for the pieces between
 blanks, tabs and line ends, as neither its normalizer nor its pre-tokenizer looks across them; so
-each worker encodes a piece once and remembers it, up to a bounded number of pieces.
+each worker encodes a piece once and remembers it, up to a bounded number of pieces. Texts are split
+and their pieces numbered by Arrow, so a piece is looked up once per batch, however often it occurs.
 
 Defined results: a null text counts as empty and has the end id only; equal document ids keep
 one entry per row, ordered by their text's hash; a null id comes first and is stored as null;
@@ -30,10 +31,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -76,7 +78,7 @@ def default_tokenizer() -> str:
 _MARK = "0"  # put between pieces that are encoded together
 
 
-def _encode_pieces(encoder, pieces: list[str]) -> Iterator[np.ndarray]:
+def _encode_pieces(encoder, pieces: list[str]) -> Iterator[bytes]:
     """Ids of each piece. The library is faster on few texts than on many short ones, so pieces
     are put together with a digit between blanks, whose id tells where one ends. Pieces with that
     digit go alone, and so does a group in which the id turns up elsewhere too."""
@@ -88,17 +90,21 @@ def _encode_pieces(encoder, pieces: list[str]) -> Iterator[np.ndarray]:
     for start in range(0, len(pieces), 100):
         some = pieces[start:start + 100]
         together = [p for p in some if joint and _MARK not in p]
-        parts: list[np.ndarray] = []
+        parts: list[bytes] = []
         if together:
             ids = alone([f" {_MARK} ".join(together)])[0]
             cuts = np.flatnonzero(ids == mark[0])
             if len(cuts) == len(together) - 1:
-                parts = [ids[a:b] for a, b in zip([0, *(cuts + 1)], [*cuts, len(ids)], strict=True)]
+                raw, at = ids.tobytes(), (4 * cuts).tolist()
+                parts = [raw[a:b] for a, b in zip([0, *[c + 4 for c in at]], [*at, len(raw)], strict=True)]
             else:
-                parts = alone(together)
+                parts = [x.tobytes() for x in alone(together)]
+        if len(together) == len(some):
+            yield from parts
+            continue
         done = dict(zip(together, parts, strict=True))
         rest = [p for p in some if p not in done]
-        done.update(zip(rest, alone(rest), strict=True))
+        done.update(zip(rest, [x.tobytes() for x in alone(rest)], strict=True))
         for p in some:
             yield done[p]
 
@@ -117,14 +123,20 @@ def parts_at_marks(encoder) -> bool:
                                                    ids([m for _, m in whole]), strict=True))
 
 
-def _learn(encoder, cuts: bool, new: set[str], known: dict[str, bytes]) -> None:
+def _learn(encoder, cuts: bool, new: list[str], known: dict[str, bytes]) -> None:
     """Add the ids of ``new`` pieces to ``known``, those of a word with marks from the two."""
-    marked = [(p, m[1], m[2]) for p in new if (m := _MARKED.fullmatch(p))] if cuts else []
-    plain = new.difference([p for p, _, _ in marked])
-    plain.update([x for _, word, marks in marked for x in (word, marks) if x not in known])
+    marked, plain = [], {}
+    for p in new:
+        if cuts and not p.isalpha() and (m := _MARKED.fullmatch(p)):
+            word, marks = m.groups()
+            marked.append((p, word, marks))
+            for x in (word, marks):
+                if x not in known:
+                    plain[x] = None
+        else:
+            plain[p] = None
     asked = list(plain)
-    for p, ids in zip(asked, _encode_pieces(encoder, asked), strict=True):
-        known[p] = ids.tobytes()
+    known.update(zip(asked, _encode_pieces(encoder, asked), strict=True))
     for p, word, marks in marked:
         known[p] = known[word] + known[marks]
 
@@ -133,6 +145,13 @@ _TOKENIZERS: dict[str, object] = {}
 _PIECES: dict[str, dict[str, bytes]] = {}
 
 
+def _split(texts: list[str]) -> pa.LargeListArray | pa.ListArray:
+    """The pieces of each text between blanks, tabs and line ends; empty ones may be among them."""
+    if any("\x0b" in t or "\x0c" in t for t in texts):  # white space to Arrow, but none to the tokenizer's pieces
+        return pa.array([_BLANKS.split(t) for t in texts], pa.list_(pa.large_string()))
+    return pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+
+
 def encode_texts(texts: list[str], tokenizer: str, cache_pieces: int) -> Iterator[bytes]:
     """Ids of each text, as little-endian unsigned 32-bit integers, without special tokens
     added. Tokenizer and pieces are kept for the worker's next tasks."""
@@ -147,15 +166,26 @@ def encode_texts(texts: list[str], tokenizer: str, cache_pieces: int) -> Iterato
         _PIECES[tokenizer] = {"": b""}
     (encoder, cuts), known = _TOKENIZERS[tokenizer], _PIECES[tokenizer]
     for start in range(0, len(texts), 200):
-        split = [_BLANKS.split(t) for t in texts[start:start + 200]]
         if len(known) > cache_pieces:
             known.clear()
             known[""] = b""
-        new = set(chain.from_iterable(split)).difference(known)
+        split = _split(texts[start:start + 200])
+        numbered = split.values.dictionary_encode()
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in pieces if p not in known]
         if new:
             _learn(encoder, cuts, new, known)
-        for pieces in split:
-            yield b"".join(map(known.__getitem__, pieces))
+        # Each distinct piece is looked up once; the texts are gathered by its number.
+        parts = list(map(known.__getitem__, pieces))
+        ids, size = np.frombuffer(b"".join(parts), dtype="<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        piece = numbered.indices.to_numpy()
+        n = size[piece]
+        ends = np.cumsum(n)
+        first = (np.cumsum(size) - size)[piece]
+        whole = ids[np.repeat(first - (ends - n), n) + np.arange(n.sum())]
+        cut = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+        for a, b in zip(cut, cut[1:], strict=False):
+            yield whole[a:b].tobytes()
 
 
 def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:

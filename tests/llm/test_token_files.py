@@ -26,6 +26,22 @@ def test_pieces_give_the_library_s_ids(text):
     assert got == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_a_batch_looks_up_each_distinct_piece_once(monkeypatch):
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            Counting.asked += 1
+            return super().__getitem__(piece)
+
+    texts = ["one two one\tone two ", "", "two\x0bthree one", "one  two"] * 50
+    list(T.encode_texts(["one two"], SETTINGS.tokenizer, 1000))  # opens the tokenizer
+    monkeypatch.setitem(T._PIECES, SETTINGS.tokenizer, Counting({"": b""}))
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in T.encode_texts(texts, SETTINGS.tokenizer, 1000)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counting.asked == 4  # the empty piece, one, two, and two\x0bthree
+
+
 def expected(docs):
     rows, start = [], 0
     for doc, text in docs:

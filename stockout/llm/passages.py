@@ -36,6 +36,7 @@ from stockout.llm.common import WordHashes, content, read_table, rolling
 from stockout.stage import write_stage
 
 _WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
+_HALF = 31  # a window's row and place, and its start and length, are the halves of one number each: a string is shorter
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,7 @@ def repeated_passages(documents: DataFrame, settings: PassageSettings | None = N
         return (rows.groupBy("h").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
                 .where("first_doc_id < last").drop("last"))
 
-    found = write_stage(known.mapInPandas(find, "doc_id long, h long"), "anchors")
+    found = write_stage(known.mapInPandas(find, "doc_id long, h long"), "anchors", compression="zstd")
     places = found.join(several(found).select("h"), "h").groupBy("doc_id").agg(F.collect_set("h").alias("shared"))
 
     def pack(texts: pd.Series) -> pd.Series:
@@ -111,16 +112,19 @@ def repeated_passages(documents: DataFrame, settings: PassageSettings | None = N
                 at = anchored(hashes, np.asarray(shared, dtype=np.int64), s)
                 for k in range(0, len(at), 200_000):
                     part = at[k:k + 200_000]
-                    yield pd.DataFrame({"h": windows[part], "doc_id": doc, "row": row, "at": part,
-                                        "start": spans[part, 0], "end": spans[part + s.min_words - 1, 1]})
+                    start = spans[part, 0]
+                    yield pd.DataFrame({"h": windows[part], "doc_id": doc, "at": (int(row) << _HALF) + part,
+                                        "span": (start << _HALF) + spans[part + s.min_words - 1, 1] - start})
 
-    windows = write_stage(rows.mapInPandas(open_, "h long, doc_id long, row int, at long, start long, end long"), "windows")
+    # Every word may have a row here, so rows are few numbers, and those that follow each other pack well.
+    windows = write_stage(rows.mapInPandas(open_, "h long, doc_id long, at long, span long"), "windows", compression="zstd")
     hits = windows.join(several(windows), "h")
-    in_order = Window.partitionBy("doc_id", "row").orderBy("at")
+    start = F.shiftright("span", _HALF)
+    in_order = Window.partitionBy("doc_id").orderBy("at")
     begins = F.coalesce(F.col("at") - F.lag("at").over(in_order) > s.min_words, F.lit(True)).cast("int")
     runs = hits.withColumn("begins", begins).withColumn("run", F.sum("begins").over(in_order))
-    return (runs.groupBy("doc_id", "row", "run")
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
+    return (runs.groupBy("doc_id", "run")
+            .agg(F.min(start).alias("start"), F.max(start + F.col("span").bitwiseAND((1 << _HALF) - 1)).alias("end"),
                  (F.max("at") - F.min("at") + s.min_words).alias("n_words"),
                  F.min_by("first_doc_id", "at").alias("first_doc_id"),
                  F.min((F.col("first_doc_id") < F.col("doc_id")).cast("int")).alias("is_copy"))

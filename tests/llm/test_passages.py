@@ -1,5 +1,6 @@
 """Repeated passages against a plain search over all windows of words."""
 
+import os
 import random
 from collections import defaultdict
 
@@ -68,3 +69,23 @@ def test_query_matches_a_plain_search(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     got = {tuple(r) for r in P.passages_query(spark, "/root/testdata/sf0.01").collect()}
     assert got and got == brute(docs)
+
+
+def test_windows_are_few_bytes_on_disk(spark, monkeypatch):
+    """There may be a window for every word, so what is kept of each decides the disk."""
+    rng, kept = random.Random(8), {}
+
+    def keep(df, name, **options):
+        out = write_stage(df, name, **options)
+        kept[name] = (sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles()), out.count())
+        return out
+
+    write_stage = P.write_stage
+    monkeypatch.setattr(P, "write_stage", keep)
+    shared = words(rng, 20_000, short=False)
+    docs = [(1, shared), (2, "a b " + shared), (2, "another row " + shared), (3, words(rng, 60))]
+    got = P.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {(1, 0, len(shared), 20_000, 1, False), (2, 4, 4 + len(shared), 20_000, 1, True),
+                                       (2, 12, 12 + len(shared), 20_000, 1, True)}
+    size, rows = kept["windows"]
+    assert size < 16 * rows

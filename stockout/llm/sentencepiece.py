@@ -31,6 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -288,7 +290,7 @@ def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> D
 
 def decode_ids(ids: np.ndarray, parts: list[bytes]) -> str:
     """Text of ids, given every id's bytes."""
-    text = b"".join([parts[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
+    text = b"".join(map(parts.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
     return text.replace(MARK, " ")[1:]
 
 
@@ -299,23 +301,35 @@ def id_bytes(table: PieceTable) -> list[bytes]:
     return parts
 
 
+def encode_chunk(docs: pa.Table, words: pa.Table, parts: list[bytes], pattern: re.Pattern) -> pa.Table:
+    """Documents (doc_id, packed) of a chunk with the ids of its ``words`` (word, ids). The words' ids
+    stay one array, as a chunk has some hundred thousand words and a task holds them all."""
+    reader = zstandard.ZstdDecompressor()
+    number = {w: k for k, w in enumerate(words["word"].to_pandas())}
+    flat = pc.list_flatten(words["ids"]).to_numpy()
+    size = pc.list_value_length(words["ids"]).to_numpy().astype(np.int64)
+    first = np.cumsum(size) - size
+    out, same = [np.zeros(0, dtype=np.int32)], []
+    for packed in docs["packed"]:
+        text = unpack(packed.as_py(), reader)
+        found = segments(text, pattern)
+        word = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+        n = size[word]
+        out.append(flat[np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        same.append(decode_ids(out[-1], parts) == text)
+    lengths = [len(x) for x in out]
+    ids = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.concatenate(out), pa.int32()))
+    return pa.table({"doc_id": docs["doc_id"], "ids": ids, "n_tokens": pa.array(lengths[1:], pa.int32()),
+                     "round_trip": pa.array(same, pa.bool_())})
+
+
 def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merges") -> DataFrame:
     """Rows (doc_id, ids, n_tokens, round_trip), one per row of ``documents`` (doc_id, text);
     round_trip: decoding the ids gives the text back."""
     parts, pattern = id_bytes(table), table.segmenter()
 
-    def encode(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        reader = zstandard.ZstdDecompressor()
-        ids = {w: np.asarray(x, dtype=np.int32) for w, x in zip(words["word"], words["ids"], strict=True)}
-        none = np.zeros(0, dtype=np.int32)
-        out, same = [], []
-        for packed in docs["packed"]:
-            text = unpack(packed, reader)
-            found = [ids[w] for w in segments(text, pattern)]
-            out.append(np.concatenate(found) if found else none)
-            same.append(decode_ids(out[-1], parts) == text)
-        return pd.DataFrame({"doc_id": docs["doc_id"], "ids": out, "n_tokens": [len(x) for x in out],
-                             "round_trip": same})
+    def encode(docs: pa.Table, words: pa.Table) -> pa.Table:
+        return encode_chunk(docs, words, parts, pattern)
 
     # Ids travel as text: a null among numbers would turn them to floats.
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
@@ -327,7 +341,7 @@ def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merge
     # A word carries its chunks along: a join would list the words of all texts a second time.
     values = encode_words(words, table, fold).select(F.explode("chunks").alias("chunk"), "word", "ids")
     out = (dealt.groupBy("chunk").cogroup(values.groupBy("chunk"))
-           .applyInPandas(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
+           .applyInArrow(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
     return out.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
 
 

@@ -93,3 +93,24 @@ def test_empty_table_and_bad_pieces(spark):
     assert P.encode_documents(docs, TABLE).collect() == []
     with pytest.raises(ValueError):
         P.PieceTable(("a.b",), (0.0,), tuple(range(256)))
+
+
+def test_a_chunk_s_words_take_little_memory():
+    """A task holds all words of a chunk: their ids are one array, not an object for each."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    n = 200_000
+    words = [f"{P.MARK}w", *(f"{P.MARK}{k}" for k in range(n - 1))]
+    ids = pa.array([[5, 6, 7], *([k % 100, 1] for k in range(n - 1))], pa.list_(pa.int32()))
+    table = pa.table({"word": words, "ids": ids})
+    docs = pa.table({"doc_id": ["1", None], "packed": [zstandard.ZstdCompressor().compress(t) for t in (b"w w", b"")]})
+    tracemalloc.start()
+    got = P.encode_chunk(docs, table, [b"x"] * 100, PATTERN)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pydict() == {"doc_id": ["1", None], "ids": [[5, 6, 7, 5, 6, 7], []], "n_tokens": [6, 0],
+                               "round_trip": [False, True]}
+    assert peak < 200 * n

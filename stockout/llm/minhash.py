@@ -221,11 +221,11 @@ def _numbers(column: str, n: int, size: int) -> Column:
 
 def verified(pairs: DataFrame, documents: DataFrame, s: MinHashSettings) -> DataFrame:
     """The pairs (a, b) of document ids whose texts are similar enough. Only texts that occur in
-    a pair travel to the pairs, packed."""
+    a pair travel to the pairs, packed, and never as a broadcast: the plan is the same at every size."""
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = write_stage(documents.select(F.col("doc_id").cast("long").alias("doc_id"), _packed().alias("packed"))
                         .join(involved, "doc_id", "left_semi"), "minhash_texts")
-    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("packed").alias(f"packed_{c}"))
+    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("packed").alias(f"packed_{c}")).hint("merge")
     return (pairs.join(side("b"), "b").join(side("a"), "a")
             .where(_similarity(s, "packed_a", "packed_b") >= s.threshold).select("a", "b").distinct())
 
@@ -342,7 +342,8 @@ def _links_across(open_: DataFrame, classes: DataFrame, documents: DataFrame, s:
     rows = (open_.dropDuplicates([*bucket, "rep"]).join(n_blocks, bucket).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
             .select("rep", "component", *bucket, "own", F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi"))
-            .join(classes.select("rep", "c1", "c2", "bands", "registers"), "rep").join(texts, ["rep", "c1", "c2"]))
+            .join(classes.select("rep", "c1", "c2", "bands", "registers").hint("merge"), "rep")
+            .join(texts.hint("merge"), ["rep", "c1", "c2"]))
     place = [*bucket, "lo", "hi"]
     return (rows.repartition(*place).sortWithinPartitions(*place, "rep", "c1", "c2")
             .mapInPandas(_compare_blocks(s), "a long, b long"))

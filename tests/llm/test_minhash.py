@@ -167,3 +167,12 @@ def test_last_stage_compares_every_text_of_an_id(spark):
         classes = df.select(M.F.col("doc_id").alias("rep"), M._sketch(S).alias("s")).select("rep", "s.*")
         open_ = spark.createDataFrame([(1, 1, 0, 7), (2, 2, 0, 7)], "rep long, component long, band int, key long")
         assert [tuple(sorted(r)) for r in M._links_across(open_, classes, df, S).collect()] == [(1, 2)]
+
+
+def test_texts_of_pairs_are_never_broadcast(spark):
+    docs = spark.createDataFrame([(k, "one two three four five six " * 3 + f"end{k % 2}") for k in range(6)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, 2), (1, 3), (0, 1), (2, 4)], "a long, b long")
+    found = M.verified(pairs, docs, S)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+    assert sorted(map(tuple, found.where("a % 2 = b % 2").collect())) == [(0, 2), (1, 3), (2, 4)]

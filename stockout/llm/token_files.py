@@ -75,16 +75,69 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_LETTERS = "".join(chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if chr(c).isalpha())
+_ENDS: dict[int, tuple[object, np.ndarray, re.Pattern | None]] = {}
+
+
+def word_ends(encoder) -> tuple[np.ndarray, re.Pattern | None]:
+    """Per id whether its token ends a word, and an expression for runs of those ``_LETTERS`` that
+    alone are one such token: every word that ends in one of them has one end. None if the
+    tokenizer marks no ends."""
+    if id(encoder) not in _ENDS:
+        suffix, runs = getattr(encoder.model, "end_of_word_suffix", None), None
+        vocabulary = encoder.get_vocab(with_added_tokens=True)
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            single = [e.ids for e in encoder.encode_batch_fast(list(_LETTERS), add_special_tokens=False)]
+            letters = "".join(c for c, x in zip(_LETTERS, single, strict=True) if len(x) == 1 and ends[x[0]])
+            runs = re.compile(f"[{letters}]+") if letters else None
+        _ENDS[id(encoder)] = encoder, ends, runs
+    return _ENDS[id(encoder)][1:]
+
+
+def _encode_runs(encoder, pieces: list[str], ends: np.ndarray) -> Iterator[bytes]:
+    """Ids of pieces that are runs of letters of :func:`word_ends`, many in one text. Every word of it has one end, so a
+    text with as many ends as pieces has one word a piece; the pieces of any other text go alone."""
+    for start in range(0, len(pieces), 100):
+        some = pieces[start:start + 100]
+        ids = np.array(encoder.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) == len(some) and cuts[-1] == len(ids):
+            raw, at = ids.tobytes(), (4 * cuts).tolist()
+            yield from [raw[a:b] for a, b in zip([0, *at], at, strict=False)]
+        else:
+            yield from (np.array(e.ids, dtype="<u4").tobytes()
+                        for e in encoder.encode_batch_fast(some, add_special_tokens=False))
+
+
 _MARK = "0"  # put between pieces that are encoded together
 
 
 def _encode_pieces(encoder, pieces: list[str]) -> Iterator[bytes]:
     """Ids of each piece. The library is faster on few texts than on many short ones, so pieces
-    are put together with a digit between blanks, whose id tells where one ends. Pieces with that
+    are put together: runs of letters with a blank between, as :func:`_encode_runs` tells them
+    apart, the others with a digit between blanks, whose id tells where one ends. Pieces with that
     digit go alone, and so does a group in which the id turns up elsewhere too."""
+    ends, pattern = word_ends(encoder)
+    if pattern:
+        runs = [p for p in pieces if pattern.fullmatch(p)]
+        if runs:
+            found = dict(zip(runs, _encode_runs(encoder, runs, ends), strict=True))
+            others = [p for p in pieces if p not in found]
+            found.update(zip(others, _encode_marked(encoder, others), strict=True))
+            yield from map(found.__getitem__, pieces)
+            return
+    yield from _encode_marked(encoder, pieces)
+
+
+def _encode_marked(encoder, pieces: list[str]) -> Iterator[bytes]:
+    """Ids of each piece, with a digit between those that are put together."""
     def alone(some: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in encoder.encode_batch_fast(some, add_special_tokens=False)]
 
+    if not pieces:
+        return
     mark = alone([_MARK])[0]
     joint = len(mark) == 1 and alone([f"a {_MARK} a"])[0].tolist() == [*alone(["a"])[0], *mark, *alone(["a"])[0]]
     for start in range(0, len(pieces), 100):

@@ -99,3 +99,31 @@ def test_words_with_marks_are_the_two_parts(spark):
     pieces = [w + m for w in words for m in marks] + ["don't.", "a's", "s'", "(a)", "a.b", "a..b"]
     got = list(T.encode_texts([" ".join(pieces), *pieces], SETTINGS.tokenizer, 1000))
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in [" ".join(pieces), *pieces]]
+
+
+def test_runs_of_letters_are_encoded_without_marks():
+    class Recording:
+        def __init__(self):
+            self.model, self.asked = LIBRARY.model, []
+
+        def __getattr__(self, name):
+            return getattr(LIBRARY, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.asked += texts
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    encoder = Recording()
+    T.word_ends(encoder)
+    encoder.asked.clear()
+    pieces = ["onoranes", "Ab", "éaneux", "ÀÉ", "x", "Xanadu", "İﬁ", "don't", "a0b", "你", "..."] * 30
+    pieces = [p + "q" * (k % 5) for k, p in enumerate(pieces)]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in T._encode_pieces(encoder, list(dict.fromkeys(pieces)))]
+    assert got == [LIBRARY.encode(p, add_special_tokens=False).ids for p in dict.fromkeys(pieces)]
+    assert " ".join(p for p in dict.fromkeys(pieces) if T.word_ends(encoder)[1].fullmatch(p)) in encoder.asked
+
+
+def test_a_text_with_other_than_one_word_a_piece_is_not_cut_by_ends():
+    ends, _ = T.word_ends(LIBRARY)
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in T._encode_runs(LIBRARY, ["ab", "c d"], ends)]
+    assert got == [LIBRARY.encode(p, add_special_tokens=False).ids for p in ["ab", "c d"]]

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,12 +37,14 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from stockout.llm.chunked import chunk_words, deal, unpack
+from stockout.llm.chunked import deal, unpack
 from stockout.llm.common import read_table
 
 MARK = "▁"  # stands for a blank
 PARTS_PER_CHUNK = 8
+FOLD_EDGES = 100_000  # edges that are folded together
 MAX_FOLD = 61  # bits 0 to 61 of a signed 64-bit number
 
 
@@ -139,18 +142,12 @@ _ID_BITS, _LEN_BITS, _START_BITS = 20, 6, 6
 _NO_PIECE = (1 << _ID_BITS) - 1
 
 
-def _field(edge: Column, shift: int, bits: int) -> Column:
-    return F.shiftright(edge, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
-
-
-def _bit(n: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int"))
-
-
-def packed_lattice(words: DataFrame, table: PieceTable) -> DataFrame:
-    """``words`` (word, any other columns) with edges as in :func:`lattice`, each one number,
-    sorted. Words of more than ``MAX_FOLD`` characters have none."""
-    others = [F.first(c).alias(c) for c in words.columns if c != "word"]
+def packed_edges(words: DataFrame, table: PieceTable) -> DataFrame:
+    """Edges as in :func:`lattice`, each one number in a row of its own: (n, edge, word, other columns of
+    ``words``). ``n`` numbers the words, and a partition's rows are sorted by it. The edge of a word's
+    first character alone carries the word and its other columns. A word of more than ``MAX_FOLD``
+    characters and a null have one edge, of length 0."""
+    others = [c for c in words.columns if c != "word"]
     order = sorted({-s for p, s in zip(table.pieces, table.scores, strict=True) if p})
     if len(table.pieces) >= _NO_PIECE:
         raise ValueError("too many pieces")
@@ -159,54 +156,92 @@ def packed_lattice(words: DataFrame, table: PieceTable) -> DataFrame:
             for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p]
     # The vocabulary is a fixed file of some ten thousand rows, whatever the corpus.
     pieces = F.broadcast(words.sparkSession.createDataFrame(rows, "piece string, value long"))
-    met = (_substrings(words, table.longest, MAX_FOLD).join(pieces, "piece", "left")
-           .where((F.col("len") <= 1) | F.col("value").isNotNull()))
+    met = (_substrings(words.withColumn("n", F.monotonically_increasing_id()), table.longest, MAX_FOLD)
+           .join(pieces, "piece", "left").where((F.col("len") <= 1) | F.col("value").isNotNull()))
     edge = (F.coalesce(F.col("value"), F.lit(_NO_PIECE)) + F.shiftleft(F.col("start").cast("long"), _LEN_BITS + _ID_BITS)
             + F.shiftleft(F.col("len").cast("long"), _ID_BITS))
-    return met.groupBy("word").agg(
-        *others, F.array_sort(F.collect_list(F.when(F.col("len") > 0, edge))).alias("edges"))
-
-
-def _with_bits(edges: Column, longer: bool) -> Column:
-    """Edges as (start, len, id, ends, inner): the last two have the bits of an edge's ends and
-    of the places inside it."""
-    size = lambda e: _field(e, _ID_BITS, _LEN_BITS)
-    start = lambda e: _field(e, _ID_BITS + _LEN_BITS, _START_BITS)
-    wanted = F.filter(edges, lambda e: size(e) > 1) if longer else edges
-    return F.transform(wanted, lambda e: F.struct(
-        start(e).alias("start"), size(e).alias("len"), _field(e, 0, _ID_BITS).alias("id"),
-        (_bit(start(e)) + _bit(start(e) + size(e))).alias("ends"),
-        (_bit(start(e) + size(e)) - _bit(start(e) + 1)).alias("inner")))
-
-
-def fold_merges(symbols: Column, joins: Column, word: Column, table: PieceTable) -> Column:
-    """Ids of a word by merging neighbours, best score first, leftmost of equals. ``joins`` are
-    its edges of more than one character, in that order, and ``symbols`` all edges, with bits;
-    the set bits of the state are the boundaries between symbols."""
-    n = F.length(word)
-
-    def applies(e: Column, mask: Column, symbols_inside: int) -> Column:
-        return ((mask.bitwiseAND(e["ends"]) == e["ends"])
-                & (F.bit_count(mask.bitwiseAND(e["inner"])) == symbols_inside))
-
-    # The joins travel in the state: named from outside, they would be worked out at every step.
-    def step(state: Column, _: Column) -> Column:
-        mask = state["mask"]
-        best = F.get(F.filter(state["joins"], lambda e: applies(e, mask, 1)), F.lit(0))
-        return F.struct(F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask).alias("mask"),
-                        state["joins"].alias("joins"))
-
-    def ids(e: Column) -> Column:
-        return F.when(e["id"] == _NO_PIECE, _byte_ids(table, F.substring(word, e["start"] + 1, e["len"]))).otherwise(
-            F.array(e["id"]))
-
-    def finish(state: Column) -> Column:
-        chosen = F.array_sort(F.filter(symbols, lambda e: applies(e, state["mask"], 0)))
-        return F.flatten(F.transform(chosen, ids))
-
-    start = F.struct((_bit(n + 1) - F.lit(1).cast("long")).alias("mask"), joins.alias("joins"))
-    turns = F.slice(F.sequence(F.lit(0), n), F.lit(2), F.greatest(n - 1, F.lit(0)))
-    return F.aggregate(turns, start, step, finish)
+    first = (F.col("start") == 0) & (F.col("len") <= 1)
+    return (met.select("n", edge.alias("edge"), *[F.when(first, F.col(c)).alias(c) for c in ["word", *others]])
+            .sortWithinPartitions("n"))
+
+
+def fold_merges(word: np.ndarray, edge: np.ndarray, n_words: int) -> np.ndarray:
+    """Places of the edges that are the words' symbols in the end, word by word from left to right.
+    ``edge`` are packed edges and ``word`` the number of each one's word. Neighbours are merged best score
+    first, leftmost of equals; every word makes its next merge in the same step. The set bits of a word's
+    mask are the boundaries between its symbols."""
+    bit = lambda n: np.int64(1) << n
+    start = (edge >> (_ID_BITS + _LEN_BITS)) & ((1 << _START_BITS) - 1)
+    size = (edge >> _ID_BITS) & ((1 << _LEN_BITS) - 1)
+    ends = bit(start) + bit(start + size)
+    inner = bit(start + size) - bit(start + 1)
+    mask = np.zeros(n_words, dtype=np.int64)
+    np.bitwise_or.at(mask, word, ends)
+    joins = np.flatnonzero(size > 1)
+    joins = joins[np.lexsort((edge[joins], word[joins]))]
+    while len(joins):
+        now = mask[word[joins]]
+        inside = np.bitwise_count(now & inner[joins])
+        # Boundaries only go: what spans none any more, or has lost an end, never joins again.
+        open_ = ((now & ends[joins]) == ends[joins]) & (inside > 0)
+        joins, inside = joins[open_], inside[open_]
+        ready = joins[inside == 1]
+        if not len(ready):
+            break
+        best = ready[np.flatnonzero(np.diff(word[ready], prepend=-1))]
+        mask[word[best]] &= ~inner[best]
+        moved = np.zeros(n_words, dtype=bool)
+        moved[word[best]] = True
+        joins = joins[moved[word[joins]]]
+    now = mask[word]
+    symbols = np.flatnonzero((size > 0) & ((now & ends) == ends) & ((now & inner) == 0))
+    return symbols[np.lexsort((start[symbols], word[symbols]))]
+
+
+def _ids_of(rows: pa.Table, table: PieceTable, ranks: dict[str, tuple[float, int]], longest: int) -> pa.Table:
+    """Whole words' rows of :func:`packed_edges`: one row per word, with its other columns and its ids."""
+    n, edge = rows["n"].to_numpy(), rows["edge"].to_numpy()
+    word = np.cumsum(np.diff(n, prepend=n[:1]) != 0)
+    first = (edge >> _ID_BITS) & ((1 << (_LEN_BITS + _START_BITS)) - 1) <= 1
+    out = rows.filter(pa.array(first)).drop_columns(["n", "edge"])
+    symbols = fold_merges(word, edge, out.num_rows)
+    owner, ids = word[symbols], edge[symbols] & _NO_PIECE
+    text = out["word"]
+    place = (edge[symbols] >> (_ID_BITS + _LEN_BITS)) & ((1 << _START_BITS) - 1)
+    more: list[tuple[int, int, list[int]]] = []  # word, place in it, ids
+    unknown = ids == _NO_PIECE
+    for w, at in zip(owner[unknown].tolist(), place[unknown].tolist(), strict=True):
+        more.append((w, at, [table.byte_ids[b] for b in text[w].as_py()[at].encode("utf-8", "surrogatepass")]))
+    for w in word[(edge >> _ID_BITS) & ((1 << _LEN_BITS) - 1) == 0].tolist():
+        if text[w].is_valid:
+            more.append((w, 0, merge_long(text[w].as_py(), ranks, table.byte_ids, longest)))
+    if more:
+        at = np.concatenate([place[~unknown], *[np.full(len(x), k) for _, k, x in more]])
+        owner = np.concatenate([owner[~unknown], *[np.full(len(x), w) for w, _, x in more]])
+        ids = np.concatenate([ids[~unknown], *[np.array(x) for _, _, x in more]])
+        order = np.lexsort((at, owner))
+        owner, ids = owner[order], ids[order]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=out.num_rows))])
+    return out.append_column("ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
+
+
+def _merged(batches: Iterator[pa.RecordBatch], table: PieceTable) -> Iterator[pa.Table]:
+    """The words' rows, with ids, of a partition of :func:`packed_edges`."""
+    ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p}
+    longest = table.longest
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(len(b) for b in held) < FOLD_EDGES:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        n = rows["n"].to_numpy()
+        cut = int(np.searchsorted(n, n[-1]))  # the last word may go on
+        if cut:
+            yield _ids_of(rows.slice(0, cut), table, ranks, longest)
+        held = rows.slice(cut).to_batches()
+    if held:
+        yield _ids_of(pa.Table.from_batches(held).combine_chunks(), table, ranks, longest)
 
 
 def fold_viterbi(edges: Column, n: Column, unknown_rank: float = 1e6) -> Column:
@@ -270,20 +305,13 @@ def encode_words(words: DataFrame, table: PieceTable, fold: str = "merges") -> D
     if fold == "viterbi":
         found = lattice(words.select("word"), table)
         return words.join(found, "word").select("word", *others, fold_viterbi(F.col("edges"), F.length("word")).alias("ids"))
-    ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(table.pieces, table.scores, strict=True)) if p}
-    byte_ids, longest = table.byte_ids, table.longest
 
-    def long_ids(texts: pd.Series) -> pd.Series:
-        return pd.Series([merge_long(w, ranks, byte_ids, longest) if w is not None else None for w in texts], dtype=object)
+    def fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _merged(batches, table):
+            yield from words.select(["word", *others, "ids"]).to_batches()
 
-    fits = F.length("word") <= MAX_FOLD
-    folded = F.when(fits, fold_merges(F.col("symbols"), F.col("joins"), F.col("word"), table))
-    return (packed_lattice(words, table)
-            .select("word", *others, _with_bits(F.col("edges"), False).alias("symbols"),
-                    _with_bits(F.col("edges"), True).alias("joins"))
-            .select("word", *others, folded.alias("folded"))
-            .withColumn("merged", F.pandas_udf(long_ids, "array<int>")(F.when(~fits, F.col("word"))))
-            .select("word", *others, F.coalesce("folded", "merged").alias("ids")))
+    schema = words.select("word", *others).schema.add("ids", ArrayType(IntegerType()))
+    return packed_edges(words, table).mapInArrow(fold_rows, schema)
 
 
 # --- documents -------------------------------------------------------------------------
@@ -323,23 +351,131 @@ def encode_chunk(docs: pa.Table, words: pa.Table, parts: list[bytes], pattern: r
                      "round_trip": pa.array(same, pa.bool_())})
 
 
+# Words and their ids travel in packets, one per chunk and part of the vocabulary: lists compress to a
+# fraction of what a row per word takes.
+
+def pack_words(words: list[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    return zstandard.ZstdCompressor(level=3).compress(np.uint32(len(words)).tobytes() + lengths.tobytes() + b"".join(words))
+
+
+def unpack_words(raw: bytes) -> pa.Array:
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, "<u4", n, 4))]).astype("<i4")
+    return pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(ends), pa.py_buffer(data[4 + 4 * n:])])
+
+
+def pack_ids(sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    planes = [np.uint32(len(sizes)), sizes.astype("<u4"), (ids & 0xFFFF).astype("<u2"), (ids >> 16).astype("<u2")]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(x.tobytes() for x in planes))
+
+
+def unpack_ids(raw: bytes) -> pa.Array:
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, "<u4", n, 4))])
+    low, high = np.frombuffer(data, "<u2", offset=4 + 4 * n).astype(np.int32).reshape(2, -1)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(low | high << 16, pa.int32()))
+
+
+def _list_words(docs: pa.Table, pattern: re.Pattern, n_parts: int) -> pa.Table:
+    """A chunk's distinct words, packed by part."""
+    reader, found = zstandard.ZstdDecompressor(), set()
+    for packed in docs["packed"]:
+        found.update(segments(unpack(packed.as_py(), reader), pattern))
+    words = sorted(w.encode("utf-8", "surrogatepass") for w in found)
+    part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % n_parts
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    packets = [pack_words([words[i] for i in order[a:z].tolist()])
+               for a, z in zip(first.tolist(), [*first.tolist()[1:], len(words)], strict=True)]
+    return pa.table({"part": pa.array(parts, pa.int32()), "chunk": pa.array([docs["chunk"][0].as_py()] * len(parts), pa.int32()),
+                     "words": pa.array(packets, pa.binary())})
+
+
+def _distinct_words(listed: pa.Table) -> pa.Table:
+    """A part's distinct words, a row each, then its packets, a row each whose word is null."""
+    words = pc.unique(pa.concat_arrays([unpack_words(p.as_py()) for p in listed["words"]]))
+    n, m = len(words), listed.num_rows
+    return pa.table({"part": pa.concat_arrays([pa.array(np.full(n, listed["part"][0].as_py()), pa.int32()),
+                                               listed["part"].combine_chunks()]),
+                     "word": pa.concat_arrays([words, pa.nulls(m, pa.string())]),
+                     "chunk": pa.concat_arrays([pa.nulls(n, pa.int32()), listed["chunk"].combine_chunks()]),
+                     "words": pa.concat_arrays([pa.nulls(n, pa.binary()), listed["words"].combine_chunks()])})
+
+
+class PacketIds:
+    """Ids of packets' words, from the ids of their part's words."""
+
+    def __init__(self, words: pa.Table):
+        self.number = {w: k for k, w in enumerate(words["word"].to_pylist())}
+        self.flat = pc.list_flatten(words["ids"]).to_numpy()
+        self.size = pc.list_value_length(words["ids"]).to_numpy().astype(np.int64)
+        self.first = np.cumsum(self.size) - self.size
+
+    def __call__(self, packet: bytes) -> bytes:
+        words = unpack_words(packet).to_pylist()
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        n = self.size[at]
+        return pack_ids(n, self.flat[np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+
+    def rows(self, packets: pa.Table) -> pa.Table:
+        return pa.table({"chunk": packets["chunk"], "words": packets["words"],
+                         "ids": pa.array([self(p.as_py()) for p in packets["words"]], pa.binary())})
+
+
+def _fill_packets(encoded: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """Packets with their ids, from rows of :func:`_distinct_words` with ids: a part's words, its packets,
+    the next part's words, and so on."""
+    words: list[pa.Table] = []
+    ids = None
+    for rows in encoded:
+        packet = pc.is_null(rows["word"]).to_numpy()
+        bounds = [0, *(np.flatnonzero(np.diff(packet.astype(np.int8))) + 1).tolist(), len(packet)]
+        for a, z in zip(bounds, bounds[1:], strict=False):
+            run = rows.slice(a, z - a)
+            if not packet[a]:
+                words = [run] if ids else [*words, run]
+                ids = None
+                continue
+            if ids is None:
+                ids = PacketIds(pa.concat_tables(words))
+            yield ids.rows(run)
+
+
 def encode_documents(documents: DataFrame, table: PieceTable, fold: str = "merges") -> DataFrame:
     """Rows (doc_id, ids, n_tokens, round_trip), one per row of ``documents`` (doc_id, text);
     round_trip: decoding the ids gives the text back."""
     parts, pattern = id_bytes(table), table.segmenter()
 
-    def encode(docs: pa.Table, words: pa.Table) -> pa.Table:
-        return encode_chunk(docs, words, parts, pattern)
+    def encode(docs: pa.Table, packets: pa.Table) -> pa.Table:
+        word = [pa.array([], pa.string()), *(unpack_words(p.as_py()) for p in packets["words"])]
+        ids = [pa.array([], pa.list_(pa.int32())), *(unpack_ids(p.as_py()) for p in packets["ids"])]
+        return encode_chunk(docs, pa.table({"word": pa.concat_arrays(word), "ids": pa.concat_arrays(ids)}), parts, pattern)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packets in _fill_packets(_merged(batches, table)):
+            yield from packets.to_batches()
+
+    def fill(words: pa.Table, packets: pa.Table) -> pa.Table:
+        return PacketIds(words).rows(packets)
 
     # Ids travel as text: a null among numbers would turn them to floats.
     rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     dealt, n_chunks = deal(rows, ["doc_id"])
-    counted = chunk_words(dealt, lambda row, text: dict.fromkeys(segments(text, pattern), 1))
-    # The edges of a partition's words are grouped in memory: several partitions per chunk.
-    words = (counted.repartition(PARTS_PER_CHUNK * n_chunks, "word").groupBy("word")
-             .agg(F.collect_set("chunk").alias("chunks")))
-    # A word carries its chunks along: a join would list the words of all texts a second time.
-    values = encode_words(words, table, fold).select(F.explode("chunks").alias("chunk"), "word", "ids")
+    # The edges of a partition's words are sorted in memory: several parts per chunk.
+    n_parts = PARTS_PER_CHUNK * n_chunks
+    listed = dealt.groupBy("chunk").applyInArrow(lambda docs: _list_words(docs, pattern, n_parts),
+                                                 "part int, chunk int, words binary").repartition(n_parts, "part")
+    # A part's words and packets stay in one partition, in this order, through the lattice and the fold.
+    words = listed.groupBy("part").applyInArrow(_distinct_words, "part int, word string, chunk int, words binary")
+    filled = "chunk int, words binary, ids binary"
+    if fold == "merges":
+        values = packed_edges(words.drop("part"), table).mapInArrow(merge, filled)
+    else:
+        encoded = encode_words(words.where(F.col("word").isNotNull()).select("word", "part"), table, fold)
+        values = encoded.groupBy("part").cogroup(listed.groupBy("part")).applyInArrow(fill, filled)
     out = (dealt.groupBy("chunk").cogroup(values.groupBy("chunk"))
            .applyInArrow(encode, "doc_id string, ids array<int>, n_tokens int, round_trip boolean"))
     return out.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

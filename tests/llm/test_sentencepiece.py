@@ -114,3 +114,40 @@ def test_a_chunk_s_words_take_little_memory():
     assert got.to_pydict() == {"doc_id": ["1", None], "ids": [[5, 6, 7, 5, 6, 7], []], "n_tokens": [6, 0],
                                "round_trip": [False, True]}
     assert peak < 200 * n
+
+
+def test_merges_of_many_words_match_the_heap(spark, monkeypatch):
+    """All words' edges are folded together, whatever rows and words a batch cuts apart."""
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("abcdethingr1é你") for _ in range(rng.choice([1, 2, 5, 9, 20, 61, 62, 90])))
+                    for _ in range(300)})
+    ranks = {p: (-s, i) for i, (p, s) in enumerate(zip(TABLE.pieces, TABLE.scores, strict=True)) if p}
+    want = {w: P.merge_long(w, ranks, TABLE.byte_ids, TABLE.longest) for w in words}
+    df = spark.createDataFrame([(w, len(w)) for w in words], "word string, size int").coalesce(1)
+    rows = P.encode_words(df, TABLE).collect()
+    assert {r["word"]: list(r["ids"]) for r in rows} == want and len(rows) == len(words)
+    assert all(r["size"] == len(r["word"]) for r in rows)
+    edges = P.packed_edges(df.drop("size"), TABLE).toArrow().combine_chunks()
+    monkeypatch.setattr(P, "FOLD_EDGES", 50)
+    got = [t for t in P._merged(iter(edges.to_batches(max_chunksize=7)), TABLE)]
+    assert {r["word"]: r["ids"] for t in got for r in t.to_pylist()} == want
+
+
+def test_words_travel_in_packets(spark):
+    """Neither the words of the chunks nor their ids are a row for each word, and no grouping holds them."""
+    out = P.encode_documents(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), TABLE)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    words = [b"a", "é".encode(), b"", b"x\n\x00y"]
+    assert P.unpack_words(P.pack_words(words)).to_pylist() == [w.decode() for w in words]
+    ids = P.np.array([0, 70_000, 5, 65_535], dtype=P.np.int32)
+    assert P.unpack_ids(P.pack_ids(P.np.array([1, 0, 3]), ids)).to_pylist() == [[0], [], [70_000, 5, 65_535]]
+
+
+def test_both_folds_encode_documents(spark):
+    docs = spark.createDataFrame([(1, "ab abc d"), (None, None), (2, "cab  ab"), (1, "ab")], "doc_id long, text string")
+    pieces = ["a", "b", "c", "d", "ab", P.MARK, P.MARK + "ab"]
+    table = P.PieceTable((*[None] * 256, *pieces), (*[0.0] * 256, -4.0, -4.0, -4.0, -4.0, -2.0, -3.0, -1.0), tuple(range(256)))
+    for fold in ("merges", "viterbi"):
+        rows = P.encode_documents(docs, table, fold).collect()
+        assert len(rows) == 4 and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)

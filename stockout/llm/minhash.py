@@ -11,8 +11,8 @@ agree in a whole band are candidates and are verified by their exact probability
 No group is ever expanded to all its pairs, and no link between groups is lost:
 
 * documents with the same words in the same order form a class, whose smallest id stands for it;
-* in every bucket of a band, members are verified against the smallest member only; verified links
-  are merged to components;
+* in every bucket of a band, members are verified against the smallest member only (their registers
+  first, then their texts); verified links are merged to components;
 * buckets whose members are still in different components are looked at again: in each of
   ``rounds`` rounds, members are verified against one member of another component, drawn anew
   per bucket by a hash, so that a large group falls together in a few rounds;
@@ -49,13 +49,15 @@ class MinHashSettings:
     """20 bands of 5 registers make a pair of similarity 0.8 a candidate with probability 0.9996,
     and with more if closer. ``slack``: how far the estimated similarity of a pair across
     components may fall below the threshold before it is not verified (four deviations of the
-    estimate from 100 registers)."""
+    estimate from 100 registers). ``pair_slack``: the same for pairs of a bucket that are verified one by
+    one (six deviations: one link in ten million or less, far below what bands miss)."""
 
     words: int = 5
     threshold: float = 0.8
     bands: int = 20
     rows: int = 5
     slack: float = 0.16
+    pair_slack: float = 0.24
     rounds: int = 2
     block: int = 256
     seed: int = 90_173
@@ -219,15 +221,37 @@ def _numbers(column: str, n: int, size: int) -> Column:
                        lambda i: number(i).cast("long" if size == 8 else "int"))
 
 
-def verified(pairs: DataFrame, documents: DataFrame, s: MinHashSettings) -> DataFrame:
+def _agreement(a: str, b: str) -> Column:
+    """Registers in which two sketches agree."""
+    def agreement(left: pd.Series, right: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(side), dtype="<u2").reshape(len(side), -1) for side in (left, right))
+        return pd.Series((x == y).sum(axis=1), dtype=np.int64)
+
+    return F.pandas_udf(agreement, "long")(F.col(a), F.col(b))
+
+
+def _with_both(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with ``column`` of the rows of both documents as ``column``_a and _b, by one plan at
+    every size."""
+    side = lambda c: rows.select(F.col("doc_id").alias(c), F.col(column).alias(f"{column}_{c}")).hint("merge")
+    return pairs.join(side("b"), "b").join(side("a"), "a")
+
+
+def verified(pairs: DataFrame, documents: DataFrame, s: MinHashSettings, sketches: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) of document ids whose texts are similar enough. Only texts that occur in
-    a pair travel to the pairs, packed, and never as a broadcast: the plan is the same at every size."""
+    a pair travel to the pairs, packed, and never as a broadcast: the plan is the same at every size.
+    With ``sketches`` (doc_id, registers) the registers, a fraction of a text, go first: texts travel
+    only to pairs whose estimated similarity does not rule the threshold out."""
+    if sketches is not None:
+        known = sketches.select("doc_id", "registers").join(
+            pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi").distinct()
+        near = _agreement("registers_a", "registers_b") >= (s.threshold - s.pair_slack) * s.registers
+        pairs = write_stage(_with_both(pairs, known, "registers").where(near).select("a", "b").distinct(), "minhash_near")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = write_stage(documents.select(F.col("doc_id").cast("long").alias("doc_id"), _packed().alias("packed"))
                         .join(involved, "doc_id", "left_semi"), "minhash_texts")
-    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("packed").alias(f"packed_{c}")).hint("merge")
-    return (pairs.join(side("b"), "b").join(side("a"), "a")
-            .where(_similarity(s, "packed_a", "packed_b") >= s.threshold).select("a", "b").distinct())
+    return (_with_both(pairs, texts, "packed").where(_similarity(s, "packed_a", "packed_b") >= s.threshold)
+            .select("a", "b").distinct())
 
 
 def near_duplicates(documents: DataFrame, settings: MinHashSettings | None = None) -> DataFrame:
@@ -252,7 +276,7 @@ def near_duplicates(documents: DataFrame, settings: MinHashSettings | None = Non
     doubled = known.groupBy("doc_id").agg(F.min("c1").alias("x"), F.max("c1").alias("y")).where("x != y").select(
         F.col("doc_id").alias("a"))
     same_id = own.join(doubled, "a", "left_semi")
-    links = write_stage(verified(tried, documents, s).unionByName(same_id), "minhash_links")
+    links = write_stage(verified(tried, documents, s, sketches).unionByName(same_id), "minhash_links")
     components = connected_components(links)
     bucket = ["band", "key"]
     for turn in range(s.rounds + 1):
@@ -270,7 +294,7 @@ def near_duplicates(documents: DataFrame, settings: MinHashSettings | None = Non
                 F.least("rep", "drawn.rep").alias("a"), F.greatest("rep", "drawn.rep").alias("b"))
             pairs = write_stage(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "minhash_pairs")
             tried = tried.unionByName(pairs)
-            new = verified(pairs, documents, s)
+            new = verified(pairs, documents, s, sketches)
         else:
             new = _links_across(open_, classes, documents, s)
         new = write_stage(new, "minhash_links")

@@ -176,3 +176,29 @@ def test_texts_of_pairs_are_never_broadcast(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
     assert sorted(map(tuple, found.where("a % 2 = b % 2").collect())) == [(0, 2), (1, 3), (2, 4)]
+
+
+def test_texts_travel_only_to_pairs_that_registers_leave_open(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(400)]
+    base = [rng.choice(words) for _ in range(120)]
+    texts = [" ".join(base)]
+    for change in (2, 4, 8, 12, 60, 120, 120, 120):  # changed words: similar to not at all
+        copy = list(base)
+        for k in rng.sample(range(120), change):
+            copy[k] = f"z{rng.random()}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, j) for j in range(len(texts)) for i in range(j)], "a long, b long")
+    sketches = docs.select("doc_id", M._sketch(S).alias("s")).select("doc_id", "s.*")
+    held, write = {}, M.write_stage
+
+    def spy(df, name, *rest, **named):
+        held[name] = write(df, name, *rest, **named)
+        return held[name]
+
+    monkeypatch.setattr(M, "write_stage", spy)
+    got = {(r["a"], r["b"]) for r in M.verified(pairs, docs, S, sketches).collect()}
+    travelled = {r["doc_id"] for r in held["minhash_texts"].collect()}
+    assert got == {(r["a"], r["b"]) for r in M.verified(pairs, docs, S).collect()}
+    assert got and {x for p in got for x in p} <= travelled and not travelled & {6, 7, 8}
